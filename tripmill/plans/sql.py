@@ -1,0 +1,56 @@
+"""The same answers as SQL text over catalog tables, for people who work in SQL."""
+
+from __future__ import annotations
+
+from tripmill.functions.dates import month_bounds
+from tripmill.spec import MIN_PASSENGER_COUNT, MIN_TOTAL_AMOUNT
+
+
+def monthly_avg_sql(
+    table: str,
+    ts_col: str = "tpep_pickup_datetime",
+    min_total_amount: float = MIN_TOTAL_AMOUNT,
+) -> str:
+    """Average amount and trips per month."""
+    return f"""
+        SELECT date_format(first_day, 'yyyy-MM') AS month, avg_total_amount, trips
+        FROM (
+            SELECT trunc(to_date({ts_col}), 'month') AS first_day,
+                   round(avg(total_amount), 2)       AS avg_total_amount,
+                   count(*)                          AS trips
+            FROM {table}
+            WHERE total_amount >= {min_total_amount!r}
+            GROUP BY trunc(to_date({ts_col}), 'month')
+        )
+        ORDER BY month
+    """
+
+
+def overall_avg_sql(table: str, min_total_amount: float = MIN_TOTAL_AMOUNT) -> str:
+    """Average amount over everything."""
+    return f"""
+        SELECT round(avg(total_amount), 2) AS avg_total_amount_overall
+        FROM {table}
+        WHERE total_amount >= {min_total_amount!r}
+    """
+
+
+def hourly_avg_sql(
+    table: str,
+    year: int,
+    month: int,
+    ts_col: str = "pickup_datetime",
+    min_passenger_count: int = MIN_PASSENGER_COUNT,
+) -> str:
+    """Average passengers and trips per hour of day in one month."""
+    lo, hi = month_bounds(year, month)
+    return f"""
+        SELECT hour({ts_col})                 AS hour_of_day,
+               round(avg(passenger_count), 3) AS avg_passengers,
+               count(*)                       AS trips
+        FROM {table}
+        WHERE {ts_col} >= DATE '{lo}' AND {ts_col} < DATE '{hi}'
+          AND passenger_count >= {min_passenger_count}
+        GROUP BY hour({ts_col})
+        ORDER BY hour_of_day
+    """

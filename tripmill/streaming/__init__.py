@@ -1,0 +1,5 @@
+"""Empty on purpose.
+
+Every load of this engine is a full batch overwrite of a table, so there is no stream,
+watermark or state to express.
+"""
