@@ -112,16 +112,17 @@ def silver_audit(bronze: DataFrame, spec: PipelineSpec, service: str) -> DataFra
         F.count_if(F.col("pickup_datetime").isNull()).alias("null_pickup"),
     )
     stays = counted_rows(in_scope(trips, spec)).agg(
-        F.coalesce(F.sum(COPIES), F.lit(0)).alias("in_scope"),
-        F.count(F.lit(1)).alias("kept"),
+        F.sum(COPIES).alias("in_scope"), F.count(F.lit(1)).alias("kept")
     )
-    tag = F.lit(service).alias(SERVICE_TYPE)
-    return (
-        came_in.select(tag, "*")
-        .join(stays.select(tag, "*"), SERVICE_TYPE)
-        .select(
-            "*",
-            (F.col("raw") - F.col("in_scope")).alias("out_of_scope"),
-            (F.col("in_scope") - F.col("kept")).alias("duplicates"),
-        )
+    # Two one-row results; lining them up by name and summing needs no join.
+    counts = came_in.unionByName(stays, allowMissingColumns=True).agg(
+        *[
+            F.coalesce(F.sum(name), F.lit(0)).alias(name)
+            for name in ("raw", "null_pickup", "in_scope", "kept")
+        ]
+    )
+    return tag_service(counts, service).select(
+        "*",
+        (F.col("raw") - F.col("in_scope")).alias("out_of_scope"),
+        (F.col("in_scope") - F.col("kept")).alias("duplicates"),
     )

@@ -6,9 +6,13 @@ The shared test tables hold no trips, so two services are derived row by row fro
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripmill.plans.medallion import run
 from tripmill.sources.session import in_parallel, scratch_dir
 from tripmill.spec import PipelineSpec
 
@@ -17,15 +21,19 @@ MONTHS = (1, 2, 3, 4, 5)
 FILES_PER_SERVICE = 5
 
 
-def fleet_spec(landing_root: str = "", prefix: str = "") -> PipelineSpec:
+def fleet_spec(landing_root: str = "") -> PipelineSpec:
     """The usual services over the months the derived trips are scoped to."""
-    return PipelineSpec(
-        landing_root=landing_root,
-        year=YEAR,
-        months=MONTHS,
-        bronze_schema=f"{prefix}bronze",
-        silver_schema=f"{prefix}silver",
-        gold_schema=f"{prefix}gold",
+    return PipelineSpec(landing_root=landing_root, year=YEAR, months=MONTHS)
+
+
+def in_own_schemas(spec: PipelineSpec) -> PipelineSpec:
+    """The same build in schemas nobody else uses."""
+    prefix = f"tripmill_{uuid.uuid4().hex[:12]}"
+    return replace(
+        spec,
+        bronze_schema=f"{prefix}_bronze",
+        silver_schema=f"{prefix}_silver",
+        gold_schema=f"{prefix}_gold",
     )
 
 
@@ -150,3 +158,16 @@ def landed_fleet(spark: SparkSession, sf_dir: str, redelivered: bool = False) ->
         root = scratch_dir(spark, "landing")
         _landed[key] = write_landing(spark, sf_dir, root, redelivered)
     return _landed[key]
+
+
+_built: dict[tuple[str, str], PipelineSpec] = {}
+
+
+def built_fleet(spark: SparkSession, sf_dir: str) -> PipelineSpec:
+    """All layers of these tables built from landing files, once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _built:
+        spec = in_own_schemas(landed_fleet(spark, sf_dir, redelivered=True))
+        run(spark, spec, scratch_dir(spark, "tables"))
+        _built[key] = spec
+    return _built[key]

@@ -120,10 +120,27 @@ SELECT CAST(vendorid AS BIGINT) AS vendorid,
 FROM yellow_once
 """
 
+_STATUS = """
+WITH expected AS (
+    SELECT service, CAST(i AS INTEGER) AS month,
+           service || '_tripdata_1997-0' || CAST(i AS VARCHAR) || '.parquet' AS file
+    FROM range(1, 7) months(i), (VALUES ('yellow'), ('green')) services(service)
+),
+landed AS (
+    SELECT 'yellow' AS service, l_orderkey % 5 + 1 AS month, count(*) AS n
+    FROM lineitem GROUP BY 2
+    UNION ALL
+    SELECT 'green', o_orderkey % 5 + 1, count(*) FROM orders GROUP BY 2
+)
+SELECT e.service, e.month, e.file, l.n IS NOT NULL AS present, CAST(l.n AS BIGINT) AS rows
+FROM expected e LEFT JOIN landed l ON l.service = e.service AND l.month = e.month
+"""
+
 _SILVER = f"{_LAYERS} SELECT * FROM silver"
 
 _ORACLES = {
     "landing_completeness": _COMPLETENESS,
+    "landing_status": _STATUS,
     "drift_report": _DRIFT,
     "bronze_conformed": _CONFORMED,
     "lineage_counts": """
@@ -236,5 +253,14 @@ _ORACLES = {
 }
 
 
+# The same question asked a second way must give the same rows.
+_SAME_AS = {
+    "bronze_union": "bronze_conformed",
+    "q1_monthly_avg_sql": "q1_monthly_avg",
+    "q1_overall_avg_sql": "q1_overall_avg",
+    "q2_hourly_avg_sql": "q2_hourly_avg",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return _ORACLES | {name: _ORACLES[other] for name, other in _SAME_AS.items()}

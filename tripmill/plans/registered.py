@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tripmill.functions.dates import month_label, month_start
 from tripmill.operators.analyses import hourly_avg, monthly_avg, overall_avg, service_split
-from tripmill.operators.conform import union_all
+from tripmill.operators.conform import conform_union, union_all
 from tripmill.operators.gold import gold_consumption, gold_trips
 from tripmill.operators.profile import (
     amount_profile,
@@ -23,14 +22,17 @@ from tripmill.operators.profile import (
 )
 from tripmill.operators.silver import distinct_rows, silver, silver_audit
 from tripmill.plans.fleet import (
+    built_fleet,
     fleet_spec,
+    in_own_schemas,
     landed_fleet,
     raw_trips,
     table,
 )
-from tripmill.plans.medallion import run, source_files
+from tripmill.plans.medallion import source_files
+from tripmill.plans.sql import hourly_avg_sql, monthly_avg_sql, overall_avg_sql
 from tripmill.sources.drifted import drift_report, scan_conformed
-from tripmill.sources.landing import match_arrivals
+from tripmill.sources.landing import landing_status, match_arrivals
 from tripmill.sources.session import scratch_dir
 from tripmill.sources.tables import bootstrap, overwrite_table, read_table
 
@@ -99,7 +101,7 @@ def silver_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver through a managed table in fresh schemas and back."""
-    spec = fleet_spec(prefix=f"tripmill_{uuid.uuid4().hex[:12]}_")
+    spec = in_own_schemas(fleet_spec())
     bootstrap(spark, spec, scratch_dir(spark, "tables"))
     target = spec.table(spec.silver_schema, "trips")
     overwrite_table(silver_trips(spark, sf_dir), target, spec.table_format)
@@ -136,15 +138,8 @@ def preview_mandated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def layer_sizes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole build, landing files to gold tables, then the size of each layer in SQL."""
-    prefix = f"tripmill_{uuid.uuid4().hex[:12]}_"
-    spec = replace(
-        landed_fleet(spark, sf_dir, redelivered=True),
-        bronze_schema=f"{prefix}bronze",
-        silver_schema=f"{prefix}silver",
-        gold_schema=f"{prefix}gold",
-    )
-    run(spark, spec, scratch_dir(spark, "tables"))
+    """The size of each layer, in SQL, after a whole build from landing files to gold."""
+    spec = built_fleet(spark, sf_dir)
     return layer_sizes(
         spark,
         {
@@ -157,11 +152,43 @@ def layer_sizes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landing_status_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed files of five months against six expected ones, with rows from the footers."""
+    spec = landed_fleet(spark, sf_dir)
+    expected = replace(spec, months=(*spec.months, max(spec.months) + 1))
+    return landing_status(spark, expected, check_footers=True).drop("size_mb")
+
+
+def bronze_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The drifted files as one frame each, conformed and unioned."""
+    files = source_files(landed_fleet(spark, sf_dir), "yellow")
+    return conform_union(
+        [spark.read.parquet(f.path).withColumn("_source_file", F.lit(f.name)) for f in files]
+    )
+
+
+def q1_monthly_avg_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = built_fleet(spark, sf_dir)
+    return spark.sql(monthly_avg_sql(str(spec.consumption_table("yellow"))))
+
+
+def q1_overall_avg_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = built_fleet(spark, sf_dir)
+    return spark.sql(overall_avg_sql(str(spec.consumption_table("yellow"))))
+
+
+def q2_hourly_avg_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spec = built_fleet(spark, sf_dir)
+    return spark.sql(hourly_avg_sql(str(spec.trips_table), *Q2_MONTH))
+
+
 def queries() -> dict[str, Query]:
     return {
         "landing_completeness": landing_completeness,
+        "landing_status": landing_status_query,
         "drift_report": drift_report_query,
         "bronze_conformed": bronze_conformed,
+        "bronze_union": bronze_union,
         "lineage_counts": lineage_counts,
         "sink_roundtrip": sink_roundtrip,
         "silver_trips": silver_trips,
@@ -176,8 +203,11 @@ def queries() -> dict[str, Query]:
         "quality_amount": lambda spark, d: amount_profile(_consumption(spark, d)),
         "quality_passengers": lambda spark, d: passenger_profile(_trips(spark, d), *Q2_MONTH),
         "q1_monthly_avg": lambda spark, d: monthly_avg(_consumption(spark, d)),
+        "q1_monthly_avg_sql": q1_monthly_avg_sql,
         "q1_overall_avg": lambda spark, d: overall_avg(_consumption(spark, d)),
+        "q1_overall_avg_sql": q1_overall_avg_sql,
         "q2_hourly_avg": lambda spark, d: hourly_avg(_trips(spark, d), *Q2_MONTH),
+        "q2_hourly_avg_sql": q2_hourly_avg_sql,
         "q2_service_split": lambda spark, d: service_split(_trips(spark, d), *Q2_MONTH),
         "events_hourly": lambda spark, d: hourly_avg(
             table(spark, d, "events"),

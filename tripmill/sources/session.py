@@ -13,10 +13,9 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 MIB = 1024 * 1024
-GIB = 1024 * MIB
 
 # A map side above this many tasks makes the driver's shuffle bookkeeping the bottleneck.
-_MAX_SCAN_TASKS = 100_000
+_MAX_SCAN_TASKS = 200_000
 _MAX_SHUFFLE_PARTITIONS = 40_000
 _SHUFFLE_TARGET = 256 * MIB
 
@@ -40,12 +39,13 @@ def sql_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
 def sized_settings(spark: SparkSession, input_bytes: int) -> dict[str, str]:
     """Scan split size and shuffle width for a job that reads ``input_bytes``.
 
-    Splits grow from 128 MiB to 1 GiB so that even a 100 TB scan stays near 100,000
-    tasks (only a few columns of each split are decoded). The shuffle gets one partition
-    per 256 MiB of input, never fewer than the session asks for; adaptive execution
-    merges what turns out small.
+    Splits grow from 128 MiB to 512 MiB so that a 100 TB scan stays near 200,000 tasks;
+    only a few columns of each split are decoded, and the copies inside one split are
+    collapsed in memory before the shuffle, so a split must not grow without bound. The
+    shuffle gets one partition per 256 MiB of input, never fewer than the session asks
+    for; adaptive execution merges what turns out small.
     """
-    split = min(GIB, max(128 * MIB, input_bytes // _MAX_SCAN_TASKS))
+    split = min(512 * MIB, max(128 * MIB, input_bytes // _MAX_SCAN_TASKS))
     wanted = min(_MAX_SHUFFLE_PARTITIONS, -(-input_bytes // _SHUFFLE_TARGET))
     current = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return {
