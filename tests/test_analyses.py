@@ -1,0 +1,193 @@
+from __future__ import annotations
+
+import pytest
+
+from helpers import bronze_rows, multiset, spec_for, trip
+from tripmill import (
+    amount_profile,
+    gold_consumption,
+    gold_trips,
+    hourly_avg,
+    layer_sizes,
+    monthly_avg,
+    overall_avg,
+    passenger_profile,
+    preview,
+    rows_per_key,
+    service_split,
+    silver,
+    trip_profile,
+)
+from tripmill.plans.sql import hourly_avg_sql, monthly_avg_sql, overall_avg_sql
+
+SPEC = spec_for()
+
+
+def silver_of(spark, rows, service="yellow"):
+    frame = bronze_rows(spark, rows)
+    described = SPEC.service(service)
+    return silver(
+        frame.withColumnsRenamed(
+            {
+                "tpep_pickup_datetime": described.pickup_col,
+                "tpep_dropoff_datetime": described.dropoff_col,
+            }
+        ),
+        SPEC,
+        service,
+    )
+
+
+@pytest.fixture(scope="module")
+def consumption(spark):
+    rows = [
+        trip("2023-01-05 08:00:00", amount=10.0),
+        trip("2023-01-06 08:30:00", amount=20.01),
+        trip("2023-01-07 09:00:00", amount=-99.0),
+        trip("2023-01-31 23:59:59.999999", amount=0.0),
+        trip("2023-02-01 00:00:00", amount=1.0),
+        trip("2023-03-12 02:30:00", amount=None),
+    ]
+    return gold_consumption(silver_of(spark, rows), SPEC, "yellow")
+
+
+@pytest.fixture(scope="module")
+def trips(spark):
+    yellow = [
+        trip("2023-05-01 00:00:00", passengers=2.0),
+        trip("2023-05-31 00:59:59.999999", passengers=1.0),
+        trip("2023-05-14 02:30:00", passengers=None),
+        trip("2023-05-14 02:31:00", passengers=0.0),
+        trip("2023-04-30 23:59:59.999999", passengers=6.0),
+    ]
+    green = [trip("2023-05-02 00:15:00", passengers=5.0), trip("2023-05-02 02:15:00", passengers=3.0)]
+    return gold_trips([silver_of(spark, yellow), silver_of(spark, green, "green")])
+
+
+def test_gold_contracts(consumption, trips):
+    assert consumption.dtypes == [
+        ("VendorID", "int"),
+        ("passenger_count", "int"),
+        ("total_amount", "double"),
+        ("tpep_pickup_datetime", "timestamp_ntz"),
+        ("tpep_dropoff_datetime", "timestamp_ntz"),
+    ]
+    assert trips.dtypes == [
+        ("service_type", "string"),
+        ("VendorID", "int"),
+        ("passenger_count", "int"),
+        ("pickup_datetime", "timestamp_ntz"),
+        ("dropoff_datetime", "timestamp_ntz"),
+        ("total_amount", "double"),
+    ]
+
+
+def test_monthly_avg(consumption):
+    result = monthly_avg(consumption)
+    assert result.dtypes == [("month", "string"), ("avg_total_amount", "double"), ("trips", "bigint")]
+    assert [tuple(r) for r in result.collect()] == [("2023-01", 10.0, 3), ("2023-02", 1.0, 1)]
+    assert [tuple(r) for r in monthly_avg(consumption, min_value=1.0).collect()][0] == (
+        "2023-01",
+        15.01,
+        2,
+    )
+    assert [r.month for r in monthly_avg(consumption, min_value=None).collect()] == [
+        "2023-01",
+        "2023-02",
+        "2023-03",
+    ]
+
+
+def test_rounding_is_half_up_on_the_decimal_digits(spark):
+    rows = [trip("2023-01-05 08:00:00", amount=1.005)]
+    gold = gold_consumption(silver_of(spark, rows), SPEC, "yellow")
+    assert monthly_avg(gold).first().avg_total_amount == 1.01
+
+
+def test_overall_avg(consumption):
+    row = overall_avg(consumption).first()
+    assert row.avg_total_amount_overall == round((10 + 20.01 + 0 + 1) / 4, 2)
+
+
+def test_hourly_avg(trips):
+    result = hourly_avg(trips, 2023, 5)
+    assert result.dtypes == [("hour_of_day", "int"), ("avg_passengers", "double"), ("trips", "bigint")]
+    assert [tuple(r) for r in result.collect()] == [(0, 2.667, 3), (2, 3.0, 1)]
+    assert [tuple(r) for r in hourly_avg(trips, 2023, 4).collect()] == [(23, 6.0, 1)]
+
+
+def test_service_split(trips):
+    assert [tuple(r) for r in service_split(trips, 2023, 5).collect()] == [
+        ("green", 4.0, 2),
+        ("yellow", 1.5, 2),
+    ]
+
+
+def test_sql_and_dataframe_agree(spark, consumption, trips):
+    consumption.createOrReplaceTempView("t_consumption")
+    trips.createOrReplaceTempView("t_trips")
+    pairs = [
+        (monthly_avg(consumption), monthly_avg_sql("t_consumption")),
+        (overall_avg(consumption), overall_avg_sql("t_consumption")),
+        (hourly_avg(trips, 2023, 5), hourly_avg_sql("t_trips", 2023, 5)),
+    ]
+    for frame, text in pairs:
+        answer = spark.sql(text)
+        assert answer.columns == frame.columns
+        assert answer.collect() == frame.collect()
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Beirut"])
+def test_answers_do_not_depend_on_the_session_zone(spark, consumption, trips, zone):
+    def answers():
+        return (
+            monthly_avg(consumption, min_value=None).collect(),
+            hourly_avg(trips, 2023, 5).collect(),
+            trip_profile(trips.withColumnRenamed("VendorID", "vendorid")).collect(),
+        )
+
+    utc = answers()
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert answers() == utc
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_profiles(consumption, trips):
+    assert amount_profile(consumption).first().asDict() == {
+        "rows": 6,
+        "negative": 1,
+        "zero": 1,
+        "min": -99.0,
+        "max": 20.01,
+        "avg_unfiltered": -13.6,
+    }
+    assert tuple(passenger_profile(trips, 2023, 5).first()) == (6, 1, 1)
+    per_service = {r.service_type: r for r in trip_profile(trips, ["service_type"]).collect()}
+    assert per_service["yellow"].passengers_null_or_zero == 2
+    assert per_service["green"].rows == 2
+    assert str(per_service["yellow"].min_pickup) == "2023-04-30 23:59:59.999999"
+
+
+def test_profiles_of_nothing(consumption, trips):
+    empty = amount_profile(consumption.limit(0)).first()
+    assert (empty.rows, empty.negative, empty.min) == (0, 0, None)
+    assert tuple(passenger_profile(trips.limit(0), 2023, 5).first()) == (0, 0, 0)
+    assert trip_profile(trips.limit(0)).first().total_amount_negative == 0
+    assert monthly_avg(consumption.limit(0)).isEmpty()
+    assert overall_avg(consumption.limit(0)).first()[0] is None
+
+
+def test_counts_sizes_and_previews(spark, trips, consumption):
+    assert [tuple(r) for r in rows_per_key(trips, "service_type").collect()] == [
+        ("green", 2),
+        ("yellow", 5),
+    ]
+    trips.createOrReplaceTempView("sized")
+    sizes = layer_sizes(spark, {"b": "sized", "a": "sized"})
+    assert [tuple(r) for r in sizes.collect()] == [("a", 7), ("b", 7)]
+    top = preview(consumption, 2, ["total_amount"], order_by=["total_amount"])
+    assert [r.total_amount for r in top.collect()] == [None, -99.0]
+    assert preview(consumption, 4).count() == 4
+    assert len(multiset(preview(consumption, 3, ["VendorID"]))) == 3

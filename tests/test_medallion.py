@@ -1,0 +1,158 @@
+from __future__ import annotations
+
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import multiset, own_schemas, plan, pushed, read_schemas
+from tripmill import (
+    MissingFilesError,
+    bronze,
+    hourly_avg,
+    monthly_avg,
+    read_table,
+    row_count,
+    rows_per_key,
+    run,
+    silver_audit,
+)
+from tripmill.plans.fleet import fleet_spec, landed_fleet, raw_trips
+from tripmill.plans.sql import hourly_avg_sql
+
+
+@pytest.fixture(scope="module")
+def landed(spark, sf_dir):
+    return landed_fleet(spark, sf_dir, redelivered=True)
+
+
+@pytest.fixture(scope="module", params=["plain", "monthly"])
+def built(spark, landed, request, tmp_path_factory):
+    spec = own_schemas(replace(landed, monthly_layout=request.param == "monthly"))
+    report = run(spark, spec, str(tmp_path_factory.mktemp(request.param)))
+    return spec, report
+
+
+def test_report_counts_are_the_tables_counts(spark, built):
+    spec, report = built
+    names = [spec.bronze_table("yellow"), spec.bronze_table("green")]
+    names += [spec.silver_table("yellow"), spec.silver_table("green")]
+    names += [spec.consumption_table("yellow"), spec.trips_table]
+    assert report.rows == {str(name): row_count(spark, name) for name in names}
+
+
+def test_audit_while_writing_equals_audit_by_query(spark, built, sf_dir):
+    spec, report = built
+    for service in ("yellow", "green"):
+        expected = silver_audit(raw_trips(spark, sf_dir, service), fleet_spec(), service).first()
+        audit = report.audits[service]
+        assert (audit.raw, audit.null_pickup, audit.in_scope, audit.kept) == (
+            expected.raw,
+            expected.null_pickup,
+            expected.in_scope,
+            expected.kept,
+        )
+        assert audit.out_of_scope + audit.duplicates + audit.kept == audit.raw
+    assert report.audits["yellow"].duplicates > 0
+
+
+def test_bronze_table(spark, built):
+    spec, _ = built
+    table = read_table(spark, spec.bronze_table("yellow"))
+    assert table.columns[-2:] == ["_source_file", "_ingested_at"]
+    assert table.select("_ingested_at").distinct().count() == 1
+    assert table.filter("_ingested_at IS NULL").isEmpty()
+    assert [r._source_file for r in rows_per_key(table, "_source_file").collect()] == [
+        spec.file_name("yellow", month) for month in spec.months
+    ]
+
+
+def test_published_schemas(spark, built):
+    spec, _ = built
+    extra = [("pickup_month", "string")] if spec.monthly_layout else []
+    assert read_table(spark, spec.consumption_table("yellow")).dtypes == [
+        ("VendorID", "int"),
+        ("passenger_count", "int"),
+        ("total_amount", "double"),
+        ("tpep_pickup_datetime", "timestamp_ntz"),
+        ("tpep_dropoff_datetime", "timestamp_ntz"),
+    ] + extra
+    assert read_table(spark, spec.trips_table).columns == [
+        "service_type",
+        "VendorID",
+        "passenger_count",
+        "pickup_datetime",
+        "dropoff_datetime",
+        "total_amount",
+    ] + [name for name, _ in extra]
+
+
+def test_answers_are_the_same_in_every_layout(spark, built, sf_dir):
+    from tripmill.plans.registered import queries
+
+    spec, _ = built
+    consumption = read_table(spark, spec.consumption_table("yellow"))
+    trips = read_table(spark, spec.trips_table)
+    assert monthly_avg(consumption).collect() == queries()["q1_monthly_avg"](spark, sf_dir).collect()
+    by_hour = queries()["q2_hourly_avg"](spark, sf_dir).collect()
+    assert hourly_avg(trips, 1997, 5).collect() == by_hour
+    assert spark.sql(hourly_avg_sql(str(spec.trips_table), 1997, 5)).collect() == by_hour
+
+
+def test_filters_and_columns_reach_the_scan(spark, built):
+    spec, _ = built
+    q1 = monthly_avg(read_table(spark, spec.consumption_table("yellow")))
+    assert all("GreaterThanOrEqual(total_amount,0.0)" in p for p in pushed(q1))
+    assert all("VendorID" not in s and "dropoff" not in s for s in read_schemas(q1))
+    q2 = hourly_avg(read_table(spark, spec.trips_table), 1997, 5)
+    for filters in pushed(q2):
+        assert "GreaterThanOrEqual(pickup_datetime,1997-05-01T00:00)" in filters
+        assert "LessThan(pickup_datetime,1997-06-01T00:00)" in filters
+        assert "GreaterThanOrEqual(passenger_count,1)" in filters
+    if spec.monthly_layout:
+        assert "pickup_month" in plan(q2).split("PartitionFilters: [")[1].split("]")[0]
+        assert len(q2.inputFiles()) < len(read_table(spark, spec.trips_table).inputFiles())
+
+
+def test_running_again_changes_nothing(spark, landed, tmp_path):
+    spec = own_schemas(landed)
+    first = run(spark, spec, str(tmp_path))
+    before = multiset(read_table(spark, spec.trips_table))
+    second = run(spark, spec, str(tmp_path))
+    assert first == second
+    assert multiset(read_table(spark, spec.trips_table)) == before
+
+
+def test_session_settings_are_left_alone(spark, built):
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def test_no_table_is_written_when_a_file_is_missing(spark, landed, tmp_path):
+    spec = own_schemas(replace(landed, months=(*landed.months, 6)))
+    with pytest.raises(MissingFilesError, match="1997-06"):
+        run(spark, spec, str(tmp_path))
+    assert spark.catalog.listTables(spec.bronze_schema) == []
+
+
+def test_footer_checks_and_executor_footers(spark, landed, tmp_path):
+    spec = own_schemas(landed)
+    report = run(spark, spec, str(tmp_path), check_footers=True, footers="executors")
+    assert report.audits["yellow"].raw == bronze(spark, landed, "yellow").count()
+
+
+def test_one_service_with_its_own_months(spark, landed, tmp_path):
+    """Any service can be the only one and have a consumption table."""
+    spec = own_schemas(
+        replace(
+            landed,
+            services=(landed.service("green"),),
+            consumption_services=("green",),
+            months=(2, 4),
+            exact_months=True,
+        )
+    )
+    run(spark, spec, str(tmp_path))
+    months = read_table(spark, spec.consumption_table("green")).select(
+        F.month("lpep_pickup_datetime").alias("m")
+    )
+    assert {r.m for r in months.distinct().collect()} <= {2, 4}

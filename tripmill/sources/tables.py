@@ -56,6 +56,9 @@ def overwrite_table(
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     # The new name is relative to the catalog of the renamed table.
     spark.sql(f"ALTER TABLE {fresh} RENAME TO `{table.schema}`.`{table.table}`")
+    if partition_by:
+        # Some catalogs leave the partitions of a renamed table at its old location.
+        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
 
 
 def overwrite_counted(
