@@ -18,7 +18,7 @@ from tripmill import (
     silver,
     trip_profile,
 )
-from tripmill.plans.sql import hourly_avg_sql, monthly_avg_sql, overall_avg_sql
+from tripmill.plans.answers import hourly_avg_sql, monthly_avg_sql, overall_avg_sql
 
 SPEC = spec_for()
 

@@ -228,3 +228,61 @@ def test_drift_report_flags_string_fallback(spark, tmp_path):
     two = write(spark.sql("SELECT 'x' AS k, 'b' AS s"), root / "a_2023-02.parquet")
     rows = {r.column_name: r.fell_back for r in drift_report(spark, [one, two]).collect()}
     assert rows == {"k": True, "s": False}
+
+
+def test_many_files_are_tagged_right(spark, tmp_path):
+    """More files than one scan tags, with a name that begins with another name."""
+    root = tmp_path / "yellow"
+    names = [f"a_{year}-{month:02d}.parquet" for year in (2023, 2024) for month in (1, 2, 3, 4, 5, 6, 7)]
+    names.append("a_2023-01.parquet.late")
+    files = []
+    for i, name in enumerate(names):
+        rows = spark.range(i + 1).withColumn("n", F.lit(name))
+        # Folders of part files and plain files, side by side.
+        if i % 2:
+            rows.repartition(2).write.parquet(str(root / name))
+        else:
+            rows.toPandas().to_parquet(_made(root) / name, index=False)
+        files.append(SourceFile(str(root / name)))
+    for footers in ("driver", "executors"):
+        if footers == "executors":
+            files, names = files[:-1], names[:-1]
+        result = scan_conformed(spark, files, footers=footers)
+        assert scans(result) == 2
+        assert result.filter("n <> _source_file").isEmpty()
+        assert result.select("_source_file").distinct().count() == len(names)
+
+
+def _made(folder):
+    folder.mkdir(exist_ok=True)
+    return folder
+
+
+def test_empty_files(spark, tmp_path):
+    root = tmp_path / "yellow"
+    one = write(spark.range(0), root / "a_2023-01.parquet")
+    two = write(spark.range(0), root / "a_2023-02.parquet")
+    assert scan_conformed(spark, [one, two]).isEmpty()
+    three = write(spark.range(4), root / "a_2023-03.parquet")
+    rows = scan_conformed(spark, [one, two, three]).select("_source_file").collect()
+    assert [r[0] for r in rows] == ["a_2023-03.parquet"] * 4
+
+
+def test_one_file_needs_no_path_at_all(spark, tmp_path):
+    one = write(spark.range(3), tmp_path / "yellow" / "a_2023-01.parquet")
+    result = scan_conformed(spark, [one])
+    assert "_metadata" not in plan(result) and "file_path" not in plan(result)
+    assert {r._source_file for r in result.collect()} == {"a_2023-01.parquet"}
+
+
+def test_a_raw_source_file_column_is_replaced(spark, tmp_path):
+    root = tmp_path / "yellow"
+    one = write(spark.sql("SELECT 1 AS k, 'old' AS _Source_File"), root / "a_2023-01.parquet")
+    two = write(spark.sql("SELECT 2 AS k"), root / "a_2023-02.parquet")
+    rows = {tuple(r) for r in scan_conformed(spark, [one, two]).collect()}
+    assert rows == {(1, "a_2023-01.parquet"), (2, "a_2023-02.parquet")}
+
+
+def test_file_names_must_be_plain():
+    with pytest.raises(ValueError, match="letters"):
+        SourceFile("/data/yellow/a b.parquet")

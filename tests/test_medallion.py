@@ -9,8 +9,13 @@ from helpers import multiset, own_schemas, plan, pushed, read_schemas
 from tripmill import (
     MissingFilesError,
     bronze,
+    checks,
     hourly_avg,
+    hourly_passengers,
+    monthly_amounts,
     monthly_avg,
+    overall_amount,
+    passengers_by_service,
     read_table,
     row_count,
     rows_per_key,
@@ -18,7 +23,7 @@ from tripmill import (
     silver_audit,
 )
 from tripmill.plans.fleet import fleet_spec, landed_fleet, raw_trips
-from tripmill.plans.sql import hourly_avg_sql
+from tripmill.plans.answers import hourly_avg_sql
 
 
 @pytest.fixture(scope="module")
@@ -99,6 +104,38 @@ def test_answers_are_the_same_in_every_layout(spark, built, sf_dir):
     assert spark.sql(hourly_avg_sql(str(spec.trips_table), 1997, 5)).collect() == by_hour
 
 
+def test_answers_follow_the_thresholds_of_the_spec(spark, built):
+    spec, _ = built
+    consumption = read_table(spark, spec.consumption_table("yellow"))
+    trips = read_table(spark, spec.trips_table)
+    strict = replace(spec, min_total_amount=50_000.0, min_passenger_count=4)
+    assert monthly_amounts(spark, spec, "yellow").collect() == monthly_avg(consumption).collect()
+    assert (
+        monthly_amounts(spark, strict, "yellow").collect()
+        == monthly_avg(consumption, min_value=50_000.0).collect()
+        != monthly_avg(consumption).collect()
+    )
+    assert overall_amount(spark, strict, "yellow").first()[0] > 50_000
+    assert (
+        hourly_passengers(spark, strict, 5).collect()
+        == hourly_avg(trips, 1997, 5, min_value=4).collect()
+    )
+    assert all(r.avg_passengers >= 4 for r in passengers_by_service(spark, strict, 5).collect())
+
+
+def test_checks_cover_every_layer(spark, built):
+    spec, report = built
+    found = checks(spark, spec, 5)
+    sizes = {r.tbl: r.rows for r in found["layer_sizes"].collect()}
+    assert sizes["gold.taxi_trips"] == sizes["silver.yellow"] + sizes["silver.green"]
+    assert sizes["bronze.yellow"] == report.audits["yellow"].raw
+    assert {r.service_type for r in found["service_rows"].collect()} == {"yellow", "green"}
+    assert found["trips.green"].first().rows == report.audits["green"].kept
+    assert found["amounts.yellow"].first().rows == report.audits["yellow"].kept
+    assert found["source_files.yellow"].count() == 5
+    assert found["passengers"].first().month_rows > 0
+
+
 def test_filters_and_columns_reach_the_scan(spark, built):
     spec, _ = built
     q1 = monthly_avg(read_table(spark, spec.consumption_table("yellow")))

@@ -12,6 +12,14 @@ from tripmill.operators.profile import (
     trip_profile,
 )
 from tripmill.operators.silver import SilverAudit, silver, silver_audit
+from tripmill.plans.answers import (
+    all_layer_sizes,
+    checks,
+    hourly_passengers,
+    monthly_amounts,
+    overall_amount,
+    passengers_by_service,
+)
 from tripmill.plans.medallion import RunReport, bronze, run
 from tripmill.sources.drifted import SourceFile, drift_report, scan_conformed
 from tripmill.sources.landing import MissingFilesError, landing_status, manifest, require_landing
@@ -26,21 +34,27 @@ __all__ = [
     "SilverAudit",
     "SourceFile",
     "TableName",
+    "all_layer_sizes",
     "amount_profile",
     "bootstrap",
     "bronze",
+    "checks",
     "conform_union",
     "drift_report",
     "gold_consumption",
     "gold_trips",
     "hourly_avg",
+    "hourly_passengers",
     "landing_status",
     "layer_sizes",
     "manifest",
+    "monthly_amounts",
     "monthly_avg",
+    "overall_amount",
     "overall_avg",
     "overwrite_table",
     "passenger_profile",
+    "passengers_by_service",
     "preview",
     "read_table",
     "require_landing",

@@ -14,13 +14,18 @@ from tripmill.operators.conform import conform_union, union_all
 from tripmill.operators.gold import gold_consumption, gold_trips
 from tripmill.operators.profile import (
     amount_profile,
-    layer_sizes,
     passenger_profile,
     preview,
     rows_per_key,
     trip_profile,
 )
 from tripmill.operators.silver import distinct_rows, silver, silver_audit
+from tripmill.plans.answers import (
+    all_layer_sizes,
+    hourly_avg_sql,
+    monthly_avg_sql,
+    overall_avg_sql,
+)
 from tripmill.plans.fleet import (
     built_fleet,
     fleet_spec,
@@ -30,7 +35,6 @@ from tripmill.plans.fleet import (
     table,
 )
 from tripmill.plans.medallion import source_files
-from tripmill.plans.sql import hourly_avg_sql, monthly_avg_sql, overall_avg_sql
 from tripmill.sources.drifted import drift_report, scan_conformed
 from tripmill.sources.landing import landing_status, match_arrivals
 from tripmill.sources.session import scratch_dir
@@ -139,17 +143,7 @@ def preview_mandated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def layer_sizes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The size of each layer, in SQL, after a whole build from landing files to gold."""
-    spec = built_fleet(spark, sf_dir)
-    return layer_sizes(
-        spark,
-        {
-            "bronze.yellow": str(spec.bronze_table("yellow")),
-            "bronze.green": str(spec.bronze_table("green")),
-            "silver.yellow": str(spec.silver_table("yellow")),
-            "silver.green": str(spec.silver_table("green")),
-            "gold.taxi_trips": str(spec.trips_table),
-        },
-    )
+    return all_layer_sizes(spark, built_fleet(spark, sf_dir))
 
 
 def landing_status_query(spark: SparkSession, sf_dir: str) -> DataFrame:

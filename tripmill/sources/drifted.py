@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import posixpath
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -20,6 +21,9 @@ SOURCE_FILE = "_source_file"
 
 # Up to this many files one schema read per file is quicker than a job over all footers.
 _DRIVER_FOOTERS = 64
+# Telling rows of one scan apart by file costs a little per file and row, see `_source_tag`.
+_FILES_PER_SCAN = 12
+_PLAIN_NAME = re.compile(r"[A-Za-z0-9_.\-]+")
 
 
 @dataclass(frozen=True)
@@ -28,6 +32,11 @@ class SourceFile:
 
     path: str
 
+    def __post_init__(self) -> None:
+        # Spark reports paths URL-encoded; plain names look the same either way.
+        if not _PLAIN_NAME.fullmatch(self.name):
+            raise ValueError(f"use only letters, digits, '_', '-' and '.': {self.name!r}")
+
     @property
     def name(self) -> str:
         return posixpath.basename(self.path.rstrip("/"))
@@ -141,14 +150,24 @@ class ScanGroup:
     """Files that one scan can read: for every shared column they ask for the same type."""
 
     read_types: dict[str, T.DataType]
+    names: set[str]
     paths: list[str]
 
-    def accepts(self, wanted: dict[str, T.DataType]) -> bool:
-        return all(self.read_types.get(name, dt) == dt for name, dt in wanted.items())
+    def accepts(self, entry: FileSchema, wanted: dict[str, T.DataType]) -> bool:
+        has_room = entry.file.name in self.names or len(self.names) < _FILES_PER_SCAN
+        return has_room and all(
+            self.read_types.get(name, data_type) == data_type
+            for name, data_type in wanted.items()
+        )
 
-    def add(self, wanted: dict[str, T.DataType], paths: Sequence[str]) -> None:
+    def add(self, entry: FileSchema, wanted: dict[str, T.DataType]) -> None:
         self.read_types.update(wanted)
-        self.paths.extend(paths)
+        self.names.add(entry.file.name)
+        self.paths.extend(entry.paths)
+
+    @property
+    def schema(self) -> T.StructType:
+        return T.StructType([T.StructField(n, dt) for n, dt in self.read_types.items()])
 
 
 def scan_groups(
@@ -160,15 +179,39 @@ def scan_groups(
         wanted = {
             field.name: read_type(field.dataType, target[field.name])
             for field in entry.schema.fields
+            if field.name != SOURCE_FILE
         }
-        group = next((g for g in groups if g.accepts(wanted)), None)
+        group = next((g for g in groups if g.accepts(entry, wanted)), None)
         if group is None:
-            group = ScanGroup({}, [])
+            group = ScanGroup({}, set(), [])
             groups.append(group)
-        group.add(wanted, entry.paths)
+        group.add(entry, wanted)
     return groups
 
 
+def _source_tag(scan: DataFrame, names: set[str], root: str) -> Column:
+    """The logical file a row of this scan came from.
+
+    Cutting the name out of a long path costs about as much per row as decoding the row.
+    Comparing the path with the few paths that can occur is several times cheaper, and the
+    exact spelling of those paths is read off one row. Anything unexpected is still cut.
+    """
+    if len(names) == 1:
+        return F.lit(next(iter(names)))
+    path = F.col("_metadata.file_path")
+    cut = _first_segment_below(path, root)
+    sample = scan.select(path, cut).first()
+    if sample is None:
+        return cut
+    folder = sample[0][: sample[0].rindex(f"/{sample[1]}") + 1]
+    tag = None
+    # Longest first, should one name begin with another.
+    for name in sorted(names, key=lambda n: (-len(n), n)):
+        condition = path.startswith(folder + name)
+        tag = F.when(condition, name) if tag is None else tag.when(condition, name)
+    return tag.otherwise(cut)
+
+
 def scan_conformed(
     spark: SparkSession,
     files: Sequence[SourceFile],
@@ -179,7 +222,7 @@ def scan_conformed(
 
     Columns come in first-seen order over the files as given, with ``_source_file`` right
     after the columns of the first file. The number of scans is the number of groups of
-    compatible schemas, not the number of files.
+    compatible schemas (of at most a dozen files each), not the number of files.
     """
     if spark.conf.get("spark.sql.caseSensitive") == "true":
         # The reader would not match `VendorID` to `vendorid`; go file by file instead.
@@ -200,24 +243,14 @@ def scan_conformed(
         ],
         lossless,
     )
-    data_target = {name: dt for name, dt in target.items() if name != SOURCE_FILE}
     frames = []
-    for group in scan_groups(
-        [FileSchema(s.file, s.paths, _without_tag(s.schema)) for s in schemas], data_target
-    ):
-        stored = T.StructType(
-            [T.StructField(name, dt) for name, dt in group.read_types.items()]
-        )
-        scan = spark.read.schema(stored).parquet(*group.paths)
-        source = _first_segment_below(F.col("_metadata.file_path"), root)
-        frames.append(conform(scan.withColumn(SOURCE_FILE, source), target))
+    for group in scan_groups(schemas, target):
+        scan = spark.read.schema(group.schema).parquet(*group.paths)
+        tagged = scan.withColumn(SOURCE_FILE, _source_tag(scan, group.names, root))
+        frames.append(conform(tagged, target))
     return union_all(frames)
 
 
-def _without_tag(schema: T.StructType) -> T.StructType:
-    return T.StructType([f for f in schema.fields if f.name != SOURCE_FILE])
-
-
 def drift_report(
     spark: SparkSession,
     files: Sequence[SourceFile],
@@ -242,12 +275,13 @@ def drift_report(
     )
     # No data column is read: the reader takes the row counts from the footers.
     paths = [path for s in schemas for path in s.paths]
-    source = _first_segment_below(F.col("_metadata.file_path"), _parent(files))
     counts = (
         spark.read.schema(schemas[0].schema)
         .parquet(*paths)
-        .groupBy(source.alias("file"))
-        .agg(F.count(F.lit(1)).alias("rows_in_file"))
+        .groupBy(F.col("_metadata.file_path").alias("path"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(_first_segment_below(F.col("path"), _parent(files)).alias("file"))
+        .agg(F.sum("n").alias("rows_in_file"))
     )
     per_file = sightings.groupBy("file", "column_name", "target_type").agg(
         F.collect_set("type").alias("types")
