@@ -41,3 +41,17 @@ def test_entry(spark):
     result = entry_points.entry(spark)
     assert result.columns == ["month", "avg_total_amount", "trips"]
     assert result.count() == 5
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Beirut"])
+@pytest.mark.parametrize(
+    "name", ["q1_monthly_avg", "q2_hourly_avg", "q2_hourly_avg_sql", "landing_completeness"]
+)
+def test_queries_do_not_depend_on_the_session_zone(spark, sf_dir, name, zone):
+    query = entry_points.queries()[name]
+    utc = query(spark, sf_dir).collect()
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        assert query(spark, sf_dir).collect() == utc
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -14,8 +14,10 @@ from tripmill.spec import PipelineSpec
 PICKUP_MONTH = "pickup_month"
 
 
-def gold_consumption(silver: DataFrame, spec: PipelineSpec, service: str) -> DataFrame:
-    """One service under its original column names."""
+def gold_consumption(
+    silver: DataFrame, spec: PipelineSpec, service: str, extra: Sequence[str] = ()
+) -> DataFrame:
+    """One service under its original column names (and ``extra`` silver columns last)."""
     described = spec.service(service)
     return silver.select(
         F.col("vendorid").alias("VendorID"),
@@ -23,11 +25,12 @@ def gold_consumption(silver: DataFrame, spec: PipelineSpec, service: str) -> Dat
         "total_amount",
         F.col("pickup_datetime").alias(described.pickup_col),
         F.col("dropoff_datetime").alias(described.dropoff_col),
+        *extra,
     )
 
 
-def gold_trips(silvers: Sequence[DataFrame]) -> DataFrame:
-    """All services together."""
+def gold_trips(silvers: Sequence[DataFrame], extra: Sequence[str] = ()) -> DataFrame:
+    """All services together (and ``extra`` silver columns last)."""
     return union_all(silvers).select(
         "service_type",
         F.col("vendorid").alias("VendorID"),
@@ -35,9 +38,10 @@ def gold_trips(silvers: Sequence[DataFrame]) -> DataFrame:
         "pickup_datetime",
         "dropoff_datetime",
         "total_amount",
+        *extra,
     )
 
 
-def with_pickup_month(df: DataFrame, pickup_col: str) -> DataFrame:
+def with_pickup_month(silver: DataFrame) -> DataFrame:
     """Add the partition column of the monthly layout (``yyyy-MM``) at the end."""
-    return df.withColumn(PICKUP_MONTH, month_label(F.col(pickup_col)))
+    return silver.withColumn(PICKUP_MONTH, month_label(F.col("pickup_datetime")))

@@ -12,7 +12,7 @@ from tripmill.operators.gold import PICKUP_MONTH, gold_consumption, gold_trips,
 from tripmill.operators.silver import COPIES, SilverAudit, silver_counted
 from tripmill.sources.drifted import SourceFile, scan_conformed
 from tripmill.sources.landing import require_landing
-from tripmill.sources.session import in_parallel, sized_settings, sql_conf
+from tripmill.sources.session import in_parallel, monthly_settings, sized_settings, sql_conf
 from tripmill.sources.tables import bootstrap, overwrite_counted, read_table
 from tripmill.spec import PipelineSpec
 
@@ -60,19 +60,15 @@ def write_silver(
     Both counts come from the rows written: how many, and how many copies they stand for.
     """
     rows = silver_counted(read_table(spark, spec.bronze_table(service)), spec, service)
-    partition_by: Sequence[str] = ()
     if spec.monthly_layout:
-        # Gather each month in few, evenly sized tasks: adaptive execution splits a month
-        # that is too big for one task and merges months that are small.
-        rows = with_pickup_month(rows, "pickup_datetime").hint("rebalance", PICKUP_MONTH)
-        partition_by = (PICKUP_MONTH,)
+        rows = with_pickup_month(rows)
     counts = overwrite_counted(
         rows,
         spec.silver_table(service),
         {"kept": F.count(F.lit(1)), "in_scope": F.sum(COPIES)},
         drop=[COPIES],
         table_format=spec.table_format,
-        partition_by=partition_by,
+        partition_by=_partitioning(spec),
     )
     return SilverAudit(
         service=service,
@@ -83,38 +79,30 @@ def write_silver(
     )
 
 
-def _publish(
-    spec: PipelineSpec, df: DataFrame, pickup_col: str
-) -> tuple[DataFrame, Sequence[str]]:
-    """The frame to write and its partitioning.
-
-    Silver files already hold one month each in the monthly layout, so gold needs no
-    shuffle of its own to be partitioned the same way.
-    """
-    if not spec.monthly_layout:
-        return df, ()
-    return with_pickup_month(df, pickup_col), (PICKUP_MONTH,)
+def _partitioning(spec: PipelineSpec) -> Sequence[str]:
+    """Gold is partitioned like silver, whose files hold one month each in the monthly
+    layout, so it needs no shuffle of its own."""
+    return (PICKUP_MONTH,) if spec.monthly_layout else ()
 
 
 def write_consumption(spark: SparkSession, spec: PipelineSpec, service: str) -> int:
     source = read_table(spark, spec.silver_table(service))
-    df, partition_by = _publish(
-        spec, gold_consumption(source, spec, service), spec.service(service).pickup_col
-    )
     counts = overwrite_counted(
-        df,
+        gold_consumption(source, spec, service, extra=_partitioning(spec)),
         spec.consumption_table(service),
         table_format=spec.table_format,
-        partition_by=partition_by,
+        partition_by=_partitioning(spec),
     )
     return counts["rows"]
 
 
 def write_trips(spark: SparkSession, spec: PipelineSpec) -> int:
     sources = [read_table(spark, spec.silver_table(s.name)) for s in spec.services]
-    df, partition_by = _publish(spec, gold_trips(sources), "pickup_datetime")
     counts = overwrite_counted(
-        df, spec.trips_table, table_format=spec.table_format, partition_by=partition_by
+        gold_trips(sources, extra=_partitioning(spec)),
+        spec.trips_table,
+        table_format=spec.table_format,
+        partition_by=_partitioning(spec),
     )
     return counts["rows"]
 
@@ -141,7 +129,10 @@ def run(
     names = [s.name for s in spec.services]
     rows: dict[str, int] = {}
     audits: dict[str, SilverAudit] = {}
-    with sql_conf(spark, sized_settings(spark, landed_bytes)):
+    settings = sized_settings(spark, landed_bytes)
+    if spec.monthly_layout:
+        settings |= monthly_settings(len(spec.months))
+    with sql_conf(spark, settings):
         built = in_parallel(spark, [lambda n=n: build(n) for n in names])
         for name, (came_in, audit) in zip(names, built):
             rows[str(spec.bronze_table(name))] = came_in["rows"]

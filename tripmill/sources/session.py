@@ -54,6 +54,20 @@ def sized_settings(spark: SparkSession, input_bytes: int) -> dict[str, str]:
     }
 
 
+def monthly_settings(months: int) -> dict[str, str]:
+    """For writing tables partitioned by month straight out of the dedupe shuffle.
+
+    Rows are spread by their hash, so every task holds a bit of every month, however
+    uneven the months are. Tasks take on a normal file's worth of rows per month, and write
+    all months (12 at most) side by side instead of sorting by month first. Gathering each
+    month in its own tasks would cost a second shuffle of everything.
+    """
+    return {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(min(8, months) * 64 * MIB),
+        "spark.sql.maxConcurrentOutputFileWriters": "12",
+    }
+
+
 def listing_settings() -> dict[str, str]:
     """For scans that read file metadata only.
 
