@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -182,19 +184,33 @@ def test_unreadable_and_absent_files_are_named(spark, tmp_path):
         )
 
 
+# Every stored type a column may have, and a way to fill it.
+FILLED = {
+    **{
+        name: f"CAST(id AS {name})"
+        for name in ("tinyint", "smallint", "int", "bigint", "float", "double", "string")
+    },
+    "decimal(9,2)": "CAST(id AS DECIMAL(9,2))",
+    "decimal(12,1)": "CAST(id AS DECIMAL(12,1))",
+    "boolean": "id > 0",
+    "date": "date_add(DATE'2023-01-31', CAST(id AS INT))",
+    "timestamp": "TIMESTAMP'2023-01-31 10:00:00' + id * INTERVAL '1' HOUR",
+    "timestamp_ntz": "TIMESTAMP_NTZ'2023-01-31 10:00:00' + id * INTERVAL '1' HOUR",
+}
+
+
 @pytest.mark.parametrize("footers", ["driver", "executors"])
 def test_every_kind_of_mix_reads(spark, tmp_path, footers):
     """One column per pair of types over two files: grouping must avoid unreadable pairs."""
-    names = ["tinyint", "smallint", "int", "bigint", "float", "double", "string", "decimal(9,2)"]
-    pairs = [(a, b) for a in names for b in names]
+    pairs = [(a, b) for a in FILLED for b in FILLED]
     base = spark.range(-2, 3)
     root = tmp_path / "yellow"
     one = write(
-        base.select([F.col("id").cast(a).alias(f"c{i}") for i, (a, _) in enumerate(pairs)]),
+        base.select([F.expr(FILLED[a]).alias(f"c{i}") for i, (a, _) in enumerate(pairs)]),
         root / "a_2023-01.parquet",
     )
     two = write(
-        base.select([F.col("id").cast(b).alias(f"C{i}") for i, (_, b) in enumerate(pairs)]),
+        base.select([F.expr(FILLED[b]).alias(f"C{i}") for i, (_, b) in enumerate(pairs)]),
         root / "a_2023-02.parquet",
     )
     grouped = scan_conformed(spark, [one, two], footers=footers)
@@ -203,6 +219,31 @@ def test_every_kind_of_mix_reads(spark, tmp_path, footers):
     assert multiset(grouped) == multiset(reference)
 
 
+COLUMN = st.tuples(
+    st.sampled_from(["k", "K", "fee", "Fee", "FEE", "note"]),
+    st.sampled_from(["tinyint", "int", "bigint", "float", "double", "string", "date"]),
+)
+FILE = st.lists(COLUMN, min_size=1, max_size=4, unique_by=lambda c: c[0].lower())
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(FILE, st.integers(0, 4)), min_size=1, max_size=5))
+def test_any_drift_keeps_every_row(spark, tmp_path_factory, drifting):
+    """Grouped scan and frame-by-frame union agree on whatever files turn up."""
+    root = tmp_path_factory.mktemp("drift") / "yellow"
+    files = []
+    for i, (columns, rows) in enumerate(drifting):
+        frame = spark.range(rows).select([F.expr(FILLED[t]).alias(n) for n, t in columns])
+        files.append(write(frame, root / f"a_2023-{i + 1:02d}.parquet"))
+    grouped, reference = scan_conformed(spark, files), per_file(spark, files)
+    assert grouped.schema == reference.schema
+    assert multiset(grouped) == multiset(reference)
+    assert grouped.count() == sum(rows for _, rows in drifting)
+    backwards = scan_conformed(spark, files[::-1])
+    assert dict(backwards.dtypes) == dict(grouped.dtypes)
+    assert multiset(backwards) == multiset(grouped)
+
+
 def test_lossless_mode_reaches_the_scan(spark, tmp_path):
     big = 2**24 + 1
     root = tmp_path / "yellow"
@@ -268,6 +309,32 @@ def test_empty_files(spark, tmp_path):
     assert [r[0] for r in rows] == ["a_2023-03.parquet"] * 4
 
 
+def test_many_files_pick_the_executors_and_fall_back(spark, tmp_path, monkeypatch):
+    from pyspark.errors import PythonException
+
+    from tripmill.sources import drifted
+
+    root = tmp_path / "yellow"
+    files = [write(spark.range(i, i + 1), root / f"a_2023-{i:02d}.parquet") for i in (1, 2, 3)]
+    monkeypatch.setattr(drifted, "_DRIVER_FOOTERS", 2)
+    calls = []
+    by_fingerprint = drifted._schemas_by_fingerprint
+
+    def recorded(spark, files):
+        calls.append(len(files))
+        return by_fingerprint(spark, files)
+
+    monkeypatch.setattr(drifted, "_schemas_by_fingerprint", recorded)
+    expected = multiset(per_file(spark, files))
+    assert multiset(scan_conformed(spark, files)) == expected and calls == [3]
+
+    def no_storage(spark, files):
+        raise PythonException("no such file system")
+
+    monkeypatch.setattr(drifted, "_schemas_by_fingerprint", no_storage)
+    assert multiset(scan_conformed(spark, files)) == expected
+
+
 def test_one_file_needs_no_path_at_all(spark, tmp_path):
     one = write(spark.range(3), tmp_path / "yellow" / "a_2023-01.parquet")
     result = scan_conformed(spark, [one])

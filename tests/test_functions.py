@@ -145,6 +145,7 @@ def test_gap_months_stay_unless_exact():
     [
         {"months": ()},
         {"months": (0,)},
+        {"months": (1, 1)},
         {"services": ()},
         {"on_bad_cast": "skip"},
         {"consumption_services": ("purple",)},

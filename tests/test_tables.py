@@ -20,7 +20,7 @@ def spec(spark, tmp_path_factory):
 
 
 def tables_in(spark, schema):
-    return {t.name for t in spark.catalog.listTables(schema)}
+    return {t.name for t in spark.catalog.listTables(schema) if not t.isTemporary}
 
 
 def test_overwrite_replaces_rows_and_schema(spark, spec):

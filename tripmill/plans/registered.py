@@ -147,10 +147,20 @@ def layer_sizes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landing_status_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed files of five months against six expected ones, with rows from the footers."""
+    """Landed files of five months against six expected ones, with the rows of each file."""
     spec = landed_fleet(spark, sf_dir)
     expected = replace(spec, months=(*spec.months, max(spec.months) + 1))
-    return landing_status(spark, expected, check_footers=True).drop("size_mb")
+    rows = union_all(
+        [
+            rows_per_key(scan_conformed(spark, source_files(spec, s)), "_source_file")
+            for s in SERVICES
+        ]
+    ).withColumnsRenamed({"_source_file": "file", "count": "rows"})
+    return (
+        match_arrivals(landing_status(spark, expected), rows, ["file"])
+        .drop("size_mb")
+        .orderBy("service", "month")
+    )
 
 
 def bronze_union(spark: SparkSession, sf_dir: str) -> DataFrame:

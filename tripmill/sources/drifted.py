@@ -7,6 +7,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import PythonException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,12 +60,18 @@ def file_schemas(
     ``"driver"`` asks Spark for the schema of each logical file. ``"executors"`` reads all
     footers in one job, fetches one row per distinct schema of each logical file, and then
     asks Spark for the schema of one file per distinct fingerprint. This also splits a
-    folder whose part files drifted. ``"auto"`` picks by the number of files.
+    folder whose part files drifted, but needs storage that Python on the executors can
+    open. ``"auto"`` picks by the number of files and falls back to ``"driver"``.
     """
     if not files:
         raise ValueError("no input files")
-    if footers == "auto":
-        footers = "driver" if len(files) <= _DRIVER_FOOTERS else "executors"
+    if footers == "auto" and len(files) > _DRIVER_FOOTERS:
+        try:
+            return _schemas_by_fingerprint(spark, files)
+        except PythonException:
+            footers = "driver"
+    elif footers == "auto":
+        footers = "driver"
     if footers == "driver":
         schemas = _schemas_of(spark, [f.path for f in files])
         return [FileSchema(f, (f.path,), s) for f, s in zip(files, schemas)]

@@ -91,6 +91,8 @@ class PipelineSpec:
             raise ValueError("a spec needs at least one service")
         if not self.months or not all(1 <= m <= 12 for m in self.months):
             raise ValueError(f"months must be a non-empty list of 1..12: {self.months}")
+        if len(set(self.months)) != len(self.months):
+            raise ValueError(f"a month listed twice would be read twice: {self.months}")
         if self.on_bad_cast not in ("fail", "null"):
             raise ValueError(f"on_bad_cast must be 'fail' or 'null': {self.on_bad_cast!r}")
         names = [s.name for s in self.services]
