@@ -61,8 +61,8 @@ def test_nothing_to_union_is_an_error(spark):
 
 
 def test_odd_column_names_survive(spark):
-    frame = spark.range(2).select(F.col("id").alias("a.b c"))
-    assert conform_union([frame, frame]).columns == ["a.b c"]
+    frame = spark.range(2).select(F.col("id").alias("a.b `c"))
+    assert conform_union([frame, frame]).columns == ["a.b `c"]
 
 
 def test_many_frames_become_one_union(spark):
@@ -353,3 +353,9 @@ def test_a_raw_source_file_column_is_replaced(spark, tmp_path):
 def test_file_names_must_be_plain():
     with pytest.raises(ValueError, match="letters"):
         SourceFile("/data/yellow/a b.parquet")
+
+
+def test_the_folder_must_have_a_plain_name(spark, tmp_path):
+    one = write(spark.range(1), tmp_path / "my files" / "a_2023-01.parquet")
+    with pytest.raises(ValueError, match="the folder needs a name"):
+        scan_conformed(spark, [one])

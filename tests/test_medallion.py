@@ -43,7 +43,7 @@ def test_report_counts_are_the_tables_counts(spark, built):
     names = [spec.bronze_table("yellow"), spec.bronze_table("green")]
     names += [spec.silver_table("yellow"), spec.silver_table("green")]
     names += [spec.consumption_table("yellow"), spec.trips_table]
-    assert report.rows == {str(name): row_count(spark, name) for name in names}
+    assert report.rows == {name: row_count(spark, name) for name in names}
 
 
 def test_audit_while_writing_equals_audit_by_query(spark, built, sf_dir):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,12 +48,13 @@ def target_schema(
 def conform(df: DataFrame, target: Mapping[str, T.DataType]) -> DataFrame:
     """Exactly the target columns, cast to the target types; missing ones are typed NULLs."""
     have = set(df.columns)
-    return df.select(
-        [
-            (F.col(f"`{name}`") if name in have else F.lit(None)).cast(data_type).alias(name)
-            for name, data_type in target.items()
-        ]
-    )
+
+    def column(name: str) -> Column:
+        if name not in have:
+            return F.lit(None)
+        return F.col("`{}`".format(name.replace("`", "``")))
+
+    return df.select([column(name).cast(dt).alias(name) for name, dt in target.items()])
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

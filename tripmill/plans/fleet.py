@@ -131,10 +131,25 @@ def drifted(trips: DataFrame, number: int) -> DataFrame:
 def write_landing(
     spark: SparkSession, sf_dir: str, root: str, redelivered: bool = False
 ) -> PipelineSpec:
-    """Land every derived trip as monthly files of both services below ``root``."""
+    """Land every derived trip as monthly files of both services below ``root``.
+
+    The trips are split by file number in one pass over the tables; each file, which has
+    a schema of its own, is then written from its own part.
+    """
     spec = fleet_spec(root)
-    yellow = yellow_trips(spark, sf_dir, redelivered)
-    green = green_trips(spark, sf_dir)
+
+    def split(trips: DataFrame) -> DataFrame:
+        parts = scratch_dir(spark, "parts")
+        trips.write.partitionBy("file_number").parquet(parts)
+        return spark.read.parquet(parts)
+
+    yellow, green = in_parallel(
+        spark,
+        [
+            lambda: split(yellow_trips(spark, sf_dir, redelivered)),
+            lambda: split(green_trips(spark, sf_dir)),
+        ],
+    )
     jobs = []
     for number in range(1, FILES_PER_SERVICE + 1):
         month = MONTHS[number - 1]

@@ -14,16 +14,16 @@ from tripmill.sources.drifted import SourceFile, scan_conformed
 from tripmill.sources.landing import require_landing
 from tripmill.sources.session import in_parallel, monthly_settings, sized_settings, sql_conf
 from tripmill.sources.tables import bootstrap, overwrite_counted, read_table
-from tripmill.spec import PipelineSpec
+from tripmill.spec import PipelineSpec, TableName
 
 INGESTED_AT = "_ingested_at"
 
 
 @dataclass(frozen=True)
 class RunReport:
-    """What a run wrote: row counts per table name and the silver accounting per service."""
+    """What a run wrote: row counts per table and the silver accounting per service."""
 
-    rows: dict[str, int]
+    rows: dict[TableName, int]
     audits: dict[str, SilverAudit]
 
 
@@ -127,7 +127,7 @@ def run(
         return came_in, write_silver(spark, spec, service, came_in)
 
     names = [s.name for s in spec.services]
-    rows: dict[str, int] = {}
+    rows: dict[TableName, int] = {}
     audits: dict[str, SilverAudit] = {}
     settings = sized_settings(spark, landed_bytes)
     if spec.monthly_layout:
@@ -135,13 +135,13 @@ def run(
     with sql_conf(spark, settings):
         built = in_parallel(spark, [lambda n=n: build(n) for n in names])
         for name, (came_in, audit) in zip(names, built):
-            rows[str(spec.bronze_table(name))] = came_in["rows"]
-            rows[str(spec.silver_table(name))] = audit.kept
+            rows[spec.bronze_table(name)] = came_in["rows"]
+            rows[spec.silver_table(name)] = audit.kept
             audits[name] = audit
         gold = {
-            str(spec.consumption_table(n)): (lambda n=n: write_consumption(spark, spec, n))
+            spec.consumption_table(n): (lambda n=n: write_consumption(spark, spec, n))
             for n in spec.consumption_services
         }
-        gold[str(spec.trips_table)] = lambda: write_trips(spark, spec)
+        gold[spec.trips_table] = lambda: write_trips(spark, spec)
         rows.update(zip(gold, in_parallel(spark, list(gold.values()))))
     return RunReport(rows, audits)

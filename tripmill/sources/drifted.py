@@ -143,7 +143,10 @@ def _parent(files: Sequence[SourceFile]) -> str:
     parents = {posixpath.dirname(f.path.rstrip("/")) for f in files}
     if len(parents) != 1:
         raise ValueError(f"files of one table must share a folder: {sorted(parents)}")
-    return parents.pop()
+    [parent] = parents
+    if not _PLAIN_NAME.fullmatch(posixpath.basename(parent)):
+        raise ValueError(f"the folder needs a name of letters, digits, '_', '-', '.': {parent!r}")
+    return parent
 
 
 def _first_segment_below(path: Column, root: str) -> Column:
