@@ -132,7 +132,8 @@ landed AS (
     UNION ALL
     SELECT 'green', o_orderkey % 5 + 1, count(*) FROM orders GROUP BY 2
 )
-SELECT e.service, e.month, e.file, l.n IS NOT NULL AS present, CAST(l.n AS BIGINT) AS rows
+SELECT e.service, e.month, e.file, l.n IS NOT NULL AS present,
+       COALESCE(CAST(l.n AS BIGINT), 0) AS rows_found
 FROM expected e LEFT JOIN landed l ON l.service = e.service AND l.month = e.month
 """
 

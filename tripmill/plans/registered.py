@@ -158,7 +158,13 @@ def landing_status_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumnsRenamed({"_source_file": "file", "count": "rows"})
     return (
         match_arrivals(landing_status(spark, expected), rows, ["file"])
-        .drop("size_mb")
+        .select(
+            "service",
+            "month",
+            "file",
+            "present",
+            F.coalesce("rows", F.lit(0)).alias("rows_found"),
+        )
         .orderBy("service", "month")
     )
 
