@@ -60,7 +60,10 @@ def trips(spark):
         trip("2023-05-14 02:31:00", passengers=0.0),
         trip("2023-04-30 23:59:59.999999", passengers=6.0),
     ]
-    green = [trip("2023-05-02 00:15:00", passengers=5.0), trip("2023-05-02 02:15:00", passengers=3.0)]
+    green = [
+        trip("2023-05-02 00:15:00", passengers=5.0),
+        trip("2023-05-02 02:15:00", passengers=3.0),
+    ]
     return gold_trips([silver_of(spark, yellow), silver_of(spark, green, "green")])
 
 
@@ -84,7 +87,11 @@ def test_gold_contracts(consumption, trips):
 
 def test_monthly_avg(consumption):
     result = monthly_avg(consumption)
-    assert result.dtypes == [("month", "string"), ("avg_total_amount", "double"), ("trips", "bigint")]
+    assert result.dtypes == [
+        ("month", "string"),
+        ("avg_total_amount", "double"),
+        ("trips", "bigint"),
+    ]
     assert [tuple(r) for r in result.collect()] == [("2023-01", 10.0, 3), ("2023-02", 1.0, 1)]
     assert [tuple(r) for r in monthly_avg(consumption, min_value=1.0).collect()][0] == (
         "2023-01",
@@ -111,7 +118,11 @@ def test_overall_avg(consumption):
 
 def test_hourly_avg(trips):
     result = hourly_avg(trips, 2023, 5)
-    assert result.dtypes == [("hour_of_day", "int"), ("avg_passengers", "double"), ("trips", "bigint")]
+    assert result.dtypes == [
+        ("hour_of_day", "int"),
+        ("avg_passengers", "double"),
+        ("trips", "bigint"),
+    ]
     assert [tuple(r) for r in result.collect()] == [(0, 2.667, 3), (2, 3.0, 1)]
     assert [tuple(r) for r in hourly_avg(trips, 2023, 4).collect()] == [(23, 6.0, 1)]
 

@@ -274,7 +274,7 @@ def test_drift_report_flags_string_fallback(spark, tmp_path):
 def test_many_files_are_tagged_right(spark, tmp_path):
     """More files than one scan tags, with a name that begins with another name."""
     root = tmp_path / "yellow"
-    names = [f"a_{year}-{month:02d}.parquet" for year in (2023, 2024) for month in (1, 2, 3, 4, 5, 6, 7)]
+    names = [f"a_{year}-{month:02d}.parquet" for year in (2023, 2024) for month in range(1, 8)]
     names.append("a_2023-01.parquet.late")
     files = []
     for i, name in enumerate(names):

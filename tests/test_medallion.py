@@ -98,7 +98,8 @@ def test_answers_are_the_same_in_every_layout(spark, built, sf_dir):
     spec, _ = built
     consumption = read_table(spark, spec.consumption_table("yellow"))
     trips = read_table(spark, spec.trips_table)
-    assert monthly_avg(consumption).collect() == queries()["q1_monthly_avg"](spark, sf_dir).collect()
+    by_month = queries()["q1_monthly_avg"](spark, sf_dir).collect()
+    assert monthly_avg(consumption).collect() == by_month
     by_hour = queries()["q2_hourly_avg"](spark, sf_dir).collect()
     assert hourly_avg(trips, 1997, 5).collect() == by_hour
     assert spark.sql(hourly_avg_sql(str(spec.trips_table), 1997, 5)).collect() == by_hour

@@ -42,12 +42,12 @@ def bronze(
 def write_bronze(
     spark: SparkSession, spec: PipelineSpec, service: str, footers: str = "auto"
 ) -> dict[str, int]:
-    """Write the bronze table; returns ``rows`` and ``pickups`` (non-NULL pickup times)."""
-    pickup = spec.service(service).pickup_col.lower()
+    """Write the bronze table; returns ``rows`` and ``pickups`` (usable pickup times)."""
+    pickup = F.col(f"`{spec.service(service).pickup_col.lower()}`").try_cast("timestamp_ntz")
     return overwrite_counted(
         bronze(spark, spec, service, footers),
         spec.bronze_table(service),
-        {"rows": F.count(F.lit(1)), "pickups": F.count(F.col(f"`{pickup}`"))},
+        {"rows": F.count(F.lit(1)), "pickups": F.count(pickup)},
         table_format=spec.table_format,
     )
 

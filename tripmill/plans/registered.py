@@ -63,7 +63,9 @@ def landing_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected (service, month) grid against the months trips arrived for."""
     expected = (
         spark.range(GRID_MONTHS)
-        .withColumn("first_day", F.add_months(F.lit(GRID_START).cast("date"), F.col("id").cast("int")))
+        .withColumn(
+            "first_day", F.add_months(F.lit(GRID_START).cast("date"), F.col("id").cast("int"))
+        )
         .select(F.explode(F.array(*map(F.lit, SERVICES))).alias("service"), "first_day")
     )
     arrived = union_all(

@@ -13,7 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmill.functions.types import read_type
-from tripmill.operators.conform import conform, conform_union, lower_schema, target_schema, union_all
+from tripmill.operators.conform import (
+    conform,
+    conform_union,
+    lower_schema,
+    target_schema,
+    union_all,
+)
 from tripmill.sources.footers import footer_facts
 from tripmill.sources.landing import listing
 from tripmill.sources.session import in_parallel, listing_settings, sql_conf
@@ -277,7 +283,12 @@ def drift_report(
     target = target_schema([s.schema for s in schemas], lossless)
     sightings = spark.createDataFrame(
         [
-            (s.file.name, field.name, field.dataType.simpleString(), target[field.name].simpleString())
+            (
+                s.file.name,
+                field.name,
+                field.dataType.simpleString(),
+                target[field.name].simpleString(),
+            )
             for s in schemas
             for field in s.schema.fields
         ],
