@@ -152,6 +152,22 @@ def test_filters_and_columns_reach_the_scan(spark, built):
         assert len(q2.inputFiles()) < len(read_table(spark, spec.trips_table).inputFiles())
 
 
+def test_files_are_sorted_by_pickup_time(spark, built):
+    import pyarrow.parquet as pq
+
+    spec, _ = built
+    seen = 0
+    for table, column in (
+        (spec.silver_table("yellow"), "pickup_datetime"),
+        (spec.silver_table("green"), "pickup_datetime"),
+    ):
+        for uri in read_table(spark, table).inputFiles():
+            times = pq.ParquetFile(uri.replace("file://", "")).read([column])[column].to_pylist()
+            assert times == sorted(times)
+            seen += len(times)
+    assert seen == sum(audit.kept for audit in built[1].audits.values())
+
+
 def test_running_again_changes_nothing(spark, landed, tmp_path):
     spec = own_schemas(landed)
     first = run(spark, spec, str(tmp_path))
