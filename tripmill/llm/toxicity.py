@@ -18,11 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Labelled rows a model is fitted on at most, and the words of each that training reads.
-MAX_ROWS = 20_000
+#: Labelled rows a model is fitted on at most; each is read whole.
+MAX_ROWS = 10_000
 BUCKETS = 1 << 16
-DIMENSIONS = 8
-EPOCHS = 12
+DIMENSIONS = 4
+EPOCHS = 6
+BATCH = 64
+RATE = 1.0
 REMEMBERED = 200_000
 
 
@@ -43,7 +45,9 @@ class Model:
     bias: float
 
 
-def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int) -> list[tuple]:
+def sample(
+    docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int
+) -> DataFrame:
     """At most ``rows`` labelled texts as (label, text), chosen by a hash of the id."""
     keys = labels.select(F.col(id_col).alias("_key"), F.col(label_col).cast("int").alias("_label"))
     keys = keys.filter(F.col("_label").isin(0, 1)).orderBy(F.xxhash64("_key"), "_key", "_label").limit(rows)
@@ -54,40 +58,40 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
 def fit(bags: list[tuple[int, np.ndarray, np.ndarray]], seed: int = 1) -> Model:
     """Train on (label, subword buckets, their share of the text), by mini-batch AdaGrad.
 
-    Classes weigh alike however rare one is. Without both classes the model is even.
+    Without both classes the model is even. The same bags give the same model.
     """
     rng = np.random.default_rng(seed)
-    vectors = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS)).astype(np.float32)
-    output = rng.normal(0, 0.1, (DIMENSIONS, 2)).astype(np.float32)
+    vectors = rng.normal(0, 0.01, (BUCKETS, DIMENSIONS)).astype(np.float32)
+    output = rng.normal(0, DIMENSIONS**-0.5, (DIMENSIONS, 2)).astype(np.float32)
     bias = np.zeros(2, np.float32)
-    label = np.array([b[0] for b in bags], np.int64)
+    bags = [bag for bag in bags if len(bag[1])]
+    label = np.array([bag[0] for bag in bags], np.int64)
     if len(set(label.tolist())) < 2:
         return Model(np.zeros(BUCKETS, np.float32), 0.0)
-    weight = (len(label) / (2 * np.bincount(label, minlength=2)))[label].astype(np.float32)
-    seen_v, seen_o, seen_b = np.full(BUCKETS, 1e-6, np.float32), np.full(output.shape, 1e-6, np.float32), np.full(2, 1e-6, np.float32)
-    size = 64
+    seen_vectors = np.full(BUCKETS, 1e-8, np.float32)
+    seen_output, seen_bias = np.full(output.shape, 1e-6, np.float32), np.full(2, 1e-6, np.float32)
     for epoch in range(EPOCHS):
-        rate = 0.3 * (1 - epoch / EPOCHS)
-        for some in np.array_split(order := rng.permutation(len(bags)), max(1, len(order) // size)):
-            rows = np.repeat(np.arange(len(some)), [len(bags[i][1]) for i in some])
+        rate = RATE * (1 - epoch / EPOCHS)
+        for some in np.array_split(rng.permutation(len(bags)), max(1, len(bags) // BATCH)):
+            sizes = [len(bags[i][1]) for i in some]
             buckets = np.concatenate([bags[i][1] for i in some])
-            share = np.concatenate([bags[i][2] for i in some])
-            text = np.stack([np.bincount(rows, share * vectors[buckets, d], len(some)) for d in range(DIMENSIONS)], 1).astype(np.float32)
+            share = np.concatenate([bags[i][2] for i in some])[:, None]
+            text = np.add.reduceat(vectors[buckets] * share, np.r_[0, np.cumsum(sizes)[:-1]])
             logits = text @ output + bias
-            p = np.exp(logits - logits.max(1, keepdims=True))
-            p /= p.sum(1, keepdims=True)
-            p[np.arange(len(some)), label[some]] -= 1
-            p *= weight[some][:, None]
-            back = p @ output.T
-            for table, seen, step in ((output, seen_o, text.T @ p / len(some)), (bias, seen_b, p.mean(0))):
+            error = np.exp(logits - logits.max(1, keepdims=True))
+            error /= error.sum(1, keepdims=True)
+            error[np.arange(len(some)), label[some]] -= 1
+            back = np.repeat(error @ output.T, sizes, axis=0) * share
+            for values, seen, step in (
+                (output, seen_output, text.T @ error / len(some)),
+                (bias, seen_bias, error.mean(0)),
+            ):
                 seen += step**2
-                table -= rate * step / np.sqrt(seen)
-            touched, inverse = np.unique(buckets, return_inverse=True)
-            step = np.stack([np.bincount(inverse, share * back[rows, d]) for d in range(DIMENSIONS)], 1).astype(np.float32)
-            seen_v[touched] += (step**2).mean(1)
-            vectors[touched] -= rate * step / np.sqrt(seen_v[touched])[:, None]
-    difference = output[:, 1] - output[:, 0]
-    return Model(vectors @ difference, float(bias[1] - bias[0]))
+                values -= rate * step / np.sqrt(seen)
+            step = np.stack([np.bincount(buckets, b, BUCKETS) for b in back.T], 1).astype(np.float32)
+            seen_vectors += (step**2).mean(1)
+            vectors -= rate * step / np.sqrt(seen_vectors)[:, None]
+    return Model(vectors @ (output[:, 1] - output[:, 0]), float(bias[1] - bias[0]))
 
 
 def train(
