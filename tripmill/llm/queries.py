@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import language, packing, toxicity
+from tripmill.llm import decontamination, language, packing, perspectives, search, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +27,21 @@ def encoder() -> Callable[[str], list[int]]:
     return packing.byte_bpe(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    n_hit = F.aggregate("hits", F.lit(0), lambda n, span: n + span["end"] - span["start"])
+    return found.select(
+        "doc_id",
+        F.col("n_words").cast("long").alias("n_words"),
+        n_hit.cast("long").alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), encoder)
     return packed.select(
@@ -34,6 +49,14 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op7_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives.rotate(table(spark, sf_dir, "conversations"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, sf_dir, "labels").filter(fold() != 0))
@@ -58,11 +81,70 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_decontamination": op2_decontamination,
         "op4_packing": op4_packing,
+        "op5_search": op5_search,
+        "op7_perspectives": op7_perspectives,
         "op9_toxicity": op9_toxicity,
         "op10_language": op10_language,
     }
 
 
+_DECONTAMINATION = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bl AS (SELECT item, w, least(len(w), 10) AS n FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item, n, array_to_string(w[s : s + n - 1], ' ') AS t
+       FROM (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM bl)),
+dw AS (SELECT doc_id, n, s, array_to_string(w[s : s + n - 1], ' ') AS t
+       FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s
+             FROM d, (SELECT DISTINCT n FROM bl) WHERE len(w) >= n)),
+hits AS (SELECT doc_id, s, dw.n AS n, item FROM dw JOIN bw ON dw.t = bw.t AND dw.n = bw.n),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+            FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id),
+named AS (SELECT doc_id, count(DISTINCT item) AS n_items,
+                 string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hits GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+_SEARCH = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+           FROM embeddings
+           WHERE embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+q AS (SELECT * FROM v WHERE vec_id % 50 = 0),
+x AS (SELECT q.vec_id AS query_id, c.vec_id,
+             CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+      FROM q JOIN v c ON c.vec_id <> q.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM x)
+WHERE rank <= 5
+"""
+
+_PERSPECTIVES = """
+WITH s AS (SELECT conv_id, turn, role AS speaker, replace(coalesce(text, ''), '<|', '< |') AS t FROM conversations),
+p AS (SELECT DISTINCT conv_id AS c, speaker AS perspective FROM s WHERE speaker IS NOT NULL AND speaker <> 'system'),
+j AS (SELECT conv_id, turn, perspective, t,
+             CASE WHEN speaker = 'system' THEN 'system' WHEN speaker = perspective THEN 'assistant' ELSE 'user' END AS role,
+             translate(replace(speaker, '<|', '< |'), chr(13) || chr(10), '  ') AS shown
+      FROM s JOIN p ON s.conv_id IS NOT DISTINCT FROM p.c),
+k AS (SELECT conv_id, turn, perspective, t, role, CASE WHEN role = 'user' THEN shown END AS name FROM j),
+h AS (SELECT *, '<|im_start|>' || role || coalesce(' name=' || name, '') || chr(10) AS header FROM k)
+SELECT conv_id, turn, perspective, role, name, header || t || '<|im_end|>' || chr(10) AS rendered,
+       CASE WHEN role = 'assistant' THEN CAST(length(header) AS INTEGER) END AS mask_start,
+       CASE WHEN role = 'assistant' THEN CAST(length(header) + length(t) + 10 AS INTEGER) END AS mask_end
+FROM h
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_decontamination": _DECONTAMINATION,
+        "op5_search": _SEARCH,
+        "op7_perspectives": _PERSPECTIVES,
+    }
