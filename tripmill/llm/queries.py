@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import decontamination, language, packing, perspectives, search, toxicity
+from tripmill.llm import (
+    decontamination,
+    language,
+    near_duplicates,
+    packing,
+    perspectives,
+    search,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -57,6 +65,10 @@ def op7_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perspectives.rotate(table(spark, sf_dir, "conversations"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.train(docs, table(spark, sf_dir, "labels").filter(fold() != 0))
@@ -85,6 +97,7 @@ def queries() -> dict[str, Query]:
         "op4_packing": op4_packing,
         "op5_search": op5_search,
         "op7_perspectives": op7_perspectives,
+        "op8_near_duplicates": op8_near_duplicates,
         "op9_toxicity": op9_toxicity,
         "op10_language": op10_language,
     }
