@@ -9,11 +9,15 @@ from pyspark.sql import DataFrame
 
 
 def by_group(
-    frame: DataFrame, keys: list[str], run: Callable[[pa.Table], pa.RecordBatch | None], schema: str
+    frame: DataFrame,
+    keys: list[str],
+    run: Callable[[pa.Table], pa.RecordBatch | None],
+    schema: str,
+    order: tuple[str, ...] = (),
 ) -> DataFrame:
     """``run`` over tables of whole groups: rows with equal ``keys`` come in one table.
 
-    The rows are dealt out and sorted by ``keys``, so a task holds the groups of about one
+    The rows are dealt out and sorted by ``keys``, then ``order``, so a task holds the groups of about one
     Arrow batch, and its largest group. Callers keep groups small.
     """
 
@@ -45,4 +49,4 @@ def by_group(
             yield out
 
     parts = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return frame.repartition(parts, *keys).sortWithinPartitions(*keys).mapInArrow(whole, schema)
+    return frame.repartition(parts, *keys).sortWithinPartitions(*keys, *order).mapInArrow(whole, schema)

@@ -14,6 +14,7 @@ from tripmill.llm import (
     packing,
     perspectives,
     search,
+    substring_dedup,
     toxicity,
 )
 
@@ -35,15 +36,26 @@ def encoder() -> Callable[[str], list[int]]:
     return packing.byte_bpe(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def _covered(spans: str) -> Column:
+    """How many symbols merged spans cover."""
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda n, span: n + span["end"] - span["start"])
+
+
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", _covered("spans").alias("n_removed"), F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     )
-    n_hit = F.aggregate("hits", F.lit(0), lambda n, span: n + span["end"] - span["start"])
+    n_hit = _covered("hits")
     return found.select(
         "doc_id",
         F.col("n_words").cast("long").alias("n_words"),
-        n_hit.cast("long").alias("n_hit"),
+        n_hit.alias("n_hit"),
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
@@ -93,6 +105,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_substring_dedup": op1_substring_dedup,
         "op2_decontamination": op2_decontamination,
         "op4_packing": op4_packing,
         "op5_search": op5_search,
