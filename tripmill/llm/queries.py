@@ -15,6 +15,7 @@ from tripmill.llm import (
     perspectives,
     search,
     substring_dedup,
+    suffix_dedup,
     toxicity,
 )
 
@@ -73,6 +74,16 @@ def op5_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        _covered("spans").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return perspectives.rotate(table(spark, sf_dir, "conversations"))
 
@@ -109,6 +120,7 @@ def queries() -> dict[str, Query]:
         "op2_decontamination": op2_decontamination,
         "op4_packing": op4_packing,
         "op5_search": op5_search,
+        "op6_suffix_dedup": op6_suffix_dedup,
         "op7_perspectives": op7_perspectives,
         "op8_near_duplicates": op8_near_duplicates,
         "op9_toxicity": op9_toxicity,
