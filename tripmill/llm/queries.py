@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tripmill.llm import (
     decontamination,
     language,
+    lm,
     near_duplicates,
     packing,
     perspectives,
@@ -63,6 +64,13 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm.score(table(spark, sf_dir, "documents"), fold() != 1)
+    return scored.select(
+        "doc_id", (fold() == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), encoder)
     return packed.select(
@@ -118,6 +126,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
         "op2_decontamination": op2_decontamination,
+        "op3_lm": op3_lm,
         "op4_packing": op4_packing,
         "op5_search": op5_search,
         "op6_suffix_dedup": op6_suffix_dedup,
