@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import packing, toxicity
+from tripmill.llm import decontamination, near_duplicates, packing, substring_dedup, toxicity
 from tripmill.llm.queries import encoder, table
 from tripmill.llm.scratch import written
 
@@ -15,12 +15,53 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: A document is rejected as toxic from this score on.
 TOXIC = 0.5
+#: Near duplicates share so many of a hundred five-word shingles.
+SIMILAR = 80
+#: Passages of so many words stay in the first document that has them.
+PASSAGE = 50
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below ``TOXIC`` by a model of the labelled ones among them."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).filter(F.col("toxicity") < TOXIC).select(docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    return toxicity.score(rows, model).filter(F.col("toxicity") < TOXIC).select("row.*")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest id, of each group of near duplicates."""
+    found = near_duplicates.near_duplicates(docs, percent=SIMILAR)
+    gone = written(found.filter(~F.col("kept")).select("doc_id"), "gone")
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without passages that start earlier elsewhere; left out where nothing stays.
+
+    A text that loses nothing stays as it is; in one that does, words are joined by one space.
+    """
+    found = substring_dedup.dedup(docs, window=PASSAGE, carry=docs.columns)
+    cut = F.size("spans") > 0
+    text = F.when(cut, F.col("kept_text")).otherwise(F.col("carried.text"))
+    kept = found.filter(~cut | (F.col("kept_text") != "")).withColumn("_text", text)
+    new = {"text": F.col("_text"), "n_chars": F.coalesce(F.length("_text"), F.lit(0)).cast("long")}
+    return kept.select(
+        *[
+            F.when(cut, new[c].cast(docs.schema[c].dataType)).otherwise(F.col("carried")[c]).alias(c)
+            if c in new
+            else F.col("carried")[c].alias(c)
+            for c in docs.columns
+        ]
+    )
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that share no window of words with a benchmark item."""
+    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
+    bad = found.filter(F.size("hits") > 0).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    bad = written(bad, "contaminated")
+    same = docs["doc_id"].eqNullSafe(bad["_id"]) & (F.xxhash64(docs["text"]) == bad["_hash"])
+    return docs.join(bad, same, "left_anti")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,6 +71,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", drop_toxic),
+    ("near duplicates", drop_near_duplicates),
+    ("substring dedup", cut_repeated_passages),
+    ("decontamination", drop_contaminated),
     ("packing", pack),
 ]
 
@@ -41,5 +85,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written and read by the next."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs

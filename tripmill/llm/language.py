@@ -7,7 +7,6 @@ profile lacks adds the most. The language with the smallest sum wins.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,91 +18,84 @@ from pyspark.sql import types as T
 UNKNOWN = "und"
 PROFILE = 400
 LONGEST = 3
-REMEMBERED = 100_000
+#: N-grams a task sums up before it hands the sums on.
+HELD = 4_000_000
 
 #: Parts in which the most frequent n-grams of a language are first looked for.
 _SALTS = 32
 
+#: Stands for a word's edge; no letter has this code point.
+_EDGE = 1
+_BITS = 21
+_LETTERS = 1 << 17
 
-def words_of(text: str) -> Counter:
-    """The words of letters only, in lower case, with their counts."""
-    return Counter("".join([c if c.isalpha() else " " for c in text.lower()]).split()) if not text.isascii() else Counter(
-        text.lower().translate(_ASCII_BLANKS).split()
-    )
-
-
-_ASCII_BLANKS = {i: " " for i in range(128) if not chr(i).isalpha()}
-
-
-def grams_of(word: str) -> list[str]:
-    """The n-grams of a word with its ends marked, repeats included."""
-    marked = f"_{word}_"
-    return [marked[i : i + n] for n in range(1, LONGEST + 1) for i in range(len(marked) - n + 1) if marked[i : i + n] != "_"]
 
+def letter_table() -> np.ndarray:
+    """Which of the first ``_LETTERS`` code points are letters."""
+    return np.array([chr(i).isalpha() for i in range(_LETTERS)])
 
-class Grams:
-    """Numbers for n-grams, and the numbers of frequent words; starts anew when large."""
 
-    def __init__(self, fixed: list[str] = ()) -> None:
-        self.fixed = list(fixed)
-        self.numbers = {gram: i for i, gram in enumerate(self.fixed)}
-        self.words: dict[str, np.ndarray] = {}
+def grams(text: str, letters: np.ndarray) -> np.ndarray:
+    """The n-grams of one to ``LONGEST`` letters of a text in lower case, repeats included.
 
-    def of(self, word: str) -> np.ndarray:
-        found = self.words.get(word)
-        if found is None:
-            found = np.array([self.numbers.setdefault(g, len(self.numbers)) for g in grams_of(word)], np.int64)
-            if len(self.words) < REMEMBERED:
-                self.words[word] = found
-        return found
-
-    def count(self, words: Counter) -> tuple[np.ndarray, np.ndarray]:
-        """The numbers of the n-grams in ``words`` and how often each occurs."""
-        if len(self.numbers) > 1_000_000:
-            self.__init__(self.fixed)
-        parts = [self.of(word) for word in words]
-        if not parts:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        times = np.repeat(np.fromiter(words.values(), np.int64, len(parts)), [len(p) for p in parts])
-        counts = np.bincount(np.concatenate(parts), times).astype(np.int64)
-        present = np.flatnonzero(counts)
-        return present, counts[present]
+    A word is a run of letters, with an edge on both sides; an n-gram stays in one word. It is
+    written as its code points, 21 bits each.
+    """
+    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    letter = letters[np.minimum(points, _LETTERS - 1)]
+    for i in np.flatnonzero(points >= _LETTERS).tolist():
+        letter[i] = chr(points[i]).isalpha()
+    after = np.zeros(len(points), bool)
+    after[1:] = letter[:-1]
+    chain = np.full(len(points) + 2, _EDGE, np.int64)
+    kept = np.where(letter, points, _EDGE)[letter | after]
+    chain[1 : len(kept) + 1] = kept
+    chain = chain[: len(kept) + (1 if len(kept) and kept[-1] == _EDGE else 2)]
+    found = [chain[chain != _EDGE]]
+    codes, inner = chain, np.ones(len(chain), bool)
+    for n in range(2, LONGEST + 1):
+        codes = codes[:-1] << _BITS | chain[n - 1 :]
+        if n > 2:
+            inner = inner[:-1] & (chain[n - 2 : -1] != _EDGE)
+        else:
+            inner = inner[:-1]
+        found.append(codes[inner])
+    return np.concatenate(found) if len(found[0]) else found[0]
 
 
 def gram_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     """``lang, gram, n`` over all texts, summed in each task before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words: dict[str, Counter] = {}
-
-        def flush() -> pa.RecordBatch:
-            sums: dict[tuple[str, str], int] = {}
-            for lang, counter in words.items():
-                total: Counter = Counter()
-                for word, n in counter.items():
-                    for gram in grams_of(word):
-                        total[gram] += n
-                sums.update({(lang, gram): n for gram, n in total.items()})
-            words.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in sums], pa.string()), pa.array([k[1] for k in sums], pa.string()), pa.array(list(sums.values()), pa.int64())],
-                names=["lang", "gram", "n"],
-            )
+        letters = letter_table()
+        held: dict[str, list[np.ndarray]] = {}
+        size = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for lang in list(held):
+                codes, counts = np.unique(np.concatenate(held.pop(lang)), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(codes), pa.string()), pa.array(codes, pa.int64()), pa.array(counts, pa.int64())],
+                    names=["lang", "gram", "n"],
+                )
 
         for batch in batches:
             for text, lang in zip(batch.column(0), batch.column(1).to_pylist()):
-                words.setdefault(lang, Counter()).update(words_of(text.as_py()))
-                if sum(map(len, words.values())) > 200_000:
-                    yield flush()
-        yield flush()
+                found = grams(text.as_py(), letters)
+                held.setdefault(lang, []).append(found)
+                size += len(found)
+                if size > HELD:
+                    yield from flush()
+                    size = 0
+        yield from flush()
 
     known = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).dropna()
-    partial = known.mapInArrow(run, "lang string, gram string, n long")
+    partial = known.mapInArrow(run, "lang string, gram long, n long")
     return partial.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", size: int = PROFILE) -> dict[str, list[str]]:
-    """The ``size`` most frequent n-grams of each language, ties in code point order.
+def profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", size: int = PROFILE) -> dict[str, list[int]]:
+    """The ``size`` most frequent n-grams of each language, ties in the order of their codes.
 
     Counts cover every text with a language. The best are found in parts first, so no task
     sorts all n-grams of a language; ``size`` rows per language come to the driver.
@@ -113,7 +105,7 @@ def profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", si
     for keys in (["lang", "_part"], ["lang"]):
         rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*best))
         counts = counts.withColumn("rank", rank).filter(F.col("rank") <= size)
-    found: dict[str, list[str]] = {}
+    found: dict[str, list[int]] = {}
     for row in counts.select("lang", "gram", "rank").orderBy("lang", "rank").collect():
         found.setdefault(row.lang, []).append(row.gram)
     return found
@@ -121,7 +113,7 @@ def profiles(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", si
 
 def identify(
     docs: DataFrame,
-    languages: dict[str, list[str]],
+    languages: dict[str, list[int]],
     text_col: str = "text",
     size: int = PROFILE,
 ) -> DataFrame:
@@ -132,41 +124,47 @@ def identify(
     minus the winner's distance over the largest possible one.
     """
     names = sorted(languages)
-    fixed = sorted({g for n in names for g in languages[n]})
-    index = {g: i for i, g in enumerate(fixed)}
+    fixed = np.array(sorted({g for n in names for g in languages[n]}), np.int64)
     places = np.full((len(names), len(fixed)), -1, np.int64)
     for i, name in enumerate(names):
-        places[i, [index[g] for g in languages[name]]] = np.arange(len(languages[name]))
-    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType())])
+        places[i, np.searchsorted(fixed, languages[name])] = np.arange(len(languages[name]))
+    # Equal counts in a text are ordered by the n-gram's places in the profiles, then by its code.
+    usual = np.where(places >= 0, places, size).sum(0)
+    schema = T.StructType(
+        [
+            *docs.schema.fields,
+            T.StructField("lang_pred", T.StringType()),
+            T.StructField("lang_score", T.DoubleType()),
+        ]
+    )
     at = docs.columns.index(text_col)
 
+    def of(text: str, letters: np.ndarray) -> tuple[str, float]:
+        codes, counts = np.unique(grams(text, letters), return_counts=True)
+        if not len(codes) or not len(fixed):
+            return UNKNOWN, 0.0
+        if len(codes) > size:
+            keep = counts >= np.partition(counts, -size)[-size]
+            codes, counts = codes[keep], counts[keep]
+        where = np.minimum(np.searchsorted(fixed, codes), len(fixed) - 1)
+        known = fixed[where] == codes
+        order = np.lexsort((codes, np.where(known, usual[where], size * len(names)), -counts))[:size]
+        known, where = known[order], where[order]
+        place = places[:, where[known]]
+        out = np.where(place >= 0, abs(place - np.flatnonzero(known)), size).sum(1) + size * int((~known).sum())
+        winner = int(out.argmin())
+        return names[winner], 1 - float(out[winner]) / (size * len(order))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = Grams(fixed)
-        # Equal counts in a text are ordered by the n-gram's overall place, then its number.
-        usual = np.where(places >= 0, places, size).sum(0) if names else None
+        letters = letter_table()
         for batch in batches:
-            predictions, scores = [], []
-            for text in batch.column(at):
-                words = words_of(text.as_py() or "")
-                if not words or not names:
-                    predictions.append(UNKNOWN)
-                    scores.append(0.0)
-                    continue
-                present, counts = grams.count(words)
-                if len(present) > size:
-                    keep = counts >= np.partition(counts, -size)[-size]
-                    present, counts = present[keep], counts[keep]
-                tie = np.where(present < len(fixed), usual[np.minimum(present, len(fixed) - 1)], size * len(names))
-                ranked = present[np.lexsort((present, tie, -counts))][:size]
-                known = ranked < len(fixed)
-                where = places[:, ranked[known]]
-                out = np.where(where >= 0, abs(where - np.flatnonzero(known)), size).sum(1)
-                out = out + size * int((~known).sum())
-                winner = int(out.argmin())
-                predictions.append(names[winner])
-                scores.append(1 - float(out[winner]) / (size * len(ranked)))
+            found = [of(text.as_py() or "", letters) for text in batch.column(at)]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(predictions, pa.string()), pa.array(scores, pa.float64())],
+                [
+                    *batch.columns,
+                    pa.array([name for name, _ in found], pa.string()),
+                    pa.array([value for _, value in found], pa.float64()),
+                ],
                 names=schema.fieldNames(),
             )
 

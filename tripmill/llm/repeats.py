@@ -8,7 +8,7 @@ each shard finds the windows they share.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -59,10 +59,13 @@ class Rule:
         return values, first, starts, ends
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``_id, _hash, _text``: rows that repeat an id are told apart by their texts."""
+def keyed(docs: DataFrame, id_col: str, text_col: str, carry: Sequence[str] = ()) -> DataFrame:
+    """``_id, _hash, _text, carried``: rows that repeat an id are told apart by their texts."""
     return docs.select(
-        F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_hash"), F.col(text_col).alias("_text")
+        F.col(id_col).alias("_id"),
+        F.xxhash64(F.col(text_col)).alias("_hash"),
+        F.col(text_col).alias("_text"),
+        *([F.struct(*[F.col(c) for c in carry]).alias("carried")] if carry else []),
     )
 
 
@@ -191,6 +194,7 @@ def _settled(pieces: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
 
 def repeated_spans(rows: DataFrame, rule: Rule) -> DataFrame:
     """``_id, _hash, spans``: of each text the (start, end) of symbols that go, unmerged."""
+    rows = rows.select("_id", "_hash", "_text")
     if _repeats(rows):  # equal rows are one document
         rows = rows.dropDuplicates(["_id", "_hash"])
     pieces = written(_cut(rows, rule), "fragments")
@@ -221,7 +225,7 @@ def _repeats(rows: DataFrame) -> bool:
 def with_spans(rows: DataFrame, spans: DataFrame) -> DataFrame:
     """``rows`` with ``spans`` (null where nothing goes)."""
     side = spans.select(F.col("_id").alias("_i"), F.col("_hash").alias("_h"), "spans")
-    return rows.join(side, _same_text(), "left").select("_id", "_hash", "_text", "spans")
+    return rows.join(side, _same_text(), "left").select(*rows.columns, "spans")
 
 
 def merged(spans: list[dict] | None) -> list[tuple[int, int]]:

@@ -9,11 +9,12 @@ occurrence exists.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from tripmill.llm.repeats import Rule, Shard, keyed, merged, repeated_spans, with_spans
 from tripmill.llm.text import Powers, mix, word_spans
@@ -155,6 +156,7 @@ def dedup(
     window: int = WINDOW,
     gram: int = GRAM,
     shard_words: int = SHARD_WORDS,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """One row per row of ``docs``: its id column, ``n_words``, ``spans``, ``kept_text``.
 
@@ -165,17 +167,17 @@ def dedup(
 
     A null text has no words. Null ids come first. Rows with one id and different texts are
     ordered by a hash of the text; rows equal in both are one document and all get its
-    result. Other columns are not carried. Words and fragments are told apart by 64-bit
-    hashes (equal fragments by 128 bits).
+    result. Columns named in ``carry`` come along in a struct ``carried``, so no name can clash. Words and
+    fragments are told apart by 64-bit hashes (equal fragments by 128 bits).
     """
     rule = Rule(True, window, min(gram, window), True, shard_words, lambda shard: earlier_windows(shard, window))
-    rows = keyed(docs, id_col, text_col)
+    rows = keyed(docs, id_col, text_col, carry)
     joined = with_spans(rows, repeated_spans(rows, rule))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts, spans, kept = [], [], []
-            for text, found in zip(batch.column(2), batch.column(3)):
+            for text, found in zip(batch.column("_text"), batch.column("spans")):
                 words = (text.as_py() or "").encode().split()
                 gone = merged(found.as_py())
                 counts.append(len(words))
@@ -184,12 +186,24 @@ def dedup(
                     del words[a:b]
                 kept.append(b" ".join(words).decode())
             pair = pa.struct([("start", pa.int32()), ("end", pa.int32())])
+            extra = [batch.column("carried")] if carry else []
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(spans, pa.list_(pair)), pa.array(kept, pa.string())],
-                names=["_id", "_hash", "n_words", "spans", "kept_text"],
+                [
+                    batch.column("_id"),
+                    batch.column("_hash"),
+                    pa.array(counts, pa.int64()),
+                    pa.array(spans, pa.list_(pair)),
+                    pa.array(kept, pa.string()),
+                    *extra,
+                ],
+                names=names,
             )
 
-    kind = rows.schema["_id"].dataType.simpleString()
-    schema = f"_id {kind}, _hash long, n_words long, spans array<struct<start:int,end:int>>, kept_text string"
+    own = T.StructType.fromDDL("n_words long, spans array<struct<start:int,end:int>>, kept_text string")
+    fields = {f.name: f for f in rows.schema}
+    schema = T.StructType(
+        [fields["_id"], fields["_hash"], *own.fields, *([fields["carried"]] if carry else [])]
+    )
+    names = schema.fieldNames()
     out = joined.mapInArrow(run, schema)
     return out.withColumnsRenamed({"_id": id_col, "_hash": "text_hash"})
