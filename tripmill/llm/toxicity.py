@@ -7,8 +7,6 @@ trained together. A misspelling shares most n-grams with the word it comes from.
 
 from __future__ import annotations
 
-import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,23 +16,70 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripmill.llm.text import Powers, mix
+
 #: Labelled rows a model is fitted on at most; each is read whole.
-MAX_ROWS = 10_000
+MAX_ROWS = 12_000
 BUCKETS = 1 << 16
 DIMENSIONS = 4
 EPOCHS = 6
 BATCH = 64
 RATE = 1.0
-REMEMBERED = 200_000
+LONGEST = 5
+#: Characters looked at together; a longer text is looked at on its own.
+CHARACTERS = 1 << 19
+
+#: Stands for both ends of a word.
+_EDGE = "\x01"
 
 
-def subwords(word: bytes) -> np.ndarray:
-    """Buckets of the word and of its character n-grams of 3 to 5, with its ends marked."""
-    text = f"<{word.decode('utf-8', 'replace').lower()}>"
-    grams = {text}
-    for n in (3, 4, 5):
-        grams.update(text[i : i + n] for i in range(len(text) - n + 1))
-    return np.fromiter((zlib.crc32(g.encode()) % BUCKETS for g in sorted(grams)), np.int64)
+def subwords(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets of all subwords of some texts, their share in the text, and the text's number.
+
+    The subwords of a word, in lower case and with its ends marked, are its runs of 3 to
+    ``LONGEST`` characters and the word. Each has an equal share in its word, and each word in its text.
+    """
+    counts, parts = [], []
+    for text in texts:
+        words = text.lower().replace(_EDGE, " ").split()
+        counts.append(len(words))
+        parts.extend(words)
+    chain = f"{_EDGE}{_EDGE.join(parts)}{_EDGE}" if parts else ""
+    points = np.frombuffer(chain.encode("utf-32-le", "surrogatepass"), np.uint32)
+    edge = points == ord(_EDGE)
+    word = np.cumsum(edge) - 1
+    values = mix(points.astype(np.uint64))
+    ends = np.flatnonzero(edge)
+    hashes = [Powers().ranges(values, ends[:-1], ends[1:] + 1)]
+    owners = [np.arange(len(parts))]
+    run, broken = values, np.zeros(len(values), bool)
+    for n in range(2, LONGEST + 1):
+        run = run[:-1] * np.uint64(0x9E3779B97F4A7C15) + values[n - 1 :]
+        broken = broken[:-1]
+        if n > 2:
+            broken = broken | edge[n - 2 : -1]
+            whole = ~broken
+            hashes.append(mix(run[whole]))
+            owners.append(word[: len(run)][whole])
+    owner = np.concatenate(owners)
+    bucket = (np.concatenate(hashes) & np.uint64(BUCKETS - 1)).astype(np.int64)
+    of_word = np.repeat(np.arange(len(texts)), counts)
+    share = 1 / np.maximum(np.bincount(owner, minlength=len(parts)), 1)
+    share /= np.maximum(np.array(counts), 1)[of_word]
+    return bucket, share[owner], of_word[owner]
+
+
+def some_texts(column: pa.Array) -> Iterator[list[str]]:
+    """Consecutive texts of about ``CHARACTERS``; a null is empty."""
+    held, size = [], 0
+    for text in column:
+        held.append(text.as_py() or "")
+        size += len(held[-1])
+        if size > CHARACTERS:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 @dataclass(frozen=True)
@@ -111,59 +156,49 @@ def train(
     chosen = sample(docs, labels, id_col, text_col, label_col, max_rows)
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, np.ndarray] = {}
         for batch in batches:
-            labels, buckets, shares = [], [], []
-            for label, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words = Counter((text.as_py() or "").encode().split())
-                parts, share = [], []
-                for word, count in words.items():
-                    if (found := known.get(word)) is None:
-                        found = subwords(word)
-                        if len(known) < REMEMBERED:
-                            known[word] = found
-                    parts.append(found)
-                    share.append(np.full(len(found), count / len(found)))
-                bag, inverse = np.unique(np.concatenate(parts) if parts else np.zeros(0, np.int64), return_inverse=True)
-                total = np.bincount(inverse, np.concatenate(share) if share else None) / max(1, words.total())
-                labels.append(label)
-                buckets.append(bag.astype("<u2").tobytes())
-                shares.append(total.astype("<f4").tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(labels, pa.int32()), pa.array(buckets, pa.binary()), pa.array(shares, pa.binary())],
-                names=["label", "buckets", "shares"],
-            )
-
-    rows = chosen.select("_label", "_text").mapInArrow(bags, "label int, buckets binary, shares binary").collect()
-    rows = sorted((r.label, bytes(r.buckets), bytes(r.shares)) for r in rows)
-    return fit([(a, np.frombuffer(b, "<u2").astype(np.int64), np.frombuffer(c, "<f4")) for a, b, c in rows])
+            row = 0
+            for texts in some_texts(batch.column(1)):
+                bucket, share, owner = subwords(texts)
+                cells, which = np.unique(owner * BUCKETS + bucket, return_inverse=True)
+                total = np.bincount(which, share).astype("<f4")
+                cuts = np.searchsorted(cells, np.arange(len(texts) + 1) * BUCKETS).tolist()
+                own = (cells % BUCKETS).astype("<u2")
+                spans = list(zip(cuts[:-1], cuts[1:]))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(row, len(texts)),
+                        pa.array([own[x:y].tobytes() for x, y in spans], pa.binary()),
+                        pa.array([total[x:y].tobytes() for x, y in spans], pa.binary()),
+                    ],
+                    names=["label", "buckets", "shares"],
+                )
+                row += len(texts)
+
+    rows = chosen.select("_label", "_text").mapInArrow(bags, "label int, buckets binary, shares binary").toArrow()
+    order = sorted(
+        zip(rows["label"].to_pylist(), rows["buckets"].to_pylist(), rows["shares"].to_pylist())
+    )  # however the rows arrived, the model is the same
+    del rows
+    return fit([(y, np.frombuffer(b, "<u2"), np.frombuffer(w, "<f4")) for y, b, w in order])
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with ``toxicity``, from 0 to 1; a null text counts as empty.
 
-    The average of a text is linear in its words, so each distinct word is one number.
-    The model has a fixed size (``BUCKETS`` numbers) and travels with the task.
+    The average of a text is linear in its subwords, so each bucket is one number. The model has a fixed size (``BUCKETS`` numbers) and travels with the task.
     """
     schema = T.StructType([*docs.schema.fields, T.StructField("toxicity", T.DoubleType())])
     at = docs.columns.index(text_col)
     names = schema.fieldNames()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        class Known(dict):
-            def __missing__(self, word: bytes) -> float:
-                value = float(model.weights[subwords(word)].mean())
-                if len(self) < REMEMBERED:
-                    self[word] = value
-                return value
-
-        get = Known().__getitem__
         for batch in batches:
-            logits = []
-            for text in batch.column(at):
-                words = (text.as_py() or "").encode().split()
-                logits.append(sum(map(get, words)) / max(1, len(words)) + model.bias)
-            scores = 1 / (1 + np.exp(-np.clip(np.array(logits, float), -700, 700)))
+            logits = [np.zeros(0)]
+            for texts in some_texts(batch.column(at)):
+                bucket, share, owner = subwords(texts)
+                logits.append(np.bincount(owner, model.weights[bucket] * share, len(texts)) + model.bias)
+            scores = 1 / (1 + np.exp(-np.clip(np.concatenate(logits), -700, 700)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=names)
 
     return docs.mapInArrow(run, schema)
