@@ -1,0 +1,144 @@
+"""Decontamination, exact search and the pipeline against plain Python."""
+
+from __future__ import annotations
+
+import re
+
+import numpy as np
+import pytest
+from llm_cases import LOWER, awkward, prose
+from pyspark.sql import functions as F
+
+import __spark_entry__
+import corpus_pipeline
+from tripmill.llm import decontamination, queries, search
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def tokens(text):
+    return WORD.findall((text or "").translate(LOWER))
+
+
+def brute_hits(rows, items):
+    out = []
+    for i, text in rows:
+        w, hit, named = tokens(text), set(), set()
+        for item, words in items:
+            own = tokens(words)
+            n = min(10, len(own))
+            for s in range(len(own) - n + 1) if n else ():
+                for at in range(len(w) - n + 1):
+                    if w[at : at + n] == own[s : s + n]:
+                        hit.update(range(at, at + n))
+                        named |= {item} - {None}
+        out.append((i, len(w), len(hit), sorted(named)))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("limit", [200_000, 0])
+def test_decontamination_is_brute_force(spark, docs_of, monkeypatch, limit):
+    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", limit)
+    rows = [r for r in awkward() if len(r[1] or "") < 50_000]
+    rows += [(30, prose(7, 12).upper().replace(" ", ", ")), (31, "É Two-words, é"), (32, prose(8, 9)), (33, "x " + prose(8, 9))]
+    items = [("a", prose(7, 12)), ("b", prose(8, 9)), ("c", "two words"), ("d", None), ("e", "!?"), ("f", prose(1, 60))]
+    items += [("g", prose(1, 60)), (None, prose(5, 40)), ("h", "é"), ("a", prose(7, 12))]
+    benchmark = spark.createDataFrame(items, "item_id string, text string").withColumn("_words", F.lit(1))
+    found = decontamination.contamination(docs_of(rows), benchmark).collect()
+    got = sorted(((r.doc_id, r.n_words, sum(h.end - h.start for h in r.hits), list(r["items"])) for r in found), key=str)
+    assert got == brute_hits(rows, items)
+
+
+def test_decontamination_of_nothing(spark, docs_of):
+    empty = spark.createDataFrame([], "item_id long, text string")
+    assert decontamination.contamination(docs_of([(1, "a b")]), empty).filter("size(hits) > 0").isEmpty()
+    items = spark.createDataFrame([(1, "a b")], "item_id long, text string")
+    assert decontamination.contamination(docs_of([]), items).count() == 0
+
+
+def brute_top(rows, k):
+    usable = [
+        (i, np.floor(256 * np.array(v, float)).astype(np.int64))
+        for i, v in rows
+        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)
+    ]
+    out = set()
+    for q, v in usable:
+        if q % 50 == 0:
+            scores = sorted((-int(v @ x), i) for i, x in usable if i != q and len(x) == len(v))
+            out |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])}
+    return sorted(out)
+
+
+@pytest.mark.parametrize("scale", [1.0, 1e6])
+def test_search_is_brute_force(spark, monkeypatch, scale):
+    monkeypatch.setattr(search, "BLOCK", 40)
+    monkeypatch.setattr(search, "QUERY_BLOCK", 3)
+    rng = np.random.default_rng(2)
+    rows = [(i, (rng.normal(0, scale, 8)).astype(np.float32).tolist()) for i in range(400)]
+    rows += [(1000 + i, rows[50][1]) for i in range(9)]  # ties
+    rows += [(1050, None), (None, rows[0][1]), (1100, [1.0, None]), (1101, [float("nan")] * 8)]
+    rows += [(1150, [float("inf")] * 8), (1200, [0.5, 0.25]), (1201, [0.5, -0.25]), (1250, []), (1251, [])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit(0))
+    got = sorted(map(tuple, search.top_k(frame, F.col("vec_id") % 50 == 0).collect()))
+    assert got == brute_top(rows, 5)
+    assert search.top_k(frame.limit(0), F.col("vec_id") % 50 == 0).count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_sql_gives_the_same_rows(spark, sf_dir, shared, name):
+    duckdb = pytest.importorskip("duckdb")
+    connection = duckdb.connect()
+    for table in ("documents", "embeddings", "benchmark", "conversations"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    found = queries.queries()[name](spark, sf_dir)
+    columns = sorted(found.columns)
+    result = connection.execute(queries.oracle_sql()[name])
+    names = [c[0] for c in result.description]
+    assert sorted(names) == columns
+    want = sorted(str([r[names.index(c)] for c in columns]) for r in result.fetchall())
+    assert sorted(str([r[c] for c in columns]) for r in found.collect()) == want
+
+
+def test_pipeline_stages(spark, sf_dir, shared):
+    docs = queries.table(spark, sf_dir, "documents")
+    columns = docs.columns
+    sizes = [docs.count()]
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs, stage(spark, docs, sf_dir)
+        docs = corpus_pipeline.written(docs, "stage")
+        if name != "packing":
+            assert docs.columns == columns and docs.dtypes == before.dtypes
+            sizes.append(docs.count())
+            assert docs.join(before, "doc_id", "left_anti").isEmpty()
+    assert sizes == sorted(sizes, reverse=True)
+    assert docs.select("doc_id").distinct().count() == sizes[-1]
+
+
+def test_pipeline_catches_planted_cases(spark, docs_of, shared, tmp_path):
+    long, passage = prose(60, 300), prose(61, 70)
+    rows = [(i, prose(100 + i, 200)) for i in range(40)]
+    rows += [(50, long), (51, long), (52, long.replace(long.split()[9], "new", 1))]
+    rows += [(60, prose(70, 90) + " " + passage), (61, prose(71, 90) + " " + passage + " " + prose(72, 90))]
+    rows += [(70, prose(73, 100) + " " + prose(62, 30) + " " + prose(74, 100)), (80, None), (81, ""), (82, "few words")]
+    folder = str(tmp_path / "tables")
+    benchmark = spark.createDataFrame([(1, prose(62, 30))], "item_id long, text string")
+    benchmark.write.parquet(f"{folder}/benchmark.parquet")
+    docs = docs_of(rows)
+    near = corpus_pipeline.drop_near_duplicates(spark, docs, folder)
+    assert {r.doc_id for r in docs.select("doc_id").exceptAll(near.select("doc_id")).collect()} == {51, 52}
+    cut = {r.doc_id: r for r in corpus_pipeline.cut_repeated_passages(spark, near, folder).collect()}
+    texts = {r.doc_id: r.text for r in near.collect()}
+    assert cut[61].text == prose(71, 90) + " " + prose(72, 90)
+    assert cut[61].n_chars == len(cut[61].text)
+    assert {i for i, r in cut.items() if r.text != texts[i]} == {61}
+    clean = corpus_pipeline.drop_contaminated(spark, near, folder)
+    assert {r.doc_id for r in near.select("doc_id").exceptAll(clean.select("doc_id")).collect()} == {70}
+    for stage in (corpus_pipeline.drop_near_duplicates, corpus_pipeline.cut_repeated_passages, corpus_pipeline.drop_contaminated):
+        assert stage(spark, docs.limit(0), folder).count() == 0
+
+
+def test_every_operator_is_registered():
+    names = __spark_entry__.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)) == list(range(1, 11))
+    assert "pipeline" in names

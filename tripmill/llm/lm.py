@@ -403,7 +403,7 @@ def _known_part(
                 before = _shifted(np.where(known, counts, np.iinfo(np.int64).max), first, np.int64(own.texts))
                 both = np.minimum(both[seen], np.minimum(before[seen], np.maximum(guess, 1.0)))
                 more = np.log10(1 + both * own.scale() / (prior * (guess + 0.5)))
-                score = np.bincount(text[seen], more, n)
+                score = np.bincount(text[seen], more, n).astype(float)
                 sums = [np.zeros(n, np.int64)] * 3 + [np.zeros(n)]
                 if not shard:
                     base = np.where(known, np.log10((counts + 0.5) / own.scale()), 0.0)

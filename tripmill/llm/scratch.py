@@ -8,14 +8,20 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Folders made on this machine, by application, where the setting is missing.
+_made: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; where unset, one is made for a local master."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local["):
+        context = spark.sparkContext
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if context.applicationId not in _made:
+            _made[context.applicationId] = tempfile.mkdtemp(prefix="llm-")
+        folder = _made[context.applicationId]
     return folder.rstrip("/")
 
 

@@ -23,6 +23,8 @@ MAX_ROWS = 12_000
 BUCKETS = 1 << 16
 DIMENSIONS = 4
 EPOCHS = 6
+#: A small sample is gone through more often, for so many steps.
+STEPS = 300
 BATCH = 64
 RATE = 1.0
 LONGEST = 5
@@ -115,8 +117,9 @@ def fit(bags: list[tuple[int, np.ndarray, np.ndarray]], seed: int = 1) -> Model:
         return Model(np.zeros(BUCKETS, np.float32), 0.0)
     seen_vectors = np.full(BUCKETS, 1e-8, np.float32)
     seen_output, seen_bias = np.full(output.shape, 1e-6, np.float32), np.full(2, 1e-6, np.float32)
-    for epoch in range(EPOCHS):
-        rate = RATE * (1 - epoch / EPOCHS)
+    epochs = max(EPOCHS, -(-STEPS * BATCH // len(bags)))
+    for epoch in range(epochs):
+        rate = RATE * (1 - epoch / epochs)
         for some in np.array_split(rng.permutation(len(bags)), max(1, len(bags) // BATCH)):
             sizes = [len(bags[i][1]) for i in some]
             buckets = np.concatenate([bags[i][1] for i in some])
