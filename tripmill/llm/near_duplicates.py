@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.llm.components import components
@@ -32,10 +32,12 @@ TOKENS = 32
 #: probability 0.978 per level.
 BRANCHES = 2
 DEPTH = 3
-#: Sets compared at once, and shingles in them; a node that is still larger at the last
-#: level is compared block by block, every block with every other.
-SETS = 512
+#: Sets compared at once, and shingles in them. A larger node is compared in blocks of half
+#: the size, every block with every other: one of more than ``BLOCKS`` blocks
+#: branches first, and what the last level leaves is compared in however many blocks it takes.
+SETS = 1024
 SHINGLES = 1 << 20
+BLOCKS = 8
 
 
 def shingle_sets(column: pa.Array, shingle: int) -> Iterator[np.ndarray]:
@@ -100,36 +102,38 @@ def leaves(classes: DataFrame) -> DataFrame:
     for level in range(DEPTH + 1):
         sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("_size"), F.sum("n").alias("_sum"))
         sizes = sizes.filter(F.col("_size") > 1)
-        sized = rows.join(sizes, "node")
-        blocks = F.ceil(F.greatest(F.col("_size") / (SETS // 2), F.col("_sum") / (SHINGLES // 2))).cast("int")
-        large = (F.col("_size") > SETS) | (F.col("_sum") > SHINGLES)
-        found.append(written(sized.filter(~large).select("node", F.lit(0).alias("side"), "cls", "tokens"), "leaves"))
-        rest = written(sized.filter(large).withColumn("_blocks", blocks), "nodes")
-        if level == DEPTH or rest.isEmpty():
+        share = F.greatest(F.col("_size") / SETS, F.col("_sum") / SHINGLES)
+        blocks = F.when(share > 1, F.ceil(2 * share)).otherwise(1).cast("int")
+        sized = rows.join(sizes, "node").withColumn("_blocks", blocks)
+        branches = (F.col("_blocks") > BLOCKS) & F.lit(level < DEPTH)
+        found.append(written(_block_pairs(sized.filter(~branches)), "leaves"))
+        rest = written(sized.filter(branches).select("node", "cls", "n", "tokens"), "nodes")
+        if rest.isEmpty():
             break
-        children = F.array(
-            *[
-                F.struct(
-                    F.xxhash64(
-                        "node", F.lit(b), F.get("tokens", F.pmod(F.xxhash64("node", F.lit(b)), F.lit(TOKENS)).cast("int"))
-                    ).alias("node")
-                )
-                for b in range(BRANCHES)
-            ]
-        )
+        children = F.array(*[F.struct(_child(b).alias("node")) for b in range(BRANCHES)])
         rows = written(rest.select("cls", "n", "tokens", F.inline(children)), "nodes")
-    own = F.pmod(F.xxhash64("cls", "node"), F.col("_blocks").cast("long")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")
-    pairs = rest.withColumn("_own", own).select("node", "cls", "tokens", "_own", other)
-    low, high = F.least("_own", "_other"), F.greatest("_own", "_other")
-    side = F.when(low == high, 0).when(F.col("_own") == low, 1).otherwise(2)
-    found.append(pairs.select(F.xxhash64("node", low, high).alias("node"), side.alias("side"), "cls", "tokens"))
     all_leaves = found[0]
     for more in found[1:]:
         all_leaves = all_leaves.unionByName(more)
     return all_leaves
 
 
+def _child(branch: int) -> Column:
+    """The child a member of ``node`` goes to: the node's choice of token decides."""
+    choice = F.pmod(F.xxhash64("node", F.lit(branch)), F.lit(TOKENS)).cast("int")
+    return F.xxhash64("node", F.lit(branch), F.get("tokens", choice))
+
+
+def _block_pairs(sized: DataFrame) -> DataFrame:
+    own = F.pmod(F.xxhash64("cls", "node"), F.col("_blocks").cast("long")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")
+    pairs = sized.select("node", "cls", "tokens", own.alias("_own"), "_blocks", other)
+    low, high = F.least("_own", "_other"), F.greatest("_own", "_other")
+    node = F.when(F.col("_blocks") == 1, F.col("node")).otherwise(F.xxhash64("node", low, high))
+    side = F.when(low == high, 0).when(F.col("_own") == low, 1).otherwise(2)
+    return pairs.select(node.alias("node"), side.alias("side"), "cls", "tokens")
+
+
 def _runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
     edges = np.flatnonzero(np.r_[True, values[1:] != values[:-1], True])
     return zip(edges[:-1].tolist(), edges[1:].tolist())
