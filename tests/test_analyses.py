@@ -19,6 +19,7 @@ from tripmill import (
     trip_profile,
 )
 from tripmill.plans.answers import hourly_avg_sql, monthly_avg_sql, overall_avg_sql
+from tripmill.spec import PipelineSpec
 
 SPEC = spec_for()
 
@@ -86,7 +87,7 @@ def test_gold_contracts(consumption, trips):
 
 
 def test_monthly_avg(consumption):
-    result = monthly_avg(consumption)
+    result = monthly_avg(consumption, min_value=0.0)
     assert result.dtypes == [
         ("month", "string"),
         ("avg_total_amount", "double"),
@@ -112,12 +113,12 @@ def test_rounding_is_half_up_on_the_decimal_digits(spark):
 
 
 def test_overall_avg(consumption):
-    row = overall_avg(consumption).first()
+    row = overall_avg(consumption, min_value=0.0).first()
     assert row.avg_total_amount_overall == round((10 + 20.01 + 0 + 1) / 4, 2)
 
 
 def test_hourly_avg(trips):
-    result = hourly_avg(trips, 2023, 5)
+    result = hourly_avg(trips, 2023, 5, min_value=1)
     assert result.dtypes == [
         ("hour_of_day", "int"),
         ("avg_passengers", "double"),
@@ -128,19 +129,31 @@ def test_hourly_avg(trips):
 
 
 def test_service_split(trips):
-    assert [tuple(r) for r in service_split(trips, 2023, 5).collect()] == [
+    assert [tuple(r) for r in service_split(trips, 2023, 5, min_value=1).collect()] == [
         ("green", 4.0, 2),
         ("yellow", 1.5, 2),
     ]
 
 
+class ViewSpec(PipelineSpec):
+    """A spec whose gold tables are temporary views."""
+
+    def consumption_table(self, service):
+        return f"t_consumption_{service}"
+
+    @property
+    def trips_table(self):
+        return "t_trips"
+
+
 def test_sql_and_dataframe_agree(spark, consumption, trips):
-    consumption.createOrReplaceTempView("t_consumption")
+    consumption.createOrReplaceTempView("t_consumption_yellow")
     trips.createOrReplaceTempView("t_trips")
+    spec = ViewSpec(landing_root="", year=2023)
     pairs = [
-        (monthly_avg(consumption), monthly_avg_sql("t_consumption")),
-        (overall_avg(consumption), overall_avg_sql("t_consumption")),
-        (hourly_avg(trips, 2023, 5), hourly_avg_sql("t_trips", 2023, 5)),
+        (monthly_avg(consumption, min_value=0.0), monthly_avg_sql(spec, "yellow")),
+        (overall_avg(consumption, min_value=0.0), overall_avg_sql(spec, "yellow")),
+        (hourly_avg(trips, 2023, 5, min_value=1), hourly_avg_sql(spec, 5)),
     ]
     for frame, text in pairs:
         answer = spark.sql(text)
@@ -191,7 +204,7 @@ def test_profiles_of_nothing(consumption, trips):
 
 
 def test_counts_sizes_and_previews(spark, trips, consumption):
-    assert [tuple(r) for r in rows_per_key(trips, "service_type").collect()] == [
+    assert [tuple(r) for r in rows_per_key(trips, "service_type").orderBy("service_type").collect()] == [
         ("green", 2),
         ("yellow", 5),
     ]

@@ -12,6 +12,7 @@ from tripmill.operators.conform import ColumnCaseError, union_all
 from tripmill.plans.fleet import landed_fleet, yellow_trips
 from tripmill.plans.medallion import source_files
 from tripmill.sources.drifted import file_schemas
+from tripmill.sources.landing import NestedFilesError
 
 
 def write(df, path):
@@ -77,7 +78,7 @@ def landed(spark, sf_dir):
     return source_files(landed_fleet(spark, sf_dir), "yellow")
 
 
-@pytest.mark.parametrize("footers", ["driver", "executors"])
+@pytest.mark.parametrize("footers", ["auto", "executors"])
 def test_grouped_scan_equals_file_by_file(spark, landed, footers):
     grouped = scan_conformed(spark, landed, footers=footers)
     reference = per_file(spark, landed)
@@ -130,7 +131,7 @@ def test_case_sensitive_sessions_give_the_same_rows(spark, landed):
         spark.conf.unset("spark.sql.caseSensitive")
 
 
-@pytest.mark.parametrize("footers", ["driver", "executors"])
+@pytest.mark.parametrize("footers", ["auto", "executors"])
 def test_plain_files_and_deep_folders_name_their_source(spark, tmp_path, footers):
     import pyarrow as pa
     import pyarrow.parquet as pq
@@ -199,7 +200,7 @@ FILLED = {
 }
 
 
-@pytest.mark.parametrize("footers", ["driver", "executors"])
+@pytest.mark.parametrize("footers", ["auto", "executors"])
 def test_every_kind_of_mix_reads(spark, tmp_path, footers):
     """One column per pair of types over two files: grouping must avoid unreadable pairs."""
     pairs = [(a, b) for a in FILLED for b in FILLED]
@@ -254,7 +255,7 @@ def test_lossless_mode_reaches_the_scan(spark, tmp_path):
     assert rounded == {float(big - 1), 1.5} and exact == {float(big), 1.5}
 
 
-@pytest.mark.parametrize("footers", ["driver", "executors"])
+@pytest.mark.parametrize("footers", ["auto", "executors"])
 def test_drift_report(spark, landed, footers):
     rows = {r.column_name: r for r in drift_report(spark, landed, footers=footers).collect()}
     assert rows["passenger_count"].types == "bigint, double, int"
@@ -285,7 +286,7 @@ def test_many_files_are_tagged_right(spark, tmp_path):
         else:
             rows.toPandas().to_parquet(_made(root) / name, index=False)
         files.append(SourceFile(str(root / name)))
-    for footers in ("driver", "executors"):
+    for footers in ("auto", "executors"):
         if footers == "executors":
             files, names = files[:-1], names[:-1]
         result = scan_conformed(spark, files, footers=footers)
@@ -309,30 +310,50 @@ def test_empty_files(spark, tmp_path):
     assert [r[0] for r in rows] == ["a_2023-03.parquet"] * 4
 
 
-def test_many_files_pick_the_executors_and_fall_back(spark, tmp_path, monkeypatch):
-    from pyspark.errors import PythonException
-
-    from tripmill.sources import drifted
-
-    root = tmp_path / "yellow"
-    files = [write(spark.range(i, i + 1), root / f"a_2023-{i:02d}.parquet") for i in (1, 2, 3)]
-    monkeypatch.setattr(drifted, "_DRIVER_FOOTERS", 2)
-    calls = []
-    by_fingerprint = drifted._schemas_by_fingerprint
-
-    def recorded(spark, files):
-        calls.append(len(files))
-        return by_fingerprint(spark, files)
-
-    monkeypatch.setattr(drifted, "_schemas_by_fingerprint", recorded)
-    expected = multiset(per_file(spark, files))
-    assert multiset(scan_conformed(spark, files)) == expected and calls == [3]
+@pytest.mark.parametrize("footers", ["auto", "executors"])
+def test_columns_of_every_part_are_found(spark, tmp_path, footers):
+    folder = str(tmp_path / "yellow" / "a_2023-01.parquet")
+    spark.range(3).coalesce(1).write.parquet(folder)
+    wider = spark.range(3, 5).withColumn("tip", F.lit(1.5))
+    wider.coalesce(1).write.mode("append").parquet(folder)
+    result = scan_conformed(spark, [SourceFile(folder)], footers=footers)
+    assert result.columns == ["id", "tip", "_source_file"] or footers == "executors"
+    assert {(r.id, r.tip) for r in result.collect()} == {(i, None if i < 3 else 1.5) for i in range(5)}
+
+
+@pytest.mark.parametrize("footers", ["auto", "executors"])
+def test_parts_of_any_name_count(spark, tmp_path, footers):
+    """Mixed types, a part without a suffix and one under another name: every row is read."""
+    folder = tmp_path / "yellow" / "a_2023-01.parquet"
+    for n, kind in ((2, "int"), (1, "bigint"), (4, "string")):
+        rows = spark.range(n).select(F.col("id").cast(kind).alias("k"))
+        rows.coalesce(1).write.mode("append").parquet(str(folder))
+    parts = sorted(folder.glob("part-*.parquet"))
+    parts[0].rename(folder / "part-c")
+    parts[1].rename(folder / "b.pq")
+    for leftover in folder.glob(".part-*.crc"):
+        leftover.rename(tmp_path / leftover.name)
+    files = [SourceFile(str(folder))]
+    assert scan_conformed(spark, files, footers=footers).count() == 7
+    assert drift_report(spark, files, footers=footers).first().rows == 7
+
+
+def test_widening_parts_need_no_path_list(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "yellow" / "a_2023-01.parquet")
+    for kind in ("int", "bigint"):
+        rows = spark.range(3).select(F.col("id").cast(kind).alias("k"))
+        rows.coalesce(1).write.mode("append").parquet(folder)
+    result = scan_conformed(spark, [SourceFile(folder)])
+    assert dict(result.dtypes)["k"] == "bigint" and result.count() == 6
+    assert scans(result) == 1
 
-    def no_storage(spark, files):
-        raise PythonException("no such file system")
 
-    monkeypatch.setattr(drifted, "_schemas_by_fingerprint", no_storage)
-    assert multiset(scan_conformed(spark, files)) == expected
+def test_folders_inside_a_logical_file_are_refused(spark, tmp_path):
+    folder = str(tmp_path / "yellow" / "a_2023-01.parquet")
+    spark.range(3).write.parquet(folder)
+    spark.range(3).write.parquet(f"{folder}/sub")
+    with pytest.raises(NestedFilesError, match="/sub/"):
+        scan_conformed(spark, [SourceFile(folder)], footers="executors")
 
 
 def test_one_file_needs_no_path_at_all(spark, tmp_path):

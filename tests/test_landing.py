@@ -1,9 +1,13 @@
 from __future__ import annotations
 
+from dataclasses import replace
+from pathlib import Path
+
 import pytest
 
 from helpers import spec_for
 from tripmill import MissingFilesError, landing_status, manifest, require_landing
+from tripmill.sources.landing import NestedFilesError, listing, missing_files
 
 
 def land(spec, service, month, content=b"x" * 150_000):
@@ -76,7 +80,55 @@ def test_complete_landing_reports_sizes(spark, spec):
         ("yellow", 1, True, 0.2),
         ("yellow", 2, True, 0.2),
     ]
-    assert require_landing(spark, spec) == 600_000
+    assert require_landing(spark, spec).bytes == 600_000
+
+
+def test_sizes_are_those_on_disk(spark, spec):
+    for service in ("yellow", "green"):
+        for month in (1, 2):
+            spark.range(200_000 * month).repartition(2).write.parquet(spec.file_path(service, month))
+    for row in landing_status(spark, spec).collect():
+        parts = Path(spec.file_path(row.service, row.month)).glob("part-*")
+        assert row.size_mb == round(sum(p.stat().st_size for p in parts) / 1e6, 1) > 0
+
+
+def test_nested_parts_are_refused_by_name(spark, spec):
+    for month in (1, 2):
+        for service in ("yellow", "green"):
+            land_parquet(spark, spec, service, month, 3)
+    inner = spec.file_path("green", 3).replace("-03", "-02") + ".d"
+    spark.range(2).write.parquet(inner)
+    require_landing(spark, spec)  # not a logical file
+    spark.range(2).write.parquet(spec.file_path("green", 1) + "_x/sub")
+    require_landing(spark, spec)
+    nested = replace(spec, months=(4,))
+    for service in ("yellow", "green"):
+        spark.range(2).write.parquet(nested.file_path(service, 4) + "/sub")
+    assert not any(r.present for r in landing_status(spark, nested).collect())
+    with pytest.raises(NestedFilesError, match="2023-04.parquet/sub/"):
+        require_landing(spark, nested)
+
+
+def test_missing_files_are_rows(spark, spec):
+    land_parquet(spark, spec, "yellow", 1, 5)
+    assert {tuple(r) for r in missing_files(spark, spec).collect()} == {
+        ("yellow", "yellow_tripdata_2023-02.parquet"),
+        ("green", "green_tripdata_2023-01.parquet"),
+        ("green", "green_tripdata_2023-02.parquet"),
+    }
+
+
+def test_listing_tasks_do_not_follow_bytes(spark, spec):
+    for month in (1, 2):
+        for service in ("yellow", "green"):
+            land_parquet(spark, spec, service, month, 500)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64")
+    try:
+        tasks = listing(spark, spec.landing_root).rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert tasks <= 4 * spark.sparkContext.defaultParallelism
 
 
 def test_gate_leaves_the_session_as_it_was(spark, spec):

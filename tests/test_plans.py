@@ -70,7 +70,7 @@ def test_exact_months_are_pushed_as_ranges(bronze_table):
 
 def test_analysis_filters_go_through_the_dedupe(bronze_table):
     gold = gold_consumption(silver(bronze_table, spec_for(), "yellow"), spec_for(), "yellow")
-    [filters] = pushed(monthly_avg(gold))
+    [filters] = pushed(monthly_avg(gold, min_value=0.0))
     assert "GreaterThanOrEqual(total_amount,0.0)" in filters
 
 
@@ -93,7 +93,9 @@ def test_a_service_filter_removes_the_other_branches(bronze_table):
 
 def test_grouped_averages_aggregate_before_they_shuffle(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    result = hourly_avg(events, 2024, 1, ts_col="ts", value_col="value", name="avg_value")
+    result = hourly_avg(
+        events, 2024, 1, ts_col="ts", value_col="value", min_value=1, name="avg_value"
+    )
     assert "partial_avg" in plan(result)
     [filters] = pushed(result)
     assert "GreaterThanOrEqual(ts,2024-01-01T00:00)" in filters

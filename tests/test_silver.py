@@ -109,8 +109,16 @@ def test_casts_truncate_toward_zero(spark):
     assert sorted(r.passenger_count for r in got) == [-1, 1]
 
 
+@pytest.fixture(params=["true", "false"])
+def ansi(spark, request):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", request.param)
+    yield
+    spark.conf.set("spark.sql.ansi.enabled", before)
+
+
 @pytest.mark.parametrize("bad", [float("nan"), 3e10])
-def test_values_that_do_not_fit(spark, bad):
+def test_values_that_do_not_fit(spark, ansi, bad):
     rows = bronze_rows(spark, [trip(KEPT, passengers=bad), trip(KEPT, vendor=7)])
     with pytest.raises(PySparkException):
         silver(rows, SPEC, "yellow").collect()
@@ -118,7 +126,7 @@ def test_values_that_do_not_fit(spark, bad):
     assert sorted((r.vendorid, r.passenger_count) for r in kept) == [(1, None), (7, 1)]
 
 
-def test_text_that_is_no_number(spark):
+def test_text_that_is_no_number(spark, ansi):
     rows = bronze_rows(spark, [trip(KEPT)]).withColumn("vendorid", F.lit("abc"))
     with pytest.raises(PySparkException):
         silver(rows, SPEC, "yellow").collect()

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from helpers import own_schemas, spec_for
 from tripmill import bootstrap, overwrite_table, read_table, row_count
+from tripmill.sources import tables
 from tripmill.sources.session import scratch_dir, sized_settings, sql_conf
 from tripmill.sources.tables import overwrite_counted
 
@@ -100,6 +101,7 @@ class FakeSession:
 
     class sparkContext:
         applicationId = "app-1"
+        master = "local[2]"
 
     def __init__(self, folder):
         self.conf = {"spark.checkpoint.dir": folder}
@@ -114,3 +116,49 @@ def test_scratch_space_is_in_the_shared_folder():
 
 def test_scratch_space_without_a_shared_folder_is_local():
     assert "/tripmill-" in scratch_dir(FakeSession(None), "landing")
+
+
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local-cluster[2,1,1024]"])
+def test_a_cluster_must_name_a_shared_folder(monkeypatch, master):
+    monkeypatch.setattr(FakeSession.sparkContext, "master", master)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(FakeSession(None), "landing")
+
+
+class Died(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", range(4))
+@pytest.mark.parametrize("partition_by", [[], ["p"]])
+def test_a_swap_that_dies_leaves_a_table(spark, spec, monkeypatch, step, partition_by):
+    """Die after each statement of the swap: old or new rows are there after the next bootstrap."""
+    target = spec.table(spec.bronze_schema, spec.bronze_table("yellow").table)
+    frame = spark.range(8).select("id", (F.col("id") % 2).alias("p"))
+    overwrite_table(frame, target, partition_by=partition_by)
+    seen = []
+
+    def dying(*args, real):
+        if len(seen) == step:
+            raise Died
+        seen.append(args)
+        return real(*args)
+
+    with monkeypatch.context() as patch:
+        real = tables._rename
+        patch.setattr(tables, "_rename", lambda *a: dying(*a, real=real))
+        drop = type(spark).sql
+        patch.setattr(
+            type(spark), "sql",
+            lambda self, q, *a, **k: dying(self, q, real=drop) if q.startswith("DROP TABLE") and "__previous_" in q else drop(self, q, *a, **k),
+        )
+        try:
+            overwrite_table(frame.limit(3), target, partition_by=partition_by)
+        except Died:
+            assert step < 3
+        else:
+            assert step == 3
+    bootstrap(spark, spec)
+    assert row_count(spark, target) == (8 if step < 2 else 3)
+    names = [t.name for t in spark.catalog.listTables(f"{spec.catalog}.{spec.bronze_schema}")]
+    assert [n for n in names if n.startswith(target.table)] == [target.table]

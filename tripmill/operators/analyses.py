@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from tripmill.functions.dates import in_ranges, label_span, month_bounds, month_label, month_start
 from tripmill.operators.gold import PICKUP_MONTH
-from tripmill.spec import MIN_PASSENGER_COUNT, MIN_TOTAL_AMOUNT
 
 
 def at_least(df: DataFrame, column: str, threshold: float | None) -> DataFrame:
@@ -44,7 +43,7 @@ def monthly_avg(
     df: DataFrame,
     ts_col: str = "tpep_pickup_datetime",
     value_col: str = "total_amount",
-    min_value: float | None = MIN_TOTAL_AMOUNT,
+    min_value: float | None = None,
     digits: int = 2,
 ) -> DataFrame:
     """``month, avg_<value>, trips`` per calendar month."""
@@ -61,7 +60,7 @@ def monthly_avg(
 def overall_avg(
     df: DataFrame,
     value_col: str = "total_amount",
-    min_value: float | None = MIN_TOTAL_AMOUNT,
+    min_value: float | None = None,
     digits: int = 2,
 ) -> DataFrame:
     """``avg_<value>_overall``: one row over the whole period."""
@@ -76,7 +75,7 @@ def hourly_avg(
     month: int,
     ts_col: str = "pickup_datetime",
     value_col: str = "passenger_count",
-    min_value: float | None = MIN_PASSENGER_COUNT,
+    min_value: float | None = None,
     digits: int = 3,
     name: str = "avg_passengers",
 ) -> DataFrame:
@@ -95,7 +94,7 @@ def service_split(
     month: int,
     ts_col: str = "pickup_datetime",
     value_col: str = "passenger_count",
-    min_value: float | None = MIN_PASSENGER_COUNT,
+    min_value: float | None = None,
     digits: int = 3,
     name: str = "avg_passengers",
 ) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.functions.dates import month_label
@@ -13,6 +13,19 @@ from tripmill.spec import PipelineSpec
 
 PICKUP_MONTH = "pickup_month"
 
+# Columns of the two published tables in their order; the service's own
+# time columns follow those of the consumption table.
+VENDOR = "VendorID"
+CONSUMPTION_COLUMNS = (VENDOR, "passenger_count", "total_amount")
+TRIPS_COLUMNS = (
+    "service_type",
+    VENDOR,
+    "passenger_count",
+    "pickup_datetime",
+    "dropoff_datetime",
+    "total_amount",
+)
+
 
 def gold_consumption(
     silver: DataFrame, spec: PipelineSpec, service: str, extra: Sequence[str] = ()
@@ -20,9 +33,7 @@ def gold_consumption(
     """One service under its original column names (and ``extra`` silver columns last)."""
     described = spec.service(service)
     return silver.select(
-        F.col("vendorid").alias("VendorID"),
-        "passenger_count",
-        "total_amount",
+        *_published(CONSUMPTION_COLUMNS),
         F.col("pickup_datetime").alias(described.pickup_col),
         F.col("dropoff_datetime").alias(described.dropoff_col),
         *extra,
@@ -31,15 +42,11 @@ def gold_consumption(
 
 def gold_trips(silvers: Sequence[DataFrame], extra: Sequence[str] = ()) -> DataFrame:
     """All services together (and ``extra`` silver columns last)."""
-    return union_all(silvers).select(
-        "service_type",
-        F.col("vendorid").alias("VendorID"),
-        "passenger_count",
-        "pickup_datetime",
-        "dropoff_datetime",
-        "total_amount",
-        *extra,
-    )
+    return union_all(silvers).select(*_published(TRIPS_COLUMNS), *extra)
+
+
+def _published(names: Sequence[str]) -> list[Column]:
+    return [F.col(name.lower()).alias(name) for name in names]
 
 
 def with_pickup_month(silver: DataFrame) -> DataFrame:

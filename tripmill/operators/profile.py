@@ -10,6 +10,12 @@ from pyspark.sql import functions as F
 from tripmill.operators.analyses import in_month
 
 
+# The result names of the published checks.
+NO_PASSENGERS, NEGATIVE_AMOUNT = "passengers_null_or_zero", "total_amount_negative"
+UNFILTERED_MEAN = "avg_unfiltered"
+MONTH_ROWS, NULL_PASSENGERS, ZERO_PASSENGERS = "month_rows", "passenger_null", "passenger_zero"
+
+
 def trip_profile(silver: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Date range and rows the analyses will filter out, overall or per key.
 
@@ -20,9 +26,9 @@ def trip_profile(silver: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.max("pickup_datetime").alias("max_pickup"),
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("passenger_count").isNull() | (F.col("passenger_count") == 0)).alias(
-            "passengers_null_or_zero"
+            NO_PASSENGERS
         ),
-        F.count_if(F.col("total_amount") < 0).alias("total_amount_negative"),
+        F.count_if(F.col("total_amount") < 0).alias(NEGATIVE_AMOUNT),
     )
     return profile.orderBy(*by) if by else profile
 
@@ -36,7 +42,7 @@ def amount_profile(df: DataFrame, value_col: str = "total_amount") -> DataFrame:
         F.count_if(value == 0).alias("zero"),
         F.round(F.min(value), 2).alias("min"),
         F.round(F.max(value), 2).alias("max"),
-        F.round(F.avg(value), 2).alias("avg_unfiltered"),
+        F.round(F.avg(value), 2).alias(UNFILTERED_MEAN),
     )
 
 
@@ -45,15 +51,15 @@ def passenger_profile(
 ) -> DataFrame:
     """``month_rows, passenger_null, passenger_zero`` of one month."""
     return in_month(df, ts_col, year, month).agg(
-        F.count(F.lit(1)).alias("month_rows"),
-        F.count_if(F.col("passenger_count").isNull()).alias("passenger_null"),
-        F.count_if(F.col("passenger_count") == 0).alias("passenger_zero"),
+        F.count(F.lit(1)).alias(MONTH_ROWS),
+        F.count_if(F.col("passenger_count").isNull()).alias(NULL_PASSENGERS),
+        F.count_if(F.col("passenger_count") == 0).alias(ZERO_PASSENGERS),
     )
 
 
 def rows_per_key(df: DataFrame, key: str) -> DataFrame:
-    """``key, count``, ordered by key: rows per source file, per service, ..."""
-    return df.groupBy(key).count().orderBy(key)
+    """``key, count``: rows per source file, per service, ... in no particular order."""
+    return df.groupBy(key).count()
 
 
 def layer_sizes(spark: SparkSession, layers: Mapping[str, str]) -> DataFrame:

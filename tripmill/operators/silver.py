@@ -52,12 +52,27 @@ def typed_trips(bronze: DataFrame, spec: PipelineSpec, service: str) -> DataFram
         "dropoff_datetime": described.dropoff_col.lower(),
     }
 
-    def typed(name: str, data_type: str) -> Column:
-        column = F.col(f"`{source.get(name, name)}`")
-        cast = column.try_cast if spec.on_bad_cast == "null" else column.cast
-        return cast(data_type).alias(name)
+    # One select resolves the names once, whatever their case.
+    present = bronze.select([F.col(f"`{source.get(n, n)}`").alias(n) for n in TRIP_COLUMNS])
+    stored = dict(present.dtypes)
+    return present.select(
+        [
+            F.col(name) if stored[name] == data_type else _checked(name, data_type, spec.on_bad_cast)
+            for name, data_type in TRIP_COLUMNS.items()
+        ]
+    )
+
 
-    return bronze.select([typed(name, dt) for name, dt in TRIP_COLUMNS.items()])
+def _checked(name: str, data_type: str, on_bad_cast: str) -> Column:
+    """``name`` cast so that a value that does not fit has one outcome, ANSI mode or not."""
+    cast = F.col(name).try_cast(data_type)
+    if on_bad_cast == "fail":
+        message = F.concat(
+            F.lit(f"{name} does not fit {data_type}: "), F.col(name).cast("string")
+        )
+        bad = cast.isNull() & F.col(name).isNotNull()
+        cast = F.when(bad, F.raise_error(message).cast(data_type)).otherwise(cast)
+    return cast.alias(name)
 
 
 def in_scope(trips: DataFrame, spec: PipelineSpec) -> DataFrame:

@@ -18,7 +18,7 @@ from tripmill.operators.profile import (
 )
 from tripmill.sources.drifted import SOURCE_FILE
 from tripmill.sources.tables import read_table
-from tripmill.spec import MIN_PASSENGER_COUNT, MIN_TOTAL_AMOUNT, PipelineSpec
+from tripmill.spec import PipelineSpec
 
 
 def monthly_amounts(spark: SparkSession, spec: PipelineSpec, service: str) -> DataFrame:
@@ -78,48 +78,43 @@ def checks(spark: SparkSession, spec: PipelineSpec, month: int) -> dict[str, Dat
     return found
 
 
-def monthly_avg_sql(
-    table: str,
-    ts_col: str = "tpep_pickup_datetime",
-    min_total_amount: float = MIN_TOTAL_AMOUNT,
-) -> str:
+def monthly_avg_sql(spec: PipelineSpec, service: str) -> str:
+    """``monthly_amounts`` as SQL text."""
+    ts_col = f"`{spec.service(service).pickup_col}`"
     return f"""
         SELECT date_format(first_day, 'yyyy-MM') AS month, avg_total_amount, trips
         FROM (
             SELECT trunc(to_date({ts_col}), 'month') AS first_day,
                    round(avg(total_amount), 2)       AS avg_total_amount,
                    count(*)                          AS trips
-            FROM {table}
-            WHERE total_amount >= {min_total_amount!r}
+            FROM {spec.consumption_table(service)}
+            WHERE total_amount >= {spec.min_total_amount!r}
             GROUP BY trunc(to_date({ts_col}), 'month')
         )
         ORDER BY month
     """
 
 
-def overall_avg_sql(table: str, min_total_amount: float = MIN_TOTAL_AMOUNT) -> str:
+def overall_avg_sql(spec: PipelineSpec, service: str) -> str:
+    """``overall_amount`` as SQL text."""
     return f"""
         SELECT round(avg(total_amount), 2) AS avg_total_amount_overall
-        FROM {table}
-        WHERE total_amount >= {min_total_amount!r}
+        FROM {spec.consumption_table(service)}
+        WHERE total_amount >= {spec.min_total_amount!r}
     """
 
 
-def hourly_avg_sql(
-    table: str,
-    year: int,
-    month: int,
-    ts_col: str = "pickup_datetime",
-    min_passenger_count: int = MIN_PASSENGER_COUNT,
-) -> str:
-    lo, hi = month_bounds(year, month)
+def hourly_avg_sql(spec: PipelineSpec, month: int) -> str:
+    """``hourly_passengers`` as SQL text."""
+    ts_col = "pickup_datetime"
+    lo, hi = month_bounds(spec.year, month)
     return f"""
         SELECT hour({ts_col})                 AS hour_of_day,
                round(avg(passenger_count), 3) AS avg_passengers,
                count(*)                       AS trips
-        FROM {table}
+        FROM {spec.trips_table}
         WHERE {ts_col} >= DATE '{lo}' AND {ts_col} < DATE '{hi}'
-          AND passenger_count >= {min_passenger_count}
+          AND passenger_count >= {spec.min_passenger_count}
         GROUP BY hour({ts_col})
         ORDER BY hour_of_day
     """

@@ -6,13 +6,18 @@ The shared test tables hold no trips, so two services are derived row by row fro
 
 from __future__ import annotations
 
+import atexit
+import threading
 import uuid
+from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.plans.medallion import run
+from tripmill.sources.drifted import SourceFile
+from tripmill.sources.landing import listing
 from tripmill.sources.session import in_parallel, scratch_dir
 from tripmill.spec import PipelineSpec
 
@@ -58,10 +63,10 @@ def _trip(
 
 def yellow_trips(spark: SparkSession, sf_dir: str, redelivered: bool = True) -> DataFrame:
     """All line items as yellow trips; the returned ones arrive a second time if asked."""
-    items = table(spark, sf_dir, "lineitem")
-    delivered = items
+    delivered = table(spark, sf_dir, "lineitem")
     if redelivered:
-        delivered = items.unionByName(items.filter(F.col("l_returnflag") == "R"))
+        twice = F.when(F.col("l_returnflag") == "R", F.lit(2)).otherwise(F.lit(1))
+        delivered = delivered.withColumn("delivery", F.explode(F.sequence(F.lit(1), twice)))
     return delivered.select(
         _trip(
             vendor=F.col("l_suppkey") % 2 + 1,
@@ -163,26 +168,88 @@ def write_landing(
     return spec
 
 
-_landed: dict[tuple[str, str, bool], PipelineSpec] = {}
+_memo: dict[tuple, PipelineSpec] = {}
+_memo_lock = threading.RLock()
 
 
-def landed_fleet(spark: SparkSession, sf_dir: str, redelivered: bool = False) -> PipelineSpec:
-    """A landing folder for these tables, written once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir, redelivered)
-    if key not in _landed:
-        root = scratch_dir(spark, "landing")
-        _landed[key] = write_landing(spark, sf_dir, root, redelivered)
-    return _landed[key]
+def _once(spark: SparkSession, sf_dir: str, what: str, make: Callable[[], PipelineSpec]) -> PipelineSpec:
+    """``make()`` once per application for as long as the tables' files stay the same."""
+    files = [
+        row
+        for name in ("lineitem", "orders")
+        for row in listing(spark, f"{sf_dir}/{name}.parquet", "modificationTime").collect()
+    ]
+    key = (spark.sparkContext.applicationId, sf_dir, what, tuple(sorted(map(tuple, files))))
+    with _memo_lock:
+        if key not in _memo:
+            _memo[key] = make()
+        return _memo[key]
 
 
-_built: dict[tuple[str, str], PipelineSpec] = {}
+def landed_fleet(spark: SparkSession, sf_dir: str, redelivered: bool = False) -> PipelineSpec:
+    """A landing folder for these tables, written once per application."""
+    return _once(
+        spark,
+        sf_dir,
+        f"landing, redelivered: {redelivered}",
+        lambda: write_landing(spark, sf_dir, scratch_dir(spark, "landing"), redelivered),
+    )
 
 
 def built_fleet(spark: SparkSession, sf_dir: str) -> PipelineSpec:
     """All layers of these tables built from landing files, once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _built:
-        spec = in_own_schemas(landed_fleet(spark, sf_dir, redelivered=True))
+
+    def build() -> PipelineSpec:
+        spec = own_schemas(spark, landed_fleet(spark, sf_dir, redelivered=True))
         run(spark, spec, scratch_dir(spark, "tables"))
-        _built[key] = spec
-    return _built[key]
+        return spec
+
+    return _once(spark, sf_dir, "layers", build)
+
+
+def own_schemas(spark: SparkSession, spec: PipelineSpec) -> PipelineSpec:
+    """``in_own_schemas``, dropped with their tables when the interpreter ends."""
+    own = in_own_schemas(spec)
+    atexit.register(_drop, spark, own)
+    return own
+
+
+def _drop(spark: SparkSession, spec: PipelineSpec) -> None:
+    if spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():
+        return  # a session's own catalog is gone with it
+    for schema in (spec.bronze_schema, spec.silver_schema, spec.gold_schema):
+        spark.sql(f"DROP SCHEMA IF EXISTS `{spec.catalog}`.`{schema}` CASCADE")
+
+
+def folder_drift(spark: SparkSession, sf_dir: str) -> SourceFile:
+    """One logical file whose parts drifted: wider numbers, and a column only some have."""
+    once = yellow_trips(spark, sf_dir, redelivered=False)
+    path = f"{scratch_dir(spark, 'parts')}/yellow/yellow_tripdata_1997-01.parquet"
+    variants = {0: ("int", "bigint", None), 1: ("bigint", "double", 0.5), 2: ("int", "int", 1.5)}
+    for remainder, (vendor, passengers, tip) in variants.items():
+        part = once.filter(F.col("file_number") % 3 == remainder).select(
+            F.col("vendorid").cast(vendor).alias("VendorID"),
+            F.col("passenger_count").cast(passengers).alias("passenger_count"),
+            "total_amount",
+            *([F.lit(tip).alias("tip")] if tip else []),
+        )
+        part.write.mode("append").parquet(path)
+    return SourceFile(path)
+
+
+def type_drift(spark: SparkSession, sf_dir: str) -> list[SourceFile]:
+    """Two logical files whose types have nothing numeric in common, or only just."""
+    once = yellow_trips(spark, sf_dir, redelivered=False)
+    root = f"{scratch_dir(spark, 'types')}/yellow"
+    amount, pickup = F.col("total_amount"), F.col("tpep_pickup_datetime")
+    variants = [
+        (F.col("vendorid").cast("tinyint"), amount.cast("float"), pickup.cast("date"), F.col("passenger_count")),
+        (F.col("vendorid").cast("int"), amount.cast("bigint"), pickup, F.col("passenger_count").cast("string")),
+    ]
+    files = []
+    for number, columns in enumerate(variants):
+        files.append(SourceFile(f"{root}/yellow_tripdata_1997-0{number + 1}.parquet"))
+        names = ("vendorid", "amount", "pickup", "passengers")
+        part = once.filter(F.col("file_number") % 2 == number)
+        part.select(*[c.alias(n) for c, n in zip(columns, names)]).write.parquet(files[-1].path)
+    return files

@@ -19,6 +19,13 @@ from tripmill.spec import PipelineSpec, TableName
 INGESTED_AT = "_ingested_at"
 
 
+class RowsLostError(RuntimeError):
+    """Bronze does not hold the rows that the footers of the landed files promise."""
+
+    def __init__(self, service: str, landed: int, read: int) -> None:
+        super().__init__(f"{service}: {landed} rows landed, {read} rows in bronze")
+
+
 @dataclass(frozen=True)
 class RunReport:
     """What a run wrote: row counts per table and the silver accounting per service."""
@@ -119,20 +126,23 @@ def run(
 ) -> RunReport:
     """Rebuild every layer from the landing folder. Repeating it gives the same tables.
 
+    With ``check_footers`` the rows of bronze are held against those of the footers.
     Layers talk through tables only, so a lost executor never recomputes past the
     previous layer.
     """
     bootstrap(spark, spec, location)
-    landed_bytes = require_landing(spark, spec, check_footers)
+    landed = require_landing(spark, spec, check_footers)
 
     def build(service: str) -> tuple[dict[str, int], SilverAudit]:
         came_in = write_bronze(spark, spec, service, footers)
+        if landed.rows and landed.rows[service] != came_in["rows"]:
+            raise RowsLostError(service, landed.rows[service], came_in["rows"])
         return came_in, write_silver(spark, spec, service, came_in)
 
     names = [s.name for s in spec.services]
     rows: dict[TableName, int] = {}
     audits: dict[str, SilverAudit] = {}
-    settings = sized_settings(spark, landed_bytes)
+    settings = sized_settings(spark, landed.bytes)
     if spec.monthly_layout:
         settings |= monthly_settings(len(spec.months))
     with sql_conf(spark, settings):

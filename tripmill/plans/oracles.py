@@ -86,9 +86,10 @@ found AS (
     SELECT 'green', CAST(date_trunc('month', pickup_datetime) AS DATE), count(*)
     FROM green_raw GROUP BY ALL
 )
-SELECT g.service, strftime(g.first_day, '%Y-%m') AS month,
+SELECT coalesce(g.service, f.service) AS service,
+       strftime(coalesce(g.first_day, f.first_day), '%Y-%m') AS month,
        f.n IS NOT NULL AS present, COALESCE(f.n, 0) AS rows_found
-FROM grid g LEFT JOIN found f ON f.service = g.service AND f.first_day = g.first_day
+FROM grid g FULL JOIN found f ON f.service = g.service AND f.first_day = g.first_day
 """
 
 _DRIFT = """
@@ -137,6 +138,60 @@ SELECT e.service, e.month, e.file, l.n IS NOT NULL AS present,
 FROM expected e LEFT JOIN landed l ON l.service = e.service AND l.month = e.month
 """
 
+_FOLDER_DRIFT = f"""
+WITH {_RAW}
+SELECT CAST(vendorid AS BIGINT) AS vendorid, CAST(passenger_count AS DOUBLE) AS passenger_count,
+       CAST(total_amount AS DOUBLE) AS total_amount,
+       CAST(CASE file_number % 3 WHEN 1 THEN 0.5 WHEN 2 THEN 1.5 END AS DOUBLE) AS tip,
+       'yellow_tripdata_1997-01.parquet' AS _source_file
+FROM yellow_once
+"""
+
+_DRIFT_TYPES = """
+SELECT column_name, CAST(2 AS BIGINT) AS files, (SELECT count(*) FROM lineitem) AS rows,
+       types, target_type, target_type = 'string' AS fell_back
+FROM (VALUES ('vendorid', 'int, tinyint', 'int'), ('amount', 'bigint, float', 'float'),
+             ('pickup', 'date, timestamp_ntz', 'string'), ('passengers', 'bigint, string', 'string')
+     ) seen(column_name, types, target_type)
+"""
+
+_BAD_CASTS = f"""
+WITH {_RAW}
+SELECT DISTINCT 'green' AS service_type,
+       CASE WHEN passenger_count = 3 THEN NULL ELSE CAST(vendorid AS INTEGER) END AS vendorid,
+       CASE WHEN total_amount < 0 THEN NULL ELSE CAST(passenger_count AS INTEGER) END
+           AS passenger_count,
+       pickup_datetime, dropoff_datetime, CAST(total_amount AS DOUBLE) AS total_amount
+FROM green_raw
+WHERE pickup_datetime >= DATE '1997-01-01' AND pickup_datetime < DATE '1997-06-01'
+"""
+
+_PIPELINE_RUN = f"""
+{_LAYERS},
+sizes AS (
+    SELECT 'yellow' AS service, (SELECT count(*) FROM yellow_raw) AS raw
+    UNION ALL SELECT 'green', (SELECT count(*) FROM green_raw)
+),
+counts AS (
+    SELECT service, raw,
+           (SELECT count(*) FROM scoped WHERE service_type = service) AS in_scope,
+           (SELECT count(*) FROM silver WHERE service_type = service) AS kept
+    FROM sizes
+)
+SELECT 'bronze.' || service || '_tripdata' AS what, raw AS rows FROM counts
+UNION ALL SELECT 'silver.' || service || '_trips', kept FROM counts
+UNION ALL SELECT 'out of scope, ' || service, raw - in_scope FROM counts
+UNION ALL SELECT 'duplicates, ' || service, in_scope - kept FROM counts
+UNION ALL SELECT 'gold.yellow_trips_consumption', count(*) FROM consumption
+UNION ALL SELECT 'gold.taxi_trips', count(*) FROM trips
+"""
+
+_EVENTS = f"""
+SELECT CAST(hour(ts) AS INTEGER) AS hour_of_day, {_rounded('avg(value)', 3)} AS avg_value,
+       count(*) AS trips
+FROM events WHERE ts >= DATE '2024-01-01' AND ts < DATE '2024-02-01'
+"""
+
 _SILVER = f"{_LAYERS} SELECT * FROM silver"
 
 _ORACLES = {
@@ -243,14 +298,13 @@ _ORACLES = {
                count(*) AS trips
         FROM trips WHERE {_MAY} AND passenger_count >= 1 GROUP BY 1
     """,
-    "events_hourly": f"""
-        SELECT CAST(hour(ts) AS INTEGER) AS hour_of_day,
-               {_rounded('avg(value)', 3)} AS avg_value,
-               count(*) AS trips
-        FROM events
-        WHERE ts >= DATE '2024-01-01' AND ts < DATE '2024-02-01' AND value >= 1
-        GROUP BY 1
-    """,
+    "events_hourly": f"{_EVENTS} GROUP BY 1",
+    "events_hourly_above": f"{_EVENTS} AND value >= 1 GROUP BY 1",
+    "missing_files": f"SELECT service, file FROM ({_STATUS}) WHERE NOT present",
+    "bronze_folder_drift": _FOLDER_DRIFT,
+    "drift_report_types": _DRIFT_TYPES,
+    "bad_casts": _BAD_CASTS,
+    "pipeline_run": _PIPELINE_RUN,
 }
 
 

@@ -29,16 +29,19 @@ from tripmill.plans.answers import (
 from tripmill.plans.fleet import (
     built_fleet,
     fleet_spec,
-    in_own_schemas,
+    folder_drift,
     landed_fleet,
+    own_schemas,
     raw_trips,
     table,
+    type_drift,
 )
-from tripmill.plans.medallion import source_files
-from tripmill.sources.drifted import drift_report, scan_conformed
-from tripmill.sources.landing import landing_status, match_arrivals
+from tripmill.plans.medallion import run, source_files
+from tripmill.sources.drifted import drift_report, rows_per_file, scan_conformed
+from tripmill.sources.landing import file_status, match_arrivals, missing_files
 from tripmill.sources.session import scratch_dir
 from tripmill.sources.tables import bootstrap, overwrite_table, read_table
+from tripmill.spec import MIN_PASSENGER_COUNT, MIN_TOTAL_AMOUNT, PipelineSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,13 +62,16 @@ def _trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold_trips([_silver(spark, sf_dir, s) for s in SERVICES])
 
 
-def landing_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Expected (service, month) grid against the months trips arrived for."""
+def landing_completeness(
+    spark: SparkSession, sf_dir: str, start: str = GRID_START, months: int = GRID_MONTHS
+) -> DataFrame:
+    """Expected (service, month) grid against the months trips arrived for.
+
+    Months that nobody expected are reported, too, if trips arrived for them.
+    """
     expected = (
-        spark.range(GRID_MONTHS)
-        .withColumn(
-            "first_day", F.add_months(F.lit(GRID_START).cast("date"), F.col("id").cast("int"))
-        )
+        spark.range(months)
+        .withColumn("first_day", F.add_months(F.lit(start).cast("date"), F.col("id").cast("int")))
         .select(F.explode(F.array(*map(F.lit, SERVICES))).alias("service"), "first_day")
     )
     arrived = union_all(
@@ -78,7 +84,7 @@ def landing_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
         ]
     )
     return (
-        match_arrivals(expected, arrived, ["service", "first_day"])
+        match_arrivals(expected, arrived, ["service", "first_day"], unexpected=True)
         .select(
             "service",
             month_label(F.col("first_day")).alias("month"),
@@ -98,7 +104,7 @@ def bronze_conformed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineage_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rows_per_key(bronze_conformed(spark, sf_dir), "_source_file")
+    return rows_per_key(bronze_conformed(spark, sf_dir), "_source_file").orderBy("_source_file")
 
 
 def silver_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +113,7 @@ def silver_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver through a managed table in fresh schemas and back."""
-    spec = in_own_schemas(fleet_spec())
+    spec = own_schemas(spark, fleet_spec())
     bootstrap(spark, spec, scratch_dir(spark, "tables"))
     target = spec.table(spec.silver_schema, "trips")
     overwrite_table(silver_trips(spark, sf_dir), target, spec.table_format)
@@ -129,7 +135,7 @@ def silver_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def service_row_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rows_per_key(_trips(spark, sf_dir), "service_type")
+    return rows_per_key(_trips(spark, sf_dir), "service_type").orderBy("service_type")
 
 
 def preview_mandated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,25 +156,53 @@ def layer_sizes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landing_status_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed files of five months against six expected ones, with the rows of each file."""
+    landed = landed_fleet(spark, sf_dir)
+    rows = union_all([rows_per_file(spark, source_files(landed, s)) for s in SERVICES])
+    status = file_status(spark, _one_more_month(spark, sf_dir)).drop("size_mb")
+    return match_arrivals(status, rows, ["file"]).select(
+        "service", "month", "file", "present", F.coalesce("rows_in_file", F.lit(0)).alias("rows_found")
+    ).orderBy("service", "month")
+
+
+def _one_more_month(spark: SparkSession, sf_dir: str) -> PipelineSpec:
     spec = landed_fleet(spark, sf_dir)
-    expected = replace(spec, months=(*spec.months, max(spec.months) + 1))
-    rows = union_all(
-        [
-            rows_per_key(scan_conformed(spark, source_files(spec, s)), "_source_file")
-            for s in SERVICES
-        ]
-    ).withColumnsRenamed({"_source_file": "file", "count": "rows"})
-    return (
-        match_arrivals(landing_status(spark, expected), rows, ["file"])
-        .select(
-            "service",
-            "month",
-            "file",
-            "present",
-            F.coalesce("rows", F.lit(0)).alias("rows_found"),
-        )
-        .orderBy("service", "month")
-    )
+    return replace(spec, months=(*spec.months, max(spec.months) + 1))
+
+
+def missing_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which of six expected months did not land."""
+    return missing_files(spark, _one_more_month(spark, sf_dir))
+
+
+def bronze_folder_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of one logical file whose parts have different schemas."""
+    return scan_conformed(spark, [folder_drift(spark, sf_dir)])
+
+
+def drift_report_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drift that ends in a string, and drift between narrow types."""
+    return drift_report(spark, type_drift(spark, sf_dir))
+
+
+def bad_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver from text and numbers of which some do not fit; those become NULL."""
+    raw = raw_trips(spark, sf_dir, "green")
+    text = F.when(F.col("total_amount") < 0, "abc").otherwise(F.col("passenger_count").cast("string"))
+    wide = F.when(F.col("passenger_count") == 3, 3e10).otherwise(F.col("vendorid"))
+    odd = raw.withColumns({"passenger_count": text, "vendorid": wide.cast("double")})
+    return silver(odd, replace(fleet_spec(), on_bad_cast="null"), "green")
+
+
+def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per table of a whole build from landing files, and where silver's rows went."""
+    spec = own_schemas(spark, landed_fleet(spark, sf_dir, redelivered=True))
+    report = run(spark, spec, scratch_dir(spark, "tables"), check_footers=True)
+    layers = {spec.bronze_schema: "bronze", spec.silver_schema: "silver", spec.gold_schema: "gold"}
+    found = [(f"{layers[t.schema]}.{t.table}", n) for t, n in report.rows.items()]
+    for service, audit in report.audits.items():
+        found.append((f"out of scope, {service}", audit.out_of_scope))
+        found.append((f"duplicates, {service}", audit.duplicates))
+    return spark.createDataFrame(found, "what string, rows long").orderBy("what")
 
 
 def bronze_union(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,17 +215,23 @@ def bronze_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q1_monthly_avg_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = built_fleet(spark, sf_dir)
-    return spark.sql(monthly_avg_sql(str(spec.consumption_table("yellow"))))
+    return spark.sql(monthly_avg_sql(spec, "yellow"))
 
 
 def q1_overall_avg_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = built_fleet(spark, sf_dir)
-    return spark.sql(overall_avg_sql(str(spec.consumption_table("yellow"))))
+    return spark.sql(overall_avg_sql(spec, "yellow"))
 
 
 def q2_hourly_avg_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = built_fleet(spark, sf_dir)
-    return spark.sql(hourly_avg_sql(str(spec.trips_table), *Q2_MONTH))
+    return spark.sql(hourly_avg_sql(spec, Q2_MONTH[1]))
+
+
+def _events_hourly(spark: SparkSession, sf_dir: str, least: float | None) -> DataFrame:
+    return hourly_avg(
+        table(spark, sf_dir, "events"), 2024, 1, ts_col="ts", value_col="value", min_value=least, name="avg_value"
+    )
 
 
 def queries() -> dict[str, Query]:
@@ -214,19 +254,26 @@ def queries() -> dict[str, Query]:
         "layer_sizes": layer_sizes_query,
         "quality_amount": lambda spark, d: amount_profile(_consumption(spark, d)),
         "quality_passengers": lambda spark, d: passenger_profile(_trips(spark, d), *Q2_MONTH),
-        "q1_monthly_avg": lambda spark, d: monthly_avg(_consumption(spark, d)),
+        "q1_monthly_avg": lambda spark, d: monthly_avg(
+            _consumption(spark, d), min_value=MIN_TOTAL_AMOUNT
+        ),
         "q1_monthly_avg_sql": q1_monthly_avg_sql,
-        "q1_overall_avg": lambda spark, d: overall_avg(_consumption(spark, d)),
+        "q1_overall_avg": lambda spark, d: overall_avg(
+            _consumption(spark, d), min_value=MIN_TOTAL_AMOUNT
+        ),
         "q1_overall_avg_sql": q1_overall_avg_sql,
-        "q2_hourly_avg": lambda spark, d: hourly_avg(_trips(spark, d), *Q2_MONTH),
+        "q2_hourly_avg": lambda spark, d: hourly_avg(
+            _trips(spark, d), *Q2_MONTH, min_value=MIN_PASSENGER_COUNT
+        ),
         "q2_hourly_avg_sql": q2_hourly_avg_sql,
-        "q2_service_split": lambda spark, d: service_split(_trips(spark, d), *Q2_MONTH),
-        "events_hourly": lambda spark, d: hourly_avg(
-            table(spark, d, "events"),
-            2024,
-            1,
-            ts_col="ts",
-            value_col="value",
-            name="avg_value",
+        "q2_service_split": lambda spark, d: service_split(
+            _trips(spark, d), *Q2_MONTH, min_value=MIN_PASSENGER_COUNT
         ),
+        "events_hourly": lambda spark, d: _events_hourly(spark, d, None),
+        "events_hourly_above": lambda spark, d: _events_hourly(spark, d, 1.0),
+        "missing_files": missing_files_query,
+        "bronze_folder_drift": bronze_folder_drift,
+        "drift_report_types": drift_report_types,
+        "bad_casts": bad_casts,
+        "pipeline_run": pipeline_run,
     }

@@ -6,14 +6,18 @@ import posixpath
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
-from pyspark.errors import PythonException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmill.functions.types import read_type
 from tripmill.operators.conform import (
+    ColumnCaseError,
     conform,
     conform_union,
     lower_schema,
@@ -21,13 +25,11 @@ from tripmill.operators.conform import (
     union_all,
 )
 from tripmill.sources.footers import footer_facts
-from tripmill.sources.landing import listing
-from tripmill.sources.session import in_parallel, listing_settings, sql_conf
+from tripmill.sources.landing import NestedFilesError, listing
+from tripmill.sources.session import in_parallel
 
 SOURCE_FILE = "_source_file"
 
-# Up to this many files one schema read per file is quicker than a job over all footers.
-_DRIVER_FOOTERS = 64
 # Telling rows of one scan apart by file costs a little per file and row, see `_source_tag`.
 _FILES_PER_SCAN = 12
 _PLAIN_NAME = re.compile(r"[A-Za-z0-9_.\-]+")
@@ -51,98 +53,110 @@ class SourceFile:
 
 @dataclass(frozen=True)
 class FileSchema:
-    """Paths that share one stored schema (names already lower-cased)."""
+    """A logical file, or those of its parts that share a stored schema (names lower-cased).
+
+    ``parts`` names what the parts have in common where a file has several schemas.
+    """
 
     file: SourceFile
-    paths: tuple[str, ...]
     schema: T.StructType
+    parts: str | None = None
 
 
 def file_schemas(
     spark: SparkSession, files: Sequence[SourceFile], footers: str = "auto"
 ) -> list[FileSchema]:
-    """The stored schema of every logical file, in the order given.
-
-    ``"driver"`` asks Spark for the schema of each logical file. ``"executors"`` reads all
-    footers in one job, fetches one row per distinct schema of each logical file, and then
-    asks Spark for the schema of one file per distinct fingerprint. This also splits a
-    folder whose part files drifted, but needs storage that Python on the executors can
-    open. ``"auto"`` picks by the number of files and falls back to ``"driver"``.
+    """The stored schemas of every logical file, in the order given.
+
+    Every part counts, however many there are. ``"auto"`` has Spark merge the footers of
+    each logical file in a job of its own; where parts differ in a type, or in the case of
+    a name, ``"executors"`` takes over for that file. ``"executors"`` reads all footers in one job,
+    brings back one row per distinct schema of each logical file, and asks Spark for
+    the schema of one part per row. It needs storage that Python on the executors can open,
+    and fails by path where it cannot.
     """
     if not files:
         raise ValueError("no input files")
-    if footers == "auto" and len(files) > _DRIVER_FOOTERS:
-        try:
-            return _schemas_by_fingerprint(spark, files)
-        except PythonException:
-            footers = "driver"
-    elif footers == "auto":
-        footers = "driver"
-    if footers == "driver":
-        schemas = _schemas_of(spark, [f.path for f in files])
-        return [FileSchema(f, (f.path,), s) for f, s in zip(files, schemas)]
     if footers == "executors":
         return _schemas_by_fingerprint(spark, files)
-    raise ValueError(f"footers must be 'auto', 'driver' or 'executors': {footers!r}")
+    if footers != "auto":
+        raise ValueError(f"footers must be 'auto' or 'executors': {footers!r}")
+    merged = _schemas_of(spark, [f.path for f in files])
+    mixed = [f for f, schema in zip(files, merged) if schema is None]
+    parts = _schemas_by_fingerprint(spark, mixed) if mixed else []
+    return [
+        entry
+        for file, schema in zip(files, merged)
+        for entry in (
+            [FileSchema(file, schema)]
+            if schema is not None
+            else [part for part in parts if part.file == file]
+        )
+    ]
 
 
-def _schemas_of(spark: SparkSession, paths: Sequence[str]) -> list[T.StructType]:
-    def schema_of(path: str) -> T.StructType:
-        return lower_schema(spark.read.parquet(path).schema)
+def _schemas_of(spark: SparkSession, paths: Sequence[str]) -> list[T.StructType | None]:
+    """The merged schema of each path; None where its parts cannot be merged."""
+
+    def schema_of(path: str) -> T.StructType | None:
+        try:
+            merged = spark.read.option("mergeSchema", "true").parquet(path).schema
+        except (PySparkException, Py4JJavaError) as error:
+            if "[CANNOT_MERGE_SCHEMAS]" not in str(error):
+                raise
+            return None
+        names = [name.lower() for name in merged.fieldNames()]
+        return lower_schema(merged) if len(set(names)) == len(names) else None
 
     return in_parallel(spark, [lambda p=path: schema_of(p) for path in paths])
 
 
-def _schemas_by_fingerprint(
-    spark: SparkSession, files: Sequence[SourceFile]
-) -> list[FileSchema]:
+def _fingerprints(spark: SparkSession, files: Sequence[SourceFile]) -> DataFrame:
+    """``path, length, num_rows, fingerprint, problem, name`` of every part of the files."""
     root = _parent(files)
-    by_name = {f.name: f for f in files}
-    found = (
+    named = (
         listing(spark, root)
         .filter(F.col("length") > 0)
-        .filter(F.col("path").endswith(".parquet"))
         .withColumn("name", _first_segment_below(F.col("path"), root))
+        .filter(F.col("name").isin([f.name for f in files]))
     )
-    facts = footer_facts(found)
-    with sql_conf(spark, listing_settings()):
-        groups = (
-            facts.groupBy("name", "fingerprint").agg(F.min("path").alias("path")).collect()
-        )
-        groups = sorted((g for g in groups if g.name in by_name), key=lambda g: g.path)
-        unreadable = [g.path for g in groups if g.fingerprint is None]
-        if unreadable:
-            raise ValueError(f"not readable as Parquet: {unreadable}")
-        absent = [f.path for f in files if f.name not in {g.name for g in groups}]
-        if absent:
-            raise ValueError(f"no input files under: {absent}")
-        variants: dict[str, int] = {}
-        for group in groups:
-            variants[group.name] = variants.get(group.name, 0) + 1
-        mixed = [name for name, n in variants.items() if n > 1]
-        parts: dict[tuple[str, str], list[str]] = {}
-        if mixed:
-            # Only folders with drift inside need their part files named one by one;
-            # Spark's own file index holds the same list.
-            for row in facts.filter(F.col("name").isin(mixed)).select(
-                "name", "fingerprint", "path"
-            ).toLocalIterator():
-                parts.setdefault((row.name, row.fingerprint), []).append(row.path)
-
-    representative: dict[str, str] = {}
-    for group in groups:
-        representative.setdefault(group.fingerprint, group.path)
-    schemas = dict(
-        zip(representative, _schemas_of(spark, list(representative.values())))
+    deeper = named.filter(F.substring_index("path", "/", -2) != F.concat_ws("/", "name", F.substring_index("path", "/", -1)))
+    deeper = deeper.filter(F.substring_index("path", "/", -1) != F.col("name"))
+    nested = deeper.agg(F.min("path")).first()[0]
+    if nested:
+        raise NestedFilesError(f"part files lie below a folder inside a logical file: {nested}")
+    return footer_facts(named)
+
+
+def _schemas_by_fingerprint(
+    spark: SparkSession, files: Sequence[SourceFile]
+) -> list[FileSchema]:
+    facts = _fingerprints(spark, files)
+    groups = (
+        facts.groupBy("name", "fingerprint")
+        .agg(F.min("path").alias("path"), F.min("problem").alias("problem"))
+        .collect()
     )
-    result = []
+    groups = sorted(groups, key=lambda g: g.path)
+    unreadable = [f"{g.path}: {g.problem}" for g in groups if g.fingerprint is None]
+    if unreadable:
+        raise ValueError(f"not readable as Parquet: {unreadable}")
+    absent = [f.path for f in files if f.name not in {g.name for g in groups}]
+    if absent:
+        raise ValueError(f"no input files under: {absent}")
+    first: dict[str, str] = {}
+    for group in groups:
+        first.setdefault(group.fingerprint, group.path)
+    schemas = dict(zip(first, _schemas_of(spark, list(first.values()))))
+    found = []
     for file in files:
-        for group in groups:
-            if group.name != file.name:
-                continue
-            paths = parts.get((group.name, group.fingerprint), [file.path])
-            result.append(FileSchema(file, tuple(sorted(paths)), schemas[group.fingerprint]))
-    return result
+        own = [g for g in groups if g.name == file.name]
+        for group in own:
+            schema = schemas[group.fingerprint]
+            if schema is None:
+                raise ColumnCaseError(f"columns of {group.path} differ only by case")
+            found.append(FileSchema(file, schema, group.fingerprint if len(own) > 1 else None))
+    return found
 
 
 def _parent(files: Sequence[SourceFile]) -> str:
@@ -167,7 +181,7 @@ class ScanGroup:
 
     read_types: dict[str, T.DataType]
     names: set[str]
-    paths: list[str]
+    entries: list[FileSchema]
 
     def accepts(self, entry: FileSchema, wanted: dict[str, T.DataType]) -> bool:
         has_room = entry.file.name in self.names or len(self.names) < _FILES_PER_SCAN
@@ -179,7 +193,7 @@ class ScanGroup:
     def add(self, entry: FileSchema, wanted: dict[str, T.DataType]) -> None:
         self.read_types.update(wanted)
         self.names.add(entry.file.name)
-        self.paths.extend(entry.paths)
+        self.entries.append(entry)
 
     @property
     def schema(self) -> T.StructType:
@@ -205,6 +219,32 @@ def scan_groups(
     return groups
 
 
+def _paths(
+    spark: SparkSession, group: ScanGroup, schemas: Sequence[FileSchema], files: Sequence[SourceFile]
+) -> list[str]:
+    """What to give the reader: whole logical files where the group holds all their schemas.
+
+    Only of a folder whose parts need different read types are parts named one by one; the
+    reader's own file index holds the same list.
+    """
+    paths, split = [], {}
+    for file in {entry.file for entry in group.entries}:
+        own = {entry.parts for entry in group.entries if entry.file == file}
+        if own == {entry.parts for entry in schemas if entry.file == file}:
+            paths.append(file.path)
+        else:
+            split[file.name] = own
+    if split:
+        facts = _fingerprints(spark, [f for f in files if f.name in split])
+        wanted = [
+            (F.col("name") == name) & F.col("fingerprint").isin(sorted(own))
+            for name, own in split.items()
+        ]
+        rows = facts.filter(reduce(or_, wanted)).select("path")
+        paths.extend(row.path for row in rows.toLocalIterator())
+    return sorted(paths)
+
+
 def _source_tag(scan: DataFrame, names: set[str], root: str) -> Column:
     """The logical file a row of this scan came from.
 
@@ -261,12 +301,27 @@ def scan_conformed(
     )
     frames = []
     for group in scan_groups(schemas, target):
-        scan = spark.read.schema(group.schema).parquet(*group.paths)
+        scan = spark.read.schema(group.schema).parquet(*_paths(spark, group, schemas, files))
         tagged = scan.withColumn(SOURCE_FILE, _source_tag(scan, group.names, root))
         frames.append(conform(tagged, target))
     return union_all(frames)
 
 
+def rows_per_file(spark: SparkSession, files: Sequence[SourceFile]) -> DataFrame:
+    """``file, rows_in_file`` of every logical file that holds rows.
+
+    No data column is read: the reader takes the row counts from the footers.
+    """
+    return (
+        spark.read.schema("nothing int")
+        .parquet(*[f.path for f in files])
+        .groupBy(F.col("_metadata.file_path").alias("path"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(_first_segment_below(F.col("path"), _parent(files)).alias("file"))
+        .agg(F.sum("n").alias("rows_in_file"))
+    )
+
+
 def drift_report(
     spark: SparkSession,
     files: Sequence[SourceFile],
@@ -294,16 +349,7 @@ def drift_report(
         ],
         "file string, column_name string, type string, target_type string",
     )
-    # No data column is read: the reader takes the row counts from the footers.
-    paths = [path for s in schemas for path in s.paths]
-    counts = (
-        spark.read.schema(schemas[0].schema)
-        .parquet(*paths)
-        .groupBy(F.col("_metadata.file_path").alias("path"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .groupBy(_first_segment_below(F.col("path"), _parent(files)).alias("file"))
-        .agg(F.sum("n").alias("rows_in_file"))
-    )
+    counts = rows_per_file(spark, files)
     per_file = sightings.groupBy("file", "column_name", "target_type").agg(
         F.collect_set("type").alias("types")
     )

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame
 
 
 def footer_facts(files: DataFrame) -> DataFrame:
-    """Add ``num_rows`` and ``fingerprint`` to a frame with a ``path`` column.
+    """Add ``num_rows``, ``fingerprint`` and ``problem`` to a frame with a ``path`` column.
 
     Each task opens the footers of its own paths; no column data is read. The fingerprint
     is equal for two files exactly when they hold the same columns with the same types.
-    Both are NULL for a file whose footer cannot be read.
+    Both are NULL for a file whose footer cannot be read; ``problem`` then says why.
     """
     from pyspark.sql import types as T
 
@@ -21,6 +21,7 @@ def footer_facts(files: DataFrame) -> DataFrame:
         + [
             T.StructField("num_rows", T.LongType()),
             T.StructField("fingerprint", T.StringType()),
+            T.StructField("problem", T.StringType()),
         ]
     )
 
@@ -34,19 +35,19 @@ def footer_facts(files: DataFrame) -> DataFrame:
 
         spark_schema = b"org.apache.spark.sql.parquet.row.metadata"
 
-        def facts(path: str) -> tuple[int | None, str | None]:
+        def facts(path: str) -> tuple[int | None, str | None, str | None]:
             uri = path.replace("s3a://", "s3://", 1)
             if uri.startswith("file:/") and not uri.startswith("file:///"):
                 uri = "file://" + uri[len("file:"):]
-            if uri.startswith("file://"):
-                filesystem, inner = pafs.LocalFileSystem(), uri[len("file://"):]
-            else:
-                filesystem, inner = pafs.FileSystem.from_uri(uri)
             try:
+                if uri.startswith("file://"):
+                    filesystem, inner = pafs.LocalFileSystem(), uri[len("file://"):]
+                else:
+                    filesystem, inner = pafs.FileSystem.from_uri(uri)
                 with filesystem.open_input_file(inner) as handle:
                     footer = pq.read_metadata(handle)
-            except (pa.ArrowInvalid, EOFError):
-                return None, None
+            except (pa.ArrowInvalid, EOFError, OSError) as error:
+                return None, None, str(error)
             digest = hashlib.sha1()
             for i in range(footer.num_columns):
                 column = footer.schema.column(i)
@@ -55,13 +56,14 @@ def footer_facts(files: DataFrame) -> DataFrame:
                     f"|{column.max_repetition_level}\n".encode()
                 )
             digest.update((footer.metadata or {}).get(spark_schema, b""))
-            return footer.num_rows, digest.hexdigest()
+            return footer.num_rows, digest.hexdigest(), None
 
         for batch in batches:
             rows = [facts(path) for path in batch["path"]]
-            batch["num_rows"] = [n for n, _ in rows]
+            batch["num_rows"] = [n for n, _, _ in rows]
             batch["num_rows"] = batch["num_rows"].astype("Int64")
-            batch["fingerprint"] = [f for _, f in rows]
+            batch["fingerprint"] = [f for _, f, _ in rows]
+            batch["problem"] = [p for _, _, p in rows]
             yield batch
 
     return files.mapInPandas(read, out)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripmill.sources.footers import footer_facts
-from tripmill.sources.session import listing_settings, sql_conf
 from tripmill.spec import PipelineSpec
 
 _SERVICES_SCHEMA = "service string, file_prefix string"
@@ -19,6 +19,13 @@ _LISTING_SCHEMA = T.StructType(
 )
 
 
+_LISTING_TASKS_PER_CORE = 4
+
+
+class NestedFilesError(ValueError):
+    """A logical file holds folders: readers would not agree on which parts belong to it."""
+
+
 class MissingFilesError(RuntimeError):
     """Raised by the gate; ``missing`` holds every ``service/file`` that did not arrive."""
 
@@ -49,14 +56,17 @@ def manifest(spark: SparkSession, spec: PipelineSpec) -> DataFrame:
     )
 
 
-def listing(spark: SparkSession, landing_root: str) -> DataFrame:
-    """``path, length`` of every file under the landing folder, without opening any.
+def listing(spark: SparkSession, landing_root: str, *more: str) -> DataFrame:
+    """``path, length`` (and ``more`` facts) of every file under the landing folder, without opening any.
 
-    A landing folder that does not exist yet is simply empty.
+    A landing folder that does not exist yet is simply empty. Names that start with ``_`` or
+    ``.`` are no data, as for every reader of Spark. The splits of this reader are packed by
+    bytes it never opens, so they are merged into a few tasks per core.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    tasks = _LISTING_TASKS_PER_CORE * spark.sparkContext.defaultParallelism
     try:
-        return files.load(landing_root).select("path", "length")
+        return files.load(landing_root).select("path", "length", *more).coalesce(tasks)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -70,11 +80,12 @@ def arrivals(spark: SparkSession, spec: PipelineSpec, check_footers: bool = Fals
     """
     services = "|".join(re.escape(s.name) for s in spec.services)
     # Greedy prefix: the last match counts, so a look-alike inside the root is harmless.
-    layout = rf"^.*/({services})/([^/]+_\d{{4}}-\d{{2}}\.parquet)(?:/.*)?$"
+    layout = rf"^.*/({services})/([^/]+_\d{{4}}-\d{{2}}\.parquet)(?:/([^/]+)|(/.*/.*))?$"
     found = listing(spark, spec.landing_root)
     if check_footers:
         found = footer_facts(found)
-    sums = [F.sum("length").alias("bytes")]
+    nested = F.when(F.regexp_extract("path", layout, 4) != "", F.col("path"))
+    sums = [F.sum("length").alias("bytes"), F.min(nested).alias("nested")]
     if check_footers:
         sums += [
             F.sum("num_rows").alias("rows"),
@@ -89,23 +100,36 @@ def arrivals(spark: SparkSession, spec: PipelineSpec, check_footers: bool = Fals
     )
 
 
-def match_arrivals(expected: DataFrame, arrived: DataFrame, on: list[str]) -> DataFrame:
-    """Every expected row with what arrived for it, NULL where nothing did."""
-    return expected.join(arrived, on, "left")
+def match_arrivals(
+    expected: DataFrame, arrived: DataFrame, on: list[str], unexpected: bool = False
+) -> DataFrame:
+    """Every expected row with what arrived for it, NULL where nothing did.
+
+    With ``unexpected`` also what arrived without being expected.
+    """
+    return expected.join(arrived, on, "full" if unexpected else "left")
 
 
 def landing_status(
     spark: SparkSession, spec: PipelineSpec, check_footers: bool = False
+) -> DataFrame:
+    """``file_status`` in the order of services and months."""
+    return file_status(spark, spec, check_footers).orderBy("service", "month")
+
+
+def file_status(
+    spark: SparkSession, spec: PipelineSpec, check_footers: bool = False
 ) -> DataFrame:
     """``service, month, file, present, size_mb``, one row per expected file.
 
-    Present means "not empty". With ``check_footers`` a file must also have readable
+    Present means "not empty" and not nested: a logical file is a file, or a folder of part
+    files and nothing deeper. With ``check_footers`` a file must also have readable
     Parquet footers, and a ``rows`` column is added; a truncated file then counts as missing.
     """
     joined = match_arrivals(
         manifest(spark, spec), arrivals(spark, spec, check_footers), ["service", "file"]
     )
-    present = F.coalesce(F.col("bytes") > 0, F.lit(False))
+    present = F.coalesce(F.col("bytes") > 0, F.lit(False)) & F.col("nested").isNull()
     if check_footers:
         present = present & F.coalesce(F.col("unreadable") == 0, F.lit(False))
     columns = [
@@ -117,26 +141,48 @@ def landing_status(
     ]
     if check_footers:
         columns.append(F.when(present, F.col("rows")).alias("rows"))
-    return joined.select(*columns).orderBy("service", "month")
+    return joined.select(*columns)
+
+
+@dataclass(frozen=True)
+class Landed:
+    """What the gate let through: bytes, and rows per service where footers were read."""
+
+    bytes: int
+    rows: dict[str, int]
+
+
+def missing_files(
+    spark: SparkSession, spec: PipelineSpec, check_footers: bool = False
+) -> DataFrame:
+    """``service, file`` of every expected file that is not present."""
+    status = file_status(spark, spec, check_footers)
+    return status.filter(~F.col("present")).select("service", "file")
 
 
 def require_landing(
     spark: SparkSession, spec: PipelineSpec, check_footers: bool = False
-) -> int:
-    """Stop with the name of every missing file; return the landed bytes otherwise."""
+) -> Landed:
+    """Stop with the name of every missing file; return what landed otherwise."""
     expected = manifest(spark, spec)
     joined = match_arrivals(expected, arrivals(spark, spec, check_footers), ["service", "file"])
     absent = F.coalesce(F.col("bytes"), F.lit(0)) == 0
     if check_footers:
         absent = absent | (F.col("unreadable") > 0)
-    with sql_conf(spark, listing_settings()):
-        # One small row: at most one name per expected file, and a sum.
-        missing, total = joined.agg(
-            F.sort_array(
-                F.collect_list(F.when(absent, F.concat_ws("/", "service", "file")))
-            ),
-            F.coalesce(F.sum("bytes"), F.lit(0)),
-        ).first()
+    # One small row per service: at most one name per expected file, and sums.
+    found = joined.groupBy("service").agg(
+        F.sort_array(
+            F.collect_list(F.when(absent, F.concat_ws("/", "service", "file")))
+        ).alias("missing"),
+        F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
+        F.min("nested").alias("nested"),
+        (F.sum("rows") if check_footers else F.lit(None)).alias("rows"),
+    ).collect()
+    nested = [r.nested for r in found if r.nested]
+    if nested:
+        raise NestedFilesError(f"part files lie below a folder inside a logical file: {nested}")
+    missing = sorted(name for r in found for name in r.missing)
     if missing:
-        raise MissingFilesError(list(missing), spec.landing_root)
-    return int(total)
+        raise MissingFilesError(missing, spec.landing_root)
+    rows = {r.service: r.rows or 0 for r in found} if check_footers else {}
+    return Landed(sum(r.bytes for r in found), rows)

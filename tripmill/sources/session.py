@@ -68,15 +68,6 @@ def monthly_settings(months: int) -> dict[str, str]:
     }
 
 
-def listing_settings() -> dict[str, str]:
-    """For scans that read file metadata only.
-
-    Splits are packed by file size, so a listing of 100 TB would get a task per 128 MiB
-    of data it never opens. With an unbounded split size Spark packs by core count.
-    """
-    return {"spark.sql.files.maxPartitionBytes": str(2**62)}
-
-
 def in_parallel(spark: SparkSession, jobs: Sequence[Callable[[], Any]]) -> list[Any]:
     """Submit independent jobs side by side, so that one's tail does not idle the cluster."""
     call = inheritable_thread_target(spark)(lambda job: job())
@@ -87,11 +78,14 @@ def in_parallel(spark: SparkSession, jobs: Sequence[Callable[[], Any]]) -> list[
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder every executor can reach.
 
-    The cluster names a shared folder in ``spark.checkpoint.dir``. Only where that is
-    unset (a local session) a folder on this machine is used.
+    The cluster names a shared folder in ``spark.checkpoint.dir``. Only a session that runs
+    on this machine alone may leave it unset and gets a folder here.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="tripmill-")
     app = spark.sparkContext.applicationId
     return f"{shared.rstrip('/')}/tripmill/{app}/{purpose}-{uuid.uuid4().hex}"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -15,13 +16,46 @@ ATOMIC_FORMATS = ("delta", "iceberg")
 
 
 def bootstrap(spark: SparkSession, spec: PipelineSpec, location: str | None = None) -> None:
-    """Create the three layer schemas where missing; safe to repeat.
+    """Create the three layer schemas where missing and mend interrupted swaps; safe to repeat.
 
     ``location`` puts the managed tables of each layer in a folder of that name below it.
     """
     for schema in (spec.bronze_schema, spec.silver_schema, spec.gold_schema):
         where = f" LOCATION '{location.rstrip('/')}/{schema}'" if location else ""
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{spec.catalog}`.`{schema}`{where}")
+    for service in spec.services:
+        repair(spark, spec.bronze_table(service.name))
+        repair(spark, spec.silver_table(service.name))
+    for name in spec.consumption_services:
+        repair(spark, spec.consumption_table(name))
+    repair(spark, spec.trips_table)
+
+
+_PREVIOUS, _FRESH = "__previous_", "__fresh_"
+
+
+def repair(spark: SparkSession, table: TableName) -> None:
+    """Undo what a job that died in ``overwrite_table`` left behind.
+
+    A set-aside old table takes its name back where no new one did; everything else that
+    carries the table's name with a swap mark is dropped.
+    """
+    names = [r.tableName for r in spark.sql(f"SHOW TABLES IN `{table.catalog}`.`{table.schema}`").collect()]
+    previous = sorted(n for n in names if n.startswith(f"{table.table}{_PREVIOUS}".lower()))
+    if table.table.lower() not in names and previous:
+        _rename(spark, table.renamed(previous[-1]), table)
+        previous.pop()
+    unfinished = [n for n in names if n.startswith(f"{table.table}{_FRESH}".lower())]
+    for name in [*previous, *unfinished]:
+        spark.sql(f"DROP TABLE IF EXISTS {table.renamed(name)}")
+
+
+def _rename(spark: SparkSession, old: TableName, new: TableName) -> None:
+    # The new name is relative to the catalog of the renamed table.
+    spark.sql(f"ALTER TABLE {old} RENAME TO `{new.schema}`.`{new.table}`")
+    if spark.sql(f"DESCRIBE TABLE {new}").filter("col_name = '# Partition Information'").count():
+        # Some catalogs leave the partitions of a renamed table at its old location.
+        spark.sql(f"MSCK REPAIR TABLE {new} SYNC PARTITIONS")
 
 
 def read_table(spark: SparkSession, table: TableName) -> DataFrame:
@@ -41,24 +75,26 @@ def overwrite_table(
     """Replace the table, rows and schema, with ``df``.
 
     Plain file formats drop the old files before the first new row is written, so a job
-    that dies would leave no table. They are written to a new table first, which takes
-    over the name once it is complete; a failed job leaves the old table untouched.
+    that dies would leave no table. They are written to a new table first. Once that is
+    complete the old one is set aside, the new one takes the name, and the old one is dropped: at
+    every moment one of the two is whole, and ``repair`` finds it. Renaming a managed table moves its
+    folder, which costs a copy on stores without a rename; use an atomic format there.
     """
     spark = df.sparkSession
     if table_format in ATOMIC_FORMATS:
         writer = df.write.format(table_format).mode("overwrite").option("overwriteSchema", "true")
         (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(str(table))
         return
-    # A new name every time: leftovers of a dead job cannot block the next one.
-    fresh = table.renamed(f"{table.table}__{uuid.uuid4().hex[:12]}")
+    # New names every time: leftovers of a dead job cannot block the next one.
+    mark = f"{time.time_ns():020d}_{uuid.uuid4().hex[:8]}"
+    fresh = table.renamed(f"{table.table}{_FRESH}{mark}")
+    previous = table.renamed(f"{table.table}{_PREVIOUS}{mark}")
     writer = df.write.format(table_format)
     (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(str(fresh))
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    # The new name is relative to the catalog of the renamed table.
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO `{table.schema}`.`{table.table}`")
-    if partition_by:
-        # Some catalogs leave the partitions of a renamed table at its old location.
-        spark.sql(f"MSCK REPAIR TABLE {table} SYNC PARTITIONS")
+    if spark.catalog.tableExists(str(table)):
+        _rename(spark, table, previous)
+    _rename(spark, fresh, table)
+    spark.sql(f"DROP TABLE IF EXISTS {previous}")
 
 
 def overwrite_counted(
