@@ -26,7 +26,7 @@ EPOCHS = 6
 #: A small sample is gone through more often, for so many steps.
 STEPS = 300
 BATCH = 64
-RATE = 1.0
+RATE = 2.0
 LONGEST = 5
 #: Characters looked at together; a longer text is looked at on its own.
 CHARACTERS = 1 << 19
