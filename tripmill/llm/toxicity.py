@@ -22,11 +22,11 @@ from tripmill.llm.text import Powers, mix
 MAX_ROWS = 12_000
 BUCKETS = 1 << 16
 DIMENSIONS = 4
-EPOCHS = 6
+EPOCHS = 10
 #: A small sample is gone through more often, for so many steps.
 STEPS = 300
 BATCH = 64
-RATE = 2.0
+RATE = 1.0
 LONGEST = 5
 #: Characters looked at together; a longer text is looked at on its own.
 CHARACTERS = 1 << 19
