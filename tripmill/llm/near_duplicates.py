@@ -101,7 +101,8 @@ def leaves(classes: DataFrame) -> DataFrame:
     found = []
     for level in range(DEPTH + 1):
         sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("_size"), F.sum("n").alias("_sum"))
-        sizes = sizes.filter(F.col("_size") > 1)
+        # Written first: a join of two tables is one whose hot nodes Spark can split.
+        sizes = written(sizes.filter(F.col("_size") > 1), "sizes")
         share = F.greatest(F.col("_size") / SETS, F.col("_sum") / SHINGLES)
         blocks = F.when(share > 1, F.ceil(2 * share)).otherwise(1).cast("int")
         sized = rows.join(sizes, "node").withColumn("_blocks", blocks)
