@@ -104,36 +104,43 @@ def _fetch(rows: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
     side = per_text.select(F.col("_id").alias("_i"), F.col("_hash").alias("_h"), "_parts")
     joined = rows.join(side, _same_text())
 
+    def rows_of(batch, where, start, length, at, anchor, content, text) -> pa.RecordBatch:  # noqa: ANN001
+        which = pa.array(where)
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0).take(which), batch.column(1).take(which)]
+            + [pa.array(c, pa.int32()) for c in (start, length, at)]
+            + [pa.array(anchor, pa.int64()), pa.array(content, pa.int64()), pa.array(text, pa.binary())],
+            names=["_id", "_hash", "start", "length", "at", "anchor", "content", "text"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         word_powers, powers, other = Powers(), Powers(1), Powers(2)
         for batch in batches:
             parts = batch.column(3)
             for row, data, offsets in slices(batch.column(2)):
                 values, first, begin, end = rule.symbols(data, offsets, word_powers)
-                out: list[tuple] = []
+                whole, texts, windows = [], [], []
                 for i in range(len(offsets) - 1):
                     for part in parts[row + i].as_py():
                         a = int(first[i]) + part["start"]
                         b = a + part["length"]
                         if part["hot"]:
-                            window = np.arange(a, b - rule.window + 1)
-                            one = powers.ranges(values, window, window + rule.window).view(np.int64).tolist()
-                            two = other.ranges(values, window, window + rule.window).view(np.int64).tolist()
-                            out.extend(
-                                (row + i, part["start"] + k, rule.window, 0, x, y, None)
-                                for k, (x, y) in enumerate(zip(one, two))
-                            )
+                            own, start = values[a:b], np.arange(part["length"] - rule.window + 1)
+                            one = powers.ranges(own, start, start + rule.window).view(np.int64)
+                            two = other.ranges(own, start, start + rule.window).view(np.int64)
+                            windows.append((np.full(len(start), row + i), start + part["start"], one, two))
                         else:
+                            whole.append((row + i, part["start"], part["length"], part["at"], part["anchor"]))
                             text = data[begin[a] : end[b - 1]] if rule.words else data[a:b]
-                            out.append((row + i, part["start"], part["length"], part["at"], part["anchor"], 0, text.tobytes()))
-                columns = list(zip(*out)) if out else [[]] * 7
-                which = pa.array(columns[0], pa.int64())
-                kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(which), batch.column(1).take(which)]
-                    + [pa.array(c, t) for c, t in zip(columns[1:], kinds)],
-                    names=["_id", "_hash", "start", "length", "at", "anchor", "content", "text"],
-                )
+                            texts.append(text.tobytes())
+                if whole:
+                    where, start, length, at, anchor = map(np.array, zip(*whole))
+                    yield rows_of(batch, where, start, length, at, anchor, np.zeros_like(anchor), texts)
+                if windows:
+                    where, start, one, two = map(np.concatenate, zip(*windows))
+                    length = np.full(len(start), rule.window)
+                    nothing = pa.nulls(len(start), pa.binary())
+                    yield rows_of(batch, where, start, length, np.zeros_like(start), one, two, nothing)
 
     kind = rows.schema["_id"].dataType.simpleString()
     return joined.select("_id", "_hash", "_text", "_parts").mapInArrow(
@@ -199,6 +206,8 @@ def repeated_spans(rows: DataFrame, rule: Rule) -> DataFrame:
         rows = rows.dropDuplicates(["_id", "_hash"])
     pieces = written(_cut(rows, rule), "fragments")
     often = pieces.groupBy("anchor").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+    # Written first: a join of two tables is one whose hot anchors Spark can split.
+    often = written(often.select("anchor"), "anchors")
     pieces = written(pieces.join(often, "anchor", "left_semi"), "repeated")
     different, equal = _settled(pieces, rule)
     open_anchors = different.groupBy("anchor").agg(F.count(F.lit(1)).alias("_k")).filter(F.col("_k") > 1)
