@@ -21,9 +21,9 @@ from tripmill.llm.groups import by_group
 from tripmill.llm.scratch import written
 from tripmill.llm.text import Powers, byte_values, mix, slices, word_spans
 
-#: Different fragments around one anchor up to which they are searched together; a more
-#: frequent anchor's windows are told apart by their own hashes.
-HOT = 256
+#: Different fragments around one anchor up to which they are searched together, which is what
+#: a task can hold; the windows of a more frequent anchor are told apart by their own hashes.
+HOT = 1 << 14
 
 
 @dataclass(frozen=True)
