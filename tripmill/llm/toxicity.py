@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from tripmill.llm.text import Powers, mix
 
 #: Labelled rows a model is fitted on at most; each is read whole.
-MAX_ROWS = 12_000
+MAX_ROWS = 6_000
 BUCKETS = 1 << 16
 DIMENSIONS = 4
 EPOCHS = 10
@@ -179,9 +179,8 @@ def train(
                 row += len(texts)
 
     rows = chosen.select("_label", "_text").mapInArrow(bags, "label int, buckets binary, shares binary").toArrow()
-    order = sorted(
-        zip(rows["label"].to_pylist(), rows["buckets"].to_pylist(), rows["shares"].to_pylist())
-    )  # however the rows arrived, the model is the same
+    # However the rows arrived, the model is the same.
+    order = sorted(zip(*(rows[name].to_pylist() for name in ("label", "buckets", "shares"))))
     del rows
     return fit([(y, np.frombuffer(b, "<u2"), np.frombuffer(w, "<f4")) for y, b, w in order])
 
