@@ -29,10 +29,25 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near duplicates."""
-    found = near_duplicates.near_duplicates(docs, percent=SIMILAR)
-    gone = written(found.filter(~F.col("kept")).select("doc_id"), "gone")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """One row, of the smallest id, of each group of near duplicates; all rows without words.
+
+    Rows are told apart by id and text. Of rows equal in both any one stays, whatever else
+    they carry; a null id is the largest.
+    """
+    found = near_duplicates.near_duplicates(docs, percent=SIMILAR).filter(F.col("n_shingles") > 0)
+    found = written(found.select(F.col("doc_id").alias("_i"), F.col("text_hash").alias("_h"), "first"), "near")
+    again = found.filter("first").groupBy("_i", "_h").count().filter(F.col("count") > 1)
+    again = written(again.select("_i", "_h"), "again")
+    gone = written(found.filter(~F.col("first")).select("_i", "_h").unionByName(again), "gone")
+
+    def among(rows: DataFrame, how: str) -> DataFrame:
+        same = docs["doc_id"].eqNullSafe(rows["_i"]) & (F.xxhash64(docs["text"]) == rows["_h"])
+        return docs.join(rows, same, how)
+
+    kept = among(gone, "left_anti")
+    if again.isEmpty():
+        return kept
+    return kept.unionByName(among(again, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -138,6 +138,24 @@ def test_pipeline_catches_planted_cases(spark, docs_of, shared, tmp_path):
         assert stage(spark, docs.limit(0), folder).count() == 0
 
 
+def test_one_row_of_each_near_duplicate_group_stays(spark, docs_of, shared):
+    base, other, third, lost = prose(1, 120), prose(90, 120), prose(91, 120), prose(92, 120)
+    near = other.replace(other.split()[60], "changed", 1)
+    rows = awkward() + [
+        (20, other), (21, near), (21, third),  # an id with a copy and a text of its own
+        (20, other), (20, other), (21, near),  # rows that occur again
+        (None, base), (None, other), (None, lost), (None, lost),  # copies without an id
+        (22, lost.replace(lost.split()[3], "changed", 1)), (23, prose(93, 80)), (23, prose(93, 80)),
+        (24, None), (24, None),
+    ]
+    docs = docs_of(rows)
+    found = sorted(((r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()), key=str)
+    alone = [r for r in rows if not (r[1] or "").split()]
+    want = [(i, t) for i, t in dict.fromkeys(awkward()) if i not in (1, 2, 3, 4, 5, 13)]
+    want += [(20, other), (21, third), rows[-5], (23, prose(93, 80))]
+    assert found == sorted(alone + want, key=str)
+
+
 def test_every_operator_is_registered():
     names = __spark_entry__.queries()
     assert sorted(int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)) == list(range(1, 11))

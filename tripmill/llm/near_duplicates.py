@@ -67,7 +67,7 @@ def set_key(grams: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """``id, n, cls, tokens``: size, key and minwise tokens of each document's set."""
+    """``id, hash, n, cls, tokens``: its text's hash, and size, key and minwise tokens of each document's set."""
     factors = mix(np.arange(1, TOKENS + 1, dtype=np.uint64)) | np.uint64(1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,13 +81,14 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> Dat
                 else:
                     tokens.append([])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(tokens, pa.list_(pa.int32()))],
-                names=["id", "n", "cls", "tokens"],
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(keys, pa.binary())]
+                + [pa.array(tokens, pa.list_(pa.int32()))],
+                names=["id", "hash", "n", "cls", "tokens"],
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"id {kind}, n long, cls binary, tokens array<int>"
-    return docs.select(F.col(id_col).alias("id"), text_col).mapInArrow(run, schema)
+    schema = f"id {kind}, hash long, n long, cls binary, tokens array<int>"
+    return docs.select(F.col(id_col).alias("id"), text_col, F.xxhash64(text_col)).mapInArrow(run, schema)
 
 
 def leaves(classes: DataFrame) -> DataFrame:
@@ -254,7 +255,8 @@ def near_duplicates(
     shingle: int = SHINGLE,
     percent: int = PERCENT,
 ) -> DataFrame:
-    """One row per row of ``docs``: its id column, ``n_shingles``, ``component_id``, ``kept``.
+    """One row per row of ``docs``: its id column, ``n_shingles``, ``component_id``, ``kept``,
+    ``text_hash`` and ``first``.
 
     Two documents are linked if 100 * intersection >= ``percent`` * union of their shingle
     sets; a component is whatever links reach, named by its smallest id, whose document is
@@ -263,30 +265,40 @@ def near_duplicates(
     so copies are never paired. Rows that repeat an id are one component if their sets
     link, and are all kept where the id is the component's. Other columns are not carried.
 
+    ``first`` tells such rows apart by ``text_hash``, the xxhash64 of the text: in each
+    component it holds for one id and text, the smallest (a null id comes last), and for
+    every row without words. Only rows equal in both are left to choose from.
+
     Which links are looked for depends on chance with the figures at the top of this
     module; each link is confirmed on whole sets. Shingles and sets are told apart by
     64 and 128 bits.
     """
     members = written(signatures(docs, id_col, text_col, shingle), "signatures")
     classes = members.filter(F.col("n") > 0).groupBy("cls").agg(
-        F.min("id").alias("id"), F.first("n").alias("n"), F.first("tokens").alias("tokens")
+        F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "hash")).alias("least"),
+        F.first("n").alias("n"),
+        F.first("tokens").alias("tokens"),
     )
-    classes = written(classes, "classes")
+    classes = written(classes.withColumn("id", F.col("least.id")), "classes")
     candidates = written(likely(leaves(classes), percent), "candidates")
     found = written(links(candidates, docs, classes, id_col, text_col, shingle, percent), "links")
     labels = components(found)
     grouped = classes.join(labels.withColumnRenamed("node", "cls"), "cls")
-    least = grouped.groupBy("label").agg(F.min("id").alias("least"))
-    named = grouped.join(least, "label").select("cls", F.col("least").alias("component"))
-    alone = classes.select("cls", F.col("id").alias("own"))
+    least = grouped.groupBy("label").agg(F.min("least").alias("component"))
+    named = grouped.join(least, "label").select("cls", "component")
+    alone = classes.select("cls", F.col("least").alias("own"))
     known = alone.join(named, "cls", "left").select(
         F.col("cls").alias("_cls"), F.coalesce("component", "own").alias("component")
     )
-    rows = members.select("id", "n", "cls").join(known, (F.col("cls") == F.col("_cls")) & (F.col("n") > 0), "left")
-    component = F.coalesce("component", "id")
+    rows = members.select("id", "hash", "n", "cls").join(known, (F.col("cls") == F.col("_cls")) & (F.col("n") > 0), "left")
+    # A null id is the component's only where the component has no other.
+    component = F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("component.id"))
+    kept = F.col("id").eqNullSafe(component)
     return rows.select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
-        F.col("id").eqNullSafe(component).alias("kept"),
+        kept.alias("kept"),
+        F.col("hash").alias("text_hash"),
+        (F.col("component").isNull() | (kept & (F.col("hash") == F.col("component.hash")))).alias("first"),
     )

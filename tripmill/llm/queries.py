@@ -97,7 +97,8 @@ def op7_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+    found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
