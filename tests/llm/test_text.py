@@ -114,6 +114,24 @@ def test_packing_query_wastes_little(spark, sf_dir, shared):
     assert row.k * 2048 - row.n < 0.02 * row.n + 2048
 
 
+@pytest.mark.parametrize("length", [11, 15, 19])
+def test_packing_cuts_rests_above_half(docs_of, length):
+    rows = [(i, "x" * (length - 1)) for i in range(41)] + [(100 + i, "y" * 50) for i in range(3)]
+    docs = docs_of(rows).coalesce(1)
+    found = packing.pack(docs, lambda: lambda text: list(text.encode()), capacity=20, buffer=8).collect()
+    filled, pieces = {}, {}
+    for r in found:
+        filled.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        pieces.setdefault(r.doc_id, []).append((r.start, r.ids))
+    for spans in filled.values():
+        assert [at for at, _ in sorted(spans)] == [sum(n for _, n in sorted(spans)[:k]) for k in range(len(spans))]
+    totals = [sum(n for _, n in spans) for spans in filled.values()]
+    assert max(totals) <= 20 and sum(n < 20 for n in totals) <= 1
+    for i, text in rows:
+        ids = b"".join(part for _, part in sorted(pieces[i]))
+        assert np.frombuffer(ids, "<u4").tolist() == [*text.encode(), 1]
+
+
 def test_toxic_words_are_learned_and_spelled_wrong(spark, docs_of):
     bad = ["idiot", "moron", "scum"]
     rows = [(i, prose(2 * i, 40) + (f" {bad[i % 3]} " * 3 if i % 2 else "")) for i in range(120)]

@@ -3,6 +3,7 @@
 Every document is cut into whole sequences and one shorter rest. The rests of a task are
 packed sequence by sequence: the longest one goes in first, then a subset-sum over the
 multiset of remaining lengths, held as a bitset, finds the filling closest to capacity.
+Where that leaves room, the longest rest still held is cut to fill it.
 """
 
 from __future__ import annotations
@@ -133,7 +134,7 @@ def pack(
     table gives an empty result. Other columns of ``docs`` are not carried.
 
     No shuffle and no group: a task packs what it reads, holds at most ``buffer`` rests,
-    and leaves one sequence short at most at its end. Sequence ids are the task's
+    and leaves one sequence short at most, its last. Sequence ids are the task's
     number and a counter, so a task that runs again yields the same rows.
     """
     id_field = docs.schema[id_col]
@@ -165,8 +166,21 @@ def pack(
                 rows.append((doc, start, length, ids, total, next_id, at))
                 at += length
                 held -= 1
+            room = capacity - at
+            if room and counts:  # whatever is left is longer than the room
+                longest = max(counts)
+                doc, start, ids, total = rests[longest].pop()
+                rows.append((doc, start, room, ids[: 4 * room], total, next_id, at))
+                counts[longest] -= 1
+                if not counts[longest]:
+                    del counts[longest]
+                hold(longest - room, (doc, start + room, ids[4 * room :], total))
             next_id += 1
 
+        def hold(length: int, rest: tuple) -> None:
+            rests.setdefault(length, []).append(rest)
+            counts[length] = counts.get(length, 0) + 1
+
         def flush() -> pa.RecordBatch:
             columns = list(zip(*rows)) if rows else [[] for _ in names]
             rows.clear()
@@ -189,8 +203,7 @@ def pack(
                     rows.append((doc, start, capacity, part, total, next_id, 0))
                     next_id += 1
                 if rest:
-                    rests.setdefault(rest, []).append((doc, total - rest, ids[4 * (total - rest) :], total))
-                    counts[rest] = counts.get(rest, 0) + 1
+                    hold(rest, (doc, total - rest, ids[4 * (total - rest) :], total))
                     held += 1
                 if held >= buffer:
                     while held > buffer // 2:
