@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.llm import (
+    best_fit,
     decontamination,
     language,
     lm,
@@ -17,6 +18,7 @@ from tripmill.llm import (
     search,
     substring_dedup,
     suffix_dedup,
+    tokens,
     toxicity,
 )
 
@@ -38,6 +40,12 @@ def encoder() -> Callable[[str], list[int]]:
     return packing.byte_bpe(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def word_encoder() -> Callable[[str], list[int]]:
+    import public_tokenizers
+
+    return tokens.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+
+
 def _covered(spans: str) -> Column:
     """How many symbols merged spans cover."""
     return F.aggregate(spans, F.lit(0).cast("long"), lambda n, span: n + span["end"] - span["start"])
@@ -123,6 +131,13 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = best_fit.pack(table(spark, sf_dir, "documents"), word_encoder)
+    return packed.select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
+    ).withColumn("piece", F.col("piece").cast("int"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
@@ -135,6 +150,7 @@ def queries() -> dict[str, Query]:
         "op8_near_duplicates": op8_near_duplicates,
         "op9_toxicity": op9_toxicity,
         "op10_language": op10_language,
+        "op13_best_fit": op13_best_fit,
     }
 
 
