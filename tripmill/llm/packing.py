@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tripmill.llm.tokens import Encoder, by_column, with_end
+
 CAPACITY = 2048
 END_ID = 1
 
@@ -25,61 +26,10 @@ BUFFER = 4096
 #: Bytes of ids handed on at once.
 OUTPUT_BYTES = 16 << 20
 
-#: Words whose ids a task remembers; rarer ones are encoded again.
-REMEMBERED = 150_000
-
 
-def byte_bpe(path: str) -> Callable[[str], list[int]]:
-    """An encoder with the ids of the byte-level tokenizer file at ``path``.
-
-    The vocabulary and merges are those of the file. Text is cut before each single space
-    that stands between non-blank characters; the tokenizer's own rule always cuts there,
-    so the ids of the parts are the ids of the whole, and those of frequent parts are kept.
-    A text with a blank after a space, or a special token's string, is encoded in one go.
-    """
-    import re
-    from itertools import chain
-
-    import tiktoken
-    from tokenizers import Tokenizer
-
-    whole = Tokenizer.from_file(path)
-    vocabulary = whole.get_vocab(with_added_tokens=False)
-    special = {token.content: i for i, token in whole.get_added_tokens_decoder().items()}
-    # How byte-level vocabularies write the bytes that have no glyph.
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in shown]
-    glyphs = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
-    ranks = {
-        bytes(glyphs[c] for c in token): i
-        for token, i in vocabulary.items()
-        if token not in special
-    }
-    # Fixed value: the splitting rule of the tokenizer file's pre-tokenizer.
-    rule = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-    parts = tiktoken.Encoding("parts", pat_str=rule, mergeable_ranks=ranks, special_tokens={})
-    encode = parts.encode_ordinary
-    blank_after_space = re.compile(r" [\s\x1c-\x1f\x85]").search
-
-    class Known(dict):
-        def __missing__(self, part: str) -> list[int]:
-            ids = encode(part)
-            if len(self) < REMEMBERED:
-                self[part] = ids
-            return ids
-
-    known = Known()
-    get = known.__getitem__
-
-    def ids(text: str) -> list[int]:
-        if any(token in text for token in special):
-            return whole.encode(text, add_special_tokens=False).ids
-        if blank_after_space(text):
-            return encode(text)
-        first, *rest = text.split(" ")
-        return [*encode(first), *chain.from_iterable([get(f" {part}") for part in rest])]
-
-    return ids
+def byte_bpe(path: str) -> Encoder:
+    """An encoder with the ids of the byte-level tokenizer file at ``path``."""
+    return Encoder(path)
 
 
 def fill(lengths: dict[int, int], capacity: int) -> list[int]:
@@ -128,7 +78,8 @@ def pack(
     """One row per piece: the document's id column, ``start, length, ids, doc_tokens,
     sequence_id, offset``.
 
-    ``encoder`` is called once per task and gives the function from text to ids. ``ids`` are
+    ``encoder`` is called once per task and gives the function from text to ids, or one that
+    reads whole columns (``tokens.Encoder``). ``ids`` are
     the piece's ids as little-endian 32-bit words. A null text is an empty one and yields
     its end id alone; so does an empty text. Repeated rows are packed once each. An empty
     table gives an empty result. Other columns of ``docs`` are not carried.
@@ -194,24 +145,26 @@ def pack(
         for batch in batches:
             types = types or [batch.column(0).type, *[pa.int64()] * 2, pa.binary(), *[pa.int64()] * 3]
             size = 0
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = np.array([*encode(text.as_py() or ""), end_id], "<u4").tobytes()
-                total = len(ids) // 4
-                rest = total % capacity
-                for start in range(0, total - rest, capacity):
-                    part = ids[4 * start : 4 * (start + capacity)]
-                    rows.append((doc, start, capacity, part, total, next_id, 0))
-                    next_id += 1
-                if rest:
-                    hold(rest, (doc, total - rest, ids[4 * (total - rest) :], total))
-                    held += 1
-                if held >= buffer:
-                    while held > buffer // 2:
-                        close_one()
-                size += len(ids)
-                if size > OUTPUT_BYTES:
-                    size = 0
-                    yield flush()
+            docs_of = batch.column(0).to_pylist()
+            for row, ids, ends in by_column(encode, batch.column(1)):
+                ids, ends = with_end(ids, ends, end_id)
+                for doc, low, high in zip(docs_of[row:], ends[:-1].tolist(), ends[1:].tolist()):
+                    total = high - low
+                    rest = total % capacity
+                    for start in range(0, total - rest, capacity):
+                        part = ids[4 * (low + start) : 4 * (low + start + capacity)]
+                        rows.append((doc, start, capacity, part, total, next_id, 0))
+                        next_id += 1
+                    if rest:
+                        hold(rest, (doc, total - rest, ids[4 * (high - rest) : 4 * high], total))
+                        held += 1
+                    if held >= buffer:
+                        while held > buffer // 2:
+                            close_one()
+                    size += 4 * total
+                    if size > OUTPUT_BYTES:
+                        size = 0
+                        yield flush()
             yield flush()
         if types:
             while held:
