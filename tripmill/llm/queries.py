@@ -11,7 +11,9 @@ from tripmill.llm import (
     best_fit,
     decontamination,
     language,
+    lexical,
     lm,
+    middle,
     near_duplicates,
     packing,
     perspectives,
@@ -131,6 +133,14 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_bag_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return middle.transform(table(spark, sf_dir, "documents"))
+
+
 def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = best_fit.pack(table(spark, sf_dir, "documents"), word_encoder)
     return packed.select(
@@ -150,6 +160,8 @@ def queries() -> dict[str, Query]:
         "op8_near_duplicates": op8_near_duplicates,
         "op9_toxicity": op9_toxicity,
         "op10_language": op10_language,
+        "op11_bag_search": op11_bag_search,
+        "op12_fill_in_middle": op12_fill_in_middle,
         "op13_best_fit": op13_best_fit,
     }
 
@@ -206,9 +218,53 @@ FROM h
 """
 
 
+_BAG_SEARCH = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+           FROM documents),
+a AS (SELECT count(*) FILTER (len(w) > 0) AS docs, CAST(sum(len(w)) AS BIGINT) AS total FROM d),
+i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+      FROM benchmark),
+t AS (SELECT r, doc_id, term, count(*) AS tf,
+             10 + (90 * any_value(n) * any_value(docs)) // any_value(total) AS m
+      FROM (SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS term FROM d), a
+      WHERE term IN (SELECT term FROM i) GROUP BY r, doc_id, term),
+f AS (SELECT term, count(*) AS df FROM t GROUP BY term),
+g AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS weight FROM f, a),
+s AS (SELECT item_id, r, doc_id,
+             CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+      FROM i JOIN t USING (term) JOIN g USING (term) GROUP BY item_id, r, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+WHERE rank <= 10
+"""
+
+_FILL_IN_MIDDLE = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS w, CAST('0x' || h[1:8] AS BIGINT) AS h1,
+             CAST('0x' || h[9:16] AS BIGINT) AS h2, CAST('0x' || h[17:24] AS BIGINT) AS h3,
+             CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+c AS (SELECT *, CAST(len(w) AS BIGINT) AS n, least(h1 % (len(w) + 1), h2 % (len(w) + 1)) AS low,
+             greatest(h1 % (len(w) + 1), h2 % (len(w) + 1)) AS high,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90
+                  THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, array_to_string(w[1 : low], '') AS prefix, array_to_string(w[low + 1 : high], '') AS middle,
+             array_to_string(w[high + 1 : n], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_decontamination": _DECONTAMINATION,
         "op5_search": _SEARCH,
         "op7_perspectives": _PERSPECTIVES,
+        "op11_bag_search": _BAG_SEARCH,
+        "op12_fill_in_middle": _FILL_IN_MIDDLE,
     }

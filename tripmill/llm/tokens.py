@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from tripmill.llm.text import slices, utf8
 
 #: Bytes of text whose distinct parts are found at once.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 #: Parts whose ids a task remembers, and the longest of them in bytes; others are encoded again
 #: in each slice.
