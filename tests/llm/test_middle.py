@@ -90,6 +90,16 @@ def test_copies_spread_over_tasks(spark, docs_of):
     assert max(sizes) < 120  # eight partitions
 
 
+def test_sorts_follow_the_text(spark, docs_of, monkeypatch):
+    docs = docs_of([(1, "x" * 1000), (2, None), (3, "é" * 500)])
+    assert middle.sorts(docs, "text") == 8 == middle.sorts(docs_of([]), "text")
+    monkeypatch.setattr(middle, "SORT_BYTES", 100)
+    assert middle.sorts(docs, "text") == 20
+    assert middle.transform(docs).count() == 3
+    monkeypatch.setattr(middle, "MAX_SORTS", 12)
+    assert middle.sorts(docs, "text") == 12
+
+
 def test_second_sort_moves_nothing(spark, docs_of):
     found = middle.transform(docs_of([(1, "a b c")]))
     assert found._jdf.queryExecution().toRdd().toDebugString().count("ShuffledRDD") == 1

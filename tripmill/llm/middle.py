@@ -28,6 +28,11 @@ PREFIX, MIDDLE, SUFFIX = "<P>", "<M>", "<S>"
 FORMS = {"psm": (PREFIX, SUFFIX, MIDDLE), "spm": (SUFFIX, PREFIX, MIDDLE)}
 PLACE = {PREFIX: 0, MIDDLE: 1, SUFFIX: 2}
 
+#: Bytes of text that a sort is meant to hold, and the most sorts side by side; beyond these, and
+#: with uneven documents, sorts spill.
+SORT_BYTES = 64 << 20
+MAX_SORTS = 40_000
+
 #: Units in a piece, and characters whose units are told apart at once.
 PIECE_UNITS = 4096
 BLOCK_CHARS = 1 << 20
@@ -111,6 +116,13 @@ def sections(form: str, output: Iterator[bytes]) -> Iterator[tuple[int, bytes]]:
                 yield place, part
 
 
+def sorts(docs: DataFrame, text_col: str) -> int:
+    """How many tasks sort pieces: a shuffle of rows that Python made is not resized at run time."""
+    held = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    wanted = min(MAX_SORTS, -(-held // SORT_BYTES))
+    return max(wanted, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def transform(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: its id column, ``n, form, prefix_chars, middle_chars, output_sha256,
     restored_sha256``.
@@ -129,7 +141,7 @@ def transform(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     if id_col in ("n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"):
         raise ValueError(f"the id column may not be named {id_col}")
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = sorts(docs, text_col)
 
     def cut(task: int, rows: Iterator) -> Iterator[tuple]:
         copies = Counter()
