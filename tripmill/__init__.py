@@ -21,6 +21,7 @@ from tripmill.plans.answers import (
     passengers_by_service,
 )
 from tripmill.plans.medallion import RunReport, bronze, run
+from tripmill.plans.refresh import RefreshReport, refresh
 from tripmill.sources.drifted import SourceFile, drift_report, scan_conformed
 from tripmill.sources.landing import MissingFilesError, landing_status, manifest, require_landing
 from tripmill.sources.tables import bootstrap, overwrite_table, read_table, row_count
@@ -29,6 +30,7 @@ from tripmill.spec import PipelineSpec, ServiceSpec, TableName, taxi_services
 __all__ = [
     "MissingFilesError",
     "PipelineSpec",
+    "RefreshReport",
     "RunReport",
     "ServiceSpec",
     "SilverAudit",
@@ -57,6 +59,7 @@ __all__ = [
     "passengers_by_service",
     "preview",
     "read_table",
+    "refresh",
     "require_landing",
     "row_count",
     "rows_per_key",

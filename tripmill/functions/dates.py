@@ -16,8 +16,18 @@ def month_bounds(year: int, first: int, last: int | None = None) -> tuple[date,
     return date(year, first, 1), date(year + rolled, zero_based + 1, 1)
 
 
+def month_number(year: int, month: int) -> int:
+    """Months since year 0, so that December and January are neighbours."""
+    return 12 * year + month - 1
+
+
+def month_day(number: int) -> date:
+    """First day of the month with this ``month_number``."""
+    return date(number // 12, number % 12 + 1, 1)
+
+
 def month_runs(months: Iterable[int]) -> list[tuple[int, int]]:
-    """Collapse months into runs of neighbours: ``[1, 2, 4] -> [(1, 2), (4, 4)]``."""
+    """Collapse months (or month numbers) into runs of neighbours: ``[1, 2, 4] -> [(1, 2), (4, 4)]``."""
     runs: list[tuple[int, int]] = []
     for month in sorted(set(months)):
         if runs and runs[-1][1] == month - 1:

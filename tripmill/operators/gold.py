@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tripmill.functions.dates import month_label
 from tripmill.operators.conform import union_all
+from tripmill.operators.silver import SERVICE_TYPE, TRIP_COLUMNS
 from tripmill.spec import PipelineSpec
 
 PICKUP_MONTH = "pickup_month"
@@ -45,6 +46,12 @@ def gold_trips(silvers: Sequence[DataFrame], extra: Sequence[str] = ()) -> DataF
     return union_all(silvers).select(*_published(TRIPS_COLUMNS), *extra)
 
 
+def trips_columns(extra: Sequence[str] = ()) -> str:
+    """The schema of ``gold_trips``, as DDL."""
+    types = TRIP_COLUMNS | {SERVICE_TYPE: "string", PICKUP_MONTH: "string"}
+    return ", ".join(f"{name} {types[name.lower()]}" for name in (*TRIPS_COLUMNS, *extra))
+
+
 def _published(names: Sequence[str]) -> list[Column]:
     return [F.col(name.lower()).alias(name) for name in names]
 

@@ -18,7 +18,7 @@ from tripmill.operators.profile import (
 )
 from tripmill.sources.drifted import SOURCE_FILE
 from tripmill.sources.tables import read_table
-from tripmill.spec import PipelineSpec
+from tripmill.spec import Month, PipelineSpec
 
 
 def monthly_amounts(spark: SparkSession, spec: PipelineSpec, service: str) -> DataFrame:
@@ -37,17 +37,17 @@ def overall_amount(spark: SparkSession, spec: PipelineSpec, service: str) -> Dat
     )
 
 
-def hourly_passengers(spark: SparkSession, spec: PipelineSpec, month: int) -> DataFrame:
+def hourly_passengers(spark: SparkSession, spec: PipelineSpec, month: Month) -> DataFrame:
     """Average passengers and trips per hour of day in one month, all services."""
     return hourly_avg(
-        read_table(spark, spec.trips_table), spec.year, month, min_value=spec.min_passenger_count
+        read_table(spark, spec.trips_table), *spec.period(month), min_value=spec.min_passenger_count
     )
 
 
-def passengers_by_service(spark: SparkSession, spec: PipelineSpec, month: int) -> DataFrame:
+def passengers_by_service(spark: SparkSession, spec: PipelineSpec, month: Month) -> DataFrame:
     """What each service contributes to ``hourly_passengers``."""
     return service_split(
-        read_table(spark, spec.trips_table), spec.year, month, min_value=spec.min_passenger_count
+        read_table(spark, spec.trips_table), *spec.period(month), min_value=spec.min_passenger_count
     )
 
 
@@ -61,12 +61,12 @@ def all_layer_sizes(spark: SparkSession, spec: PipelineSpec) -> DataFrame:
     return layer_sizes(spark, layers)
 
 
-def checks(spark: SparkSession, spec: PipelineSpec, month: int) -> dict[str, DataFrame]:
+def checks(spark: SparkSession, spec: PipelineSpec, month: Month) -> dict[str, DataFrame]:
     """Every sanity check on the stored layers, by name; each is a small result."""
     found = {
         "layer_sizes": all_layer_sizes(spark, spec),
         "service_rows": rows_per_key(read_table(spark, spec.trips_table), "service_type"),
-        "passengers": passenger_profile(read_table(spark, spec.trips_table), spec.year, month),
+        "passengers": passenger_profile(read_table(spark, spec.trips_table), *spec.period(month)),
     }
     for service in spec.services:
         bronze = read_table(spark, spec.bronze_table(service.name))
@@ -104,10 +104,10 @@ def overall_avg_sql(spec: PipelineSpec, service: str) -> str:
     """
 
 
-def hourly_avg_sql(spec: PipelineSpec, month: int) -> str:
+def hourly_avg_sql(spec: PipelineSpec, month: Month) -> str:
     """``hourly_passengers`` as SQL text."""
     ts_col = "pickup_datetime"
-    lo, hi = month_bounds(spec.year, month)
+    lo, hi = month_bounds(*spec.period(month))
     return f"""
         SELECT hour({ts_col})                 AS hour_of_day,
                round(avg(passenger_count), 3) AS avg_passengers,

@@ -8,15 +8,30 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.operators.gold import PICKUP_MONTH, gold_consumption, gold_trips, with_pickup_month
-from tripmill.operators.silver import COPIES, SilverAudit, silver_counted
-from tripmill.sources.drifted import SourceFile, scan_conformed
+from tripmill.operators.gold import (
+    PICKUP_MONTH,
+    gold_consumption,
+    gold_trips,
+    trips_columns,
+    with_pickup_month,
+)
+from tripmill.operators.silver import COPIES, SERVICE_TYPE, SilverAudit, silver_counted
+from tripmill.sources.drifted import SOURCE_FILE, SourceFile, scan_conformed
 from tripmill.sources.landing import require_landing
 from tripmill.sources.session import in_parallel, monthly_settings, sized_settings, sql_conf
-from tripmill.sources.tables import bootstrap, overwrite_counted, read_table
+from tripmill.sources.tables import (
+    DYNAMIC_PARTITIONS,
+    bootstrap,
+    insert_partitions,
+    new_table,
+    overwrite_counted,
+    publish,
+    read_table,
+)
 from tripmill.spec import PipelineSpec, TableName
 
 INGESTED_AT = "_ingested_at"
+LANDED_MONTH = "landed_month"
 
 
 class RowsLostError(RuntimeError):
@@ -35,7 +50,7 @@ class RunReport:
 
 
 def source_files(spec: PipelineSpec, service: str) -> list[SourceFile]:
-    return [SourceFile(spec.file_path(service, month)) for month in spec.months]
+    return [SourceFile(spec.file_path(service, period)) for period in spec.periods]
 
 
 def bronze(
@@ -43,7 +58,17 @@ def bronze(
 ) -> DataFrame:
     """All landed rows of a service under one schema, with their file and ingest time."""
     scanned = scan_conformed(spark, source_files(spec, service), spec.lossless, footers)
-    return scanned.withColumn(INGESTED_AT, F.current_timestamp())
+    return ingested(scanned, spec)
+
+
+def ingested(scanned: DataFrame, spec: PipelineSpec) -> DataFrame:
+    """Rows of landed files with their ingest time, and the month of their file where bronze is
+    partitioned by it (a file's name ends in ``yyyy-MM.parquet``).
+    """
+    stamped = scanned.withColumn(INGESTED_AT, F.current_timestamp())
+    if spec.refreshable:
+        stamped = stamped.withColumn(LANDED_MONTH, F.substring(SOURCE_FILE, -15, 7))
+    return stamped
 
 
 def write_bronze(
@@ -56,6 +81,8 @@ def write_bronze(
         spec.bronze_table(service),
         {"rows": F.count(F.lit(1)), "pickups": F.count(pickup)},
         table_format=spec.table_format,
+        partition_by=(LANDED_MONTH,) if spec.refreshable else (),
+        swap=spec.swap,
     )
 
 
@@ -66,19 +93,14 @@ def write_silver(
 
     Both counts come from the rows written: how many, and how many copies they stand for.
     """
-    rows = silver_counted(read_table(spark, spec.bronze_table(service)), spec, service)
-    if spec.monthly_layout:
-        rows = with_pickup_month(rows)
-    # Sorted inside each task only: a month is then a few pages of each file, which the
-    # Parquet reader can skip to, and neighbouring times compress better.
-    rows = rows.sortWithinPartitions("pickup_datetime")
     counts = overwrite_counted(
-        rows,
+        silver_rows(spark, spec, service),
         spec.silver_table(service),
         {"kept": F.count(F.lit(1)), "in_scope": F.sum(COPIES)},
         drop=[COPIES],
         table_format=spec.table_format,
         partition_by=_partitioning(spec),
+        swap=spec.swap,
     )
     return SilverAudit(
         service=service,
@@ -89,10 +111,20 @@ def write_silver(
     )
 
 
+def silver_rows(spark: SparkSession, spec: PipelineSpec, service: str) -> DataFrame:
+    """What silver holds of the spec's scope, from the bronze table, with ``copies``."""
+    rows = silver_counted(read_table(spark, spec.bronze_table(service)), spec, service)
+    if spec.by_month:
+        rows = with_pickup_month(rows)
+    # Sorted inside each task only: a month is then a few pages of each file, which the
+    # Parquet reader can skip to, and neighbouring times compress better.
+    return rows.sortWithinPartitions("pickup_datetime")
+
+
 def _partitioning(spec: PipelineSpec) -> Sequence[str]:
     """Gold is partitioned like silver, whose files hold one month each in the monthly
     layout, so it needs no shuffle of its own."""
-    return (PICKUP_MONTH,) if spec.monthly_layout else ()
+    return (PICKUP_MONTH,) if spec.by_month else ()
 
 
 def write_consumption(spark: SparkSession, spec: PipelineSpec, service: str) -> int:
@@ -102,6 +134,7 @@ def write_consumption(spark: SparkSession, spec: PipelineSpec, service: str) ->
         spec.consumption_table(service),
         table_format=spec.table_format,
         partition_by=_partitioning(spec),
+        swap=spec.swap,
     )
     return counts["rows"]
 
@@ -113,10 +146,26 @@ def write_trips(spark: SparkSession, spec: PipelineSpec) -> int:
         spec.trips_table,
         table_format=spec.table_format,
         partition_by=_partitioning(spec),
+        swap=spec.swap,
     )
     return counts["rows"]
 
 
+def stage_trips(spark: SparkSession, spec: PipelineSpec) -> TableName:
+    """An empty unified table, by service and month, that each service adds its part to."""
+    empty = spark.createDataFrame([], trips_columns(extra=(PICKUP_MONTH,)))
+    fresh = new_table(spec.trips_table, spec.swap)
+    writer = empty.write.format(spec.table_format).partitionBy(SERVICE_TYPE, PICKUP_MONTH)
+    writer.saveAsTable(str(fresh))
+    return fresh
+
+
+def add_trips(spark: SparkSession, spec: PipelineSpec, service: str, target: TableName) -> int:
+    """Write the partitions of one service; those of others may be written at the same time."""
+    source = read_table(spark, spec.silver_table(service))
+    return insert_partitions(gold_trips([source], extra=(PICKUP_MONTH,)), target)["rows"]
+
+
 def run(
     spark: SparkSession,
     spec: PipelineSpec,
@@ -137,15 +186,21 @@ def run(
         came_in = write_bronze(spark, spec, service, footers)
         if landed.rows and landed.rows[service] != came_in["rows"]:
             raise RowsLostError(service, landed.rows[service], came_in["rows"])
-        return came_in, write_silver(spark, spec, service, came_in)
+        audit = write_silver(spark, spec, service, came_in)
+        if staged:  # this part of gold need not wait for other services
+            add_trips(spark, spec, service, staged)
+        return came_in, audit
 
     names = [s.name for s in spec.services]
     rows: dict[TableName, int] = {}
     audits: dict[str, SilverAudit] = {}
     settings = sized_settings(spark, landed.bytes)
-    if spec.monthly_layout:
-        settings |= monthly_settings(len(spec.months))
+    if spec.by_month:
+        settings |= monthly_settings(len(spec.periods))
+    if spec.by_service:
+        settings |= DYNAMIC_PARTITIONS
     with sql_conf(spark, settings):
+        staged = stage_trips(spark, spec) if spec.by_service else None
         built = in_parallel(spark, [lambda n=n: build(n) for n in names])
         for name, (came_in, audit) in zip(names, built):
             rows[spec.bronze_table(name)] = came_in["rows"]
@@ -155,6 +210,10 @@ def run(
             spec.consumption_table(n): (lambda n=n: write_consumption(spark, spec, n))
             for n in spec.consumption_services
         }
-        gold[spec.trips_table] = lambda: write_trips(spark, spec)
+        if not staged:
+            gold[spec.trips_table] = lambda: write_trips(spark, spec)
         rows.update(zip(gold, in_parallel(spark, list(gold.values()))))
+        if staged:
+            publish(spark, staged, spec.trips_table, spec.swap)
+            rows[spec.trips_table] = sum(audit.kept for audit in audits.values())
     return RunReport(rows, audits)

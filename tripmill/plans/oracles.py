@@ -305,6 +305,18 @@ _ORACLES = {
     "drift_report_types": _DRIFT_TYPES,
     "bad_casts": _BAD_CASTS,
     "pipeline_run": _PIPELINE_RUN,
+    "refreshed_month": _SILVER,
+    "two_years": f"""
+        {_LAYERS.replace("DATE '1997-01-01'", "DATE '1996-11-01'").replace("DATE '1997-06-01'", "DATE '1997-03-01'")}
+        SELECT * FROM trips
+    """,
+    "yellow_hours": f"""
+        {_LAYERS}
+        SELECT CAST(hour(pickup_datetime) AS INTEGER) AS hour_of_day,
+               {_rounded('avg(passenger_count)', 3)} AS avg_passengers,
+               count(*) AS trips
+        FROM trips WHERE {_MAY} AND passenger_count >= 1 AND service_type = 'yellow' GROUP BY 1
+    """,
 }
 
 

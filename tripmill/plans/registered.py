@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tripmill.functions.dates import month_label, month_start
 from tripmill.operators.analyses import hourly_avg, monthly_avg, overall_avg, service_split
 from tripmill.operators.conform import conform_union, union_all
-from tripmill.operators.gold import gold_consumption, gold_trips
+from tripmill.operators.gold import TRIPS_COLUMNS, gold_consumption, gold_trips
 from tripmill.operators.profile import (
     amount_profile,
     passenger_profile,
@@ -19,7 +19,7 @@ from tripmill.operators.profile import (
     rows_per_key,
     trip_profile,
 )
-from tripmill.operators.silver import distinct_rows, silver, silver_audit
+from tripmill.operators.silver import SILVER_COLUMNS, distinct_rows, silver, silver_audit
 from tripmill.plans.answers import (
     all_layer_sizes,
     hourly_avg_sql,
@@ -27,16 +27,21 @@ from tripmill.plans.answers import (
     overall_avg_sql,
 )
 from tripmill.plans.fleet import (
+    built_by_service,
     built_fleet,
+    deliver,
     fleet_spec,
     folder_drift,
+    land_months,
     landed_fleet,
+    misread,
     own_schemas,
     raw_trips,
     table,
     type_drift,
 )
 from tripmill.plans.medallion import run, source_files
+from tripmill.plans.refresh import refresh
 from tripmill.sources.drifted import drift_report, rows_per_file, scan_conformed
 from tripmill.sources.landing import file_status, match_arrivals, missing_files
 from tripmill.sources.session import scratch_dir
@@ -205,6 +210,40 @@ def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(found, "what string, rows long").orderBy("what")
 
 
+def refreshed_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver after a month that was delivered wrong has been delivered again and refreshed."""
+    spec = replace(fleet_spec(scratch_dir(spark, "landing")), refreshable=True, swap="view")
+    spec = own_schemas(spark, spec)
+    held = land_months(spark, sf_dir, spec)
+    march = (spec.year, 3)
+    for service in SERVICES:
+        deliver(misread(held[service, march]), spec, service, march)
+    tables = scratch_dir(spark, "tables")
+    run(spark, spec, tables)
+    for service in SERVICES:
+        deliver(held[service, march], spec, service, march)
+    refresh(spark, spec, [march], tables)
+    return union_all([read_table(spark, spec.silver_table(s)) for s in SERVICES]).select(*SILVER_COLUMNS)
+
+
+def two_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unified gold of two winters' months: a build of the first year, to which the next is added."""
+    winter = ((1996, 11), (1996, 12), (1997, 1), (1997, 2))
+    spec = replace(fleet_spec(scratch_dir(spark, "landing")), calendar=winter, refreshable=True, by_service=True)
+    spec = own_schemas(spark, spec)
+    land_months(spark, sf_dir, spec)
+    tables = scratch_dir(spark, "tables")
+    run(spark, replace(spec, calendar=winter[:2]), tables)
+    refresh(spark, spec, winter[2:], tables)
+    return read_table(spark, spec.trips_table).select(*TRIPS_COLUMNS)
+
+
+def yellow_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One service in one month, from gold laid out by both."""
+    trips = read_table(spark, built_by_service(spark, sf_dir).trips_table)
+    return hourly_avg(trips.filter(F.col("service_type") == "yellow"), *Q2_MONTH, min_value=MIN_PASSENGER_COUNT)
+
+
 def bronze_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The drifted files as one frame each, conformed and unioned."""
     files = source_files(landed_fleet(spark, sf_dir), "yellow")
@@ -276,4 +315,7 @@ def queries() -> dict[str, Query]:
         "drift_report_types": drift_report_types,
         "bad_casts": bad_casts,
         "pipeline_run": pipeline_run,
+        "refreshed_month": refreshed_month,
+        "two_years": two_years,
+        "yellow_hours": yellow_hours,
     }

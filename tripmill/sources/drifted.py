@@ -19,7 +19,6 @@ from tripmill.functions.types import read_type
 from tripmill.operators.conform import (
     ColumnCaseError,
     conform,
-    conform_union,
     lower_schema,
     target_schema,
     union_all,
@@ -35,6 +34,10 @@ _FILES_PER_SCAN = 12
 _PLAIN_NAME = re.compile(r"[A-Za-z0-9_.\-]+")
 
 
+class SchemaGrewError(ValueError):
+    """Files do not fit the schema of the rows read before them."""
+
+
 @dataclass(frozen=True)
 class SourceFile:
     """A logical file: a Parquet file, or a folder of part files under that name."""
@@ -55,12 +58,14 @@ class SourceFile:
 class FileSchema:
     """A logical file, or those of its parts that share a stored schema (names lower-cased).
 
-    ``parts`` names what the parts have in common where a file has several schemas.
+    ``parts`` names what the parts have in common where a file has several schemas; ``stored``
+    has the columns' names as they are spelled there.
     """
 
     file: SourceFile
     schema: T.StructType
     parts: str | None = None
+    stored: tuple[str, ...] = ()
 
 
 def file_schemas(
@@ -73,14 +78,15 @@ def file_schemas(
     a name, ``"executors"`` takes over for that file. ``"executors"`` reads all footers in one job,
     brings back one row per distinct schema of each logical file, and asks Spark for
     the schema of one part per row. It needs storage that Python on the executors can open,
-    and fails by path where it cannot.
+    and fails by path where it cannot. Either way a logical file with folders inside is refused.
     """
     if not files:
         raise ValueError("no input files")
+    if footers not in ("auto", "executors"):
+        raise ValueError(f"footers must be 'auto' or 'executors': {footers!r}")
+    refuse_nested(spark, files)
     if footers == "executors":
         return _schemas_by_fingerprint(spark, files)
-    if footers != "auto":
-        raise ValueError(f"footers must be 'auto' or 'executors': {footers!r}")
     merged = _schemas_of(spark, [f.path for f in files])
     mixed = [f for f, schema in zip(files, merged) if schema is None]
     parts = _schemas_by_fingerprint(spark, mixed) if mixed else []
@@ -88,7 +94,7 @@ def file_schemas(
         entry
         for file, schema in zip(files, merged)
         for entry in (
-            [FileSchema(file, schema)]
+            [FileSchema(file, lower_schema(schema), None, tuple(schema.names))]
             if schema is not None
             else [part for part in parts if part.file == file]
         )
@@ -96,7 +102,7 @@ def file_schemas(
 
 
 def _schemas_of(spark: SparkSession, paths: Sequence[str]) -> list[T.StructType | None]:
-    """The merged schema of each path; None where its parts cannot be merged."""
+    """The merged schema of each path, as stored; None where its parts cannot be merged."""
 
     def schema_of(path: str) -> T.StructType | None:
         try:
@@ -106,26 +112,40 @@ def _schemas_of(spark: SparkSession, paths: Sequence[str]) -> list[T.StructType
                 raise
             return None
         names = [name.lower() for name in merged.fieldNames()]
-        return lower_schema(merged) if len(set(names)) == len(names) else None
+        return merged if len(set(names)) == len(names) else None
 
     return in_parallel(spark, [lambda p=path: schema_of(p) for path in paths])
 
 
-def _fingerprints(spark: SparkSession, files: Sequence[SourceFile]) -> DataFrame:
-    """``path, length, num_rows, fingerprint, problem, name`` of every part of the files."""
+def _parts(spark: SparkSession, files: Sequence[SourceFile]) -> DataFrame:
+    """``path, length, name`` of every part of the files."""
     root = _parent(files)
-    named = (
+    return (
         listing(spark, root)
         .filter(F.col("length") > 0)
         .withColumn("name", _first_segment_below(F.col("path"), root))
         .filter(F.col("name").isin([f.name for f in files]))
     )
-    deeper = named.filter(F.substring_index("path", "/", -2) != F.concat_ws("/", "name", F.substring_index("path", "/", -1)))
-    deeper = deeper.filter(F.substring_index("path", "/", -1) != F.col("name"))
+
+
+def refuse_nested(spark: SparkSession, files: Sequence[SourceFile]) -> None:
+    """Raise ``NestedFilesError`` with the path of a part that lies below a folder in a logical file.
+
+    Spark's reader would leave such parts out, or find them, depending on the rest of the
+    folder. Found from the listing alone, no file is opened.
+    """
+    own_name = F.substring_index("path", "/", -1)
+    deeper = _parts(spark, files).filter(
+        (F.substring_index("path", "/", -2) != F.concat_ws("/", "name", own_name)) & (own_name != F.col("name"))
+    )
     nested = deeper.agg(F.min("path")).first()[0]
     if nested:
         raise NestedFilesError(f"part files lie below a folder inside a logical file: {nested}")
-    return footer_facts(named)
+
+
+def _fingerprints(spark: SparkSession, files: Sequence[SourceFile]) -> DataFrame:
+    """``path, length, num_rows, fingerprint, problem, name`` of every part of the files."""
+    return footer_facts(_parts(spark, files))
 
 
 def _schemas_by_fingerprint(
@@ -155,7 +175,8 @@ def _schemas_by_fingerprint(
             schema = schemas[group.fingerprint]
             if schema is None:
                 raise ColumnCaseError(f"columns of {group.path} differ only by case")
-            found.append(FileSchema(file, schema, group.fingerprint if len(own) > 1 else None))
+            parts = group.fingerprint if len(own) > 1 else None
+            found.append(FileSchema(file, lower_schema(schema), parts, tuple(schema.names)))
     return found
 
 
@@ -177,38 +198,41 @@ def _first_segment_below(path: Column, root: str) -> Column:
 
 @dataclass
 class ScanGroup:
-    """Files that one scan can read: for every shared column they ask for the same type."""
+    """Files that one scan can read: for every shared column they ask for the same field."""
 
-    read_types: dict[str, T.DataType]
+    fields: dict[str, T.StructField]
     names: set[str]
     entries: list[FileSchema]
 
-    def accepts(self, entry: FileSchema, wanted: dict[str, T.DataType]) -> bool:
+    def accepts(self, entry: FileSchema, wanted: dict[str, T.StructField]) -> bool:
         has_room = entry.file.name in self.names or len(self.names) < _FILES_PER_SCAN
         return has_room and all(
-            self.read_types.get(name, data_type) == data_type
-            for name, data_type in wanted.items()
+            self.fields.get(name, field) == field for name, field in wanted.items()
         )
 
-    def add(self, entry: FileSchema, wanted: dict[str, T.DataType]) -> None:
-        self.read_types.update(wanted)
+    def add(self, entry: FileSchema, wanted: dict[str, T.StructField]) -> None:
+        self.fields.update(wanted)
         self.names.add(entry.file.name)
         self.entries.append(entry)
 
     @property
     def schema(self) -> T.StructType:
-        return T.StructType([T.StructField(n, dt) for n, dt in self.read_types.items()])
+        return T.StructType(list(self.fields.values()))
 
 
 def scan_groups(
-    schemas: Sequence[FileSchema], target: dict[str, T.DataType]
+    schemas: Sequence[FileSchema], target: dict[str, T.DataType], spelled: bool = False
 ) -> list[ScanGroup]:
-    """Put every file into the first group it fits; a column a file lacks fits anything."""
+    """Put every file into the first group it fits; a column a file lacks fits anything.
+
+    ``spelled`` asks for the columns by their stored names, for a reader that minds the case.
+    """
     groups: list[ScanGroup] = []
     for entry in schemas:
+        names = entry.stored if spelled else entry.schema.names
         wanted = {
-            field.name: read_type(field.dataType, target[field.name])
-            for field in entry.schema.fields
+            field.name: T.StructField(name, read_type(field.dataType, target[field.name]))
+            for name, field in zip(names, entry.schema.fields)
             if field.name != SOURCE_FILE
         }
         group = next((g for g in groups if g.accepts(entry, wanted)), None)
@@ -273,36 +297,35 @@ def scan_conformed(
     files: Sequence[SourceFile],
     lossless: bool = False,
     footers: str = "auto",
+    onto: T.StructType | None = None,
 ) -> DataFrame:
     """All rows of all files under one lower-cased, promoted schema, tagged with their file.
 
     Columns come in first-seen order over the files as given, with ``_source_file`` right
     after the columns of the first file. The number of scans is the number of groups of
-    compatible schemas (of at most a dozen files each), not the number of files.
+    compatible schemas (of at most a dozen files each), not the number of files. In a session
+    that minds the case of names, files of one group also spell their columns alike.
+
+    ``onto`` is the schema these rows have to come out with, that of rows read before; files
+    that bring a column it lacks, or need a wider type, raise ``SchemaGrewError``.
     """
-    if spark.conf.get("spark.sql.caseSensitive") == "true":
-        # The reader would not match `VendorID` to `vendorid`; go file by file instead.
-        return conform_union(
-            [
-                spark.read.parquet(f.path).withColumn(SOURCE_FILE, F.lit(f.name))
-                for f in files
-            ],
-            lossless,
-        )
     schemas = file_schemas(spark, files, footers)
     root = _parent(files)
     tag = T.StructField(SOURCE_FILE, T.StringType())
-    target = target_schema(
-        [
-            T.StructType([f for f in s.schema.fields if f.name != SOURCE_FILE] + [tag])
-            for s in schemas
-        ],
-        lossless,
-    )
+    found = [
+        T.StructType([f for f in s.schema.fields if f.name != SOURCE_FILE] + [tag]) for s in schemas
+    ]
+    target = target_schema([*([onto] if onto else []), *found], lossless)
+    if onto:
+        grown = [n for n, t in target.items() if n not in onto.names or onto[n].dataType != t]
+        if grown:
+            raise SchemaGrewError(f"new or wider columns, build in full: {grown}")
     frames = []
-    for group in scan_groups(schemas, target):
+    spelled = spark.conf.get("spark.sql.caseSensitive") == "true"
+    for group in scan_groups(schemas, target, spelled):
         scan = spark.read.schema(group.schema).parquet(*_paths(spark, group, schemas, files))
-        tagged = scan.withColumn(SOURCE_FILE, _source_tag(scan, group.names, root))
+        source = _source_tag(scan, group.names, root)
+        tagged = scan.withColumn(SOURCE_FILE, source).toDF(*group.fields, SOURCE_FILE)
         frames.append(conform(tagged, target))
     return union_all(frames)
 
@@ -310,8 +333,14 @@ def scan_conformed(
 def rows_per_file(spark: SparkSession, files: Sequence[SourceFile]) -> DataFrame:
     """``file, rows_in_file`` of every logical file that holds rows.
 
-    No data column is read: the reader takes the row counts from the footers.
+    No data column is read: the reader takes the row counts from the footers. A logical file with
+    folders inside is refused.
     """
+    refuse_nested(spark, files)
+    return _rows_per_file(spark, files)
+
+
+def _rows_per_file(spark: SparkSession, files: Sequence[SourceFile]) -> DataFrame:
     return (
         spark.read.schema("nothing int")
         .parquet(*[f.path for f in files])
@@ -349,7 +378,7 @@ def drift_report(
         ],
         "file string, column_name string, type string, target_type string",
     )
-    counts = rows_per_file(spark, files)
+    counts = _rows_per_file(spark, files)
     per_file = sightings.groupBy("file", "column_name", "target_type").agg(
         F.collect_set("type").alias("types")
     )

@@ -39,14 +39,11 @@ def manifest(spark: SparkSession, spec: PipelineSpec) -> DataFrame:
     services = spark.createDataFrame(
         [(s.name, s.file_prefix) for s in spec.services], _SERVICES_SCHEMA
     )
-    months = F.array(*[F.lit(m) for m in spec.months])
+    periods = F.array(*[F.struct(F.lit(y).alias("year"), F.lit(m).alias("month")) for y, m in spec.periods])
     root = spec.landing_root.rstrip("/")
     return (
-        services.withColumn("month", F.explode(months))
-        .withColumn(
-            "file",
-            F.format_string("%s_%d-%02d.parquet", "file_prefix", F.lit(spec.year), "month"),
-        )
+        services.select("*", F.inline(periods))
+        .withColumn("file", F.format_string("%s_%d-%02d.parquet", "file_prefix", "year", "month"))
         .select(
             "service",
             "month",
@@ -113,8 +110,8 @@ def match_arrivals(
 def landing_status(
     spark: SparkSession, spec: PipelineSpec, check_footers: bool = False
 ) -> DataFrame:
-    """``file_status`` in the order of services and months."""
-    return file_status(spark, spec, check_footers).orderBy("service", "month")
+    """``file_status`` in the order of services and months (a file is named by its year and month)."""
+    return file_status(spark, spec, check_footers).orderBy("service", "file")
 
 
 def file_status(

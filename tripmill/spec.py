@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from datetime import date
 from typing import NamedTuple
 
-from tripmill.functions.dates import month_bounds, month_runs
+from tripmill.functions.dates import month_day, month_number, month_runs
 
 # The two licensed taxi services, their file prefixes and their
 # service-specific time columns; the default months; the default thresholds.
@@ -20,6 +20,9 @@ TAXI_MONTHS = (1, 2, 3, 4, 5)
 MIN_TOTAL_AMOUNT = 0.0
 MIN_PASSENGER_COUNT = 1
 
+#: A month of the spec's own year, or a (year, month) pair.
+Month = int | tuple[int, int]
+
 _PLAIN_NAME = re.compile(r"[A-Za-z0-9_.\-]+")
 
 
@@ -67,6 +70,14 @@ class PipelineSpec:
                        the row with NULL.
     ``monthly_layout`` partition silver and gold by a trailing ``pickup_month`` column.
                        Off by default because the published schemas are a contract.
+    ``calendar``       (year, month) pairs, over as many years as there are; where given, they
+                       stand in for ``year`` and ``months``.
+    ``refreshable``    ``monthly_layout``, and bronze partitioned by a trailing
+                       ``landed_month``, so that ``refresh`` can rewrite single months.
+    ``by_service``     partition the unified gold table by service as well, which is then written
+                       service by service, side by side; needs a layout by month.
+    ``swap``           how a table of a plain format is replaced: ``"rename"`` or ``"view"``,
+                       see ``publish``.
     """
 
     landing_root: str
@@ -85,16 +96,25 @@ class PipelineSpec:
     lossless: bool = False
     on_bad_cast: str = "fail"
     monthly_layout: bool = False
+    calendar: tuple[tuple[int, int], ...] = ()
+    refreshable: bool = False
+    by_service: bool = False
+    swap: str = "rename"
 
     def __post_init__(self) -> None:
         if not self.services:
             raise ValueError("a spec needs at least one service")
-        if not self.months or not all(1 <= m <= 12 for m in self.months):
-            raise ValueError(f"months must be a non-empty list of 1..12: {self.months}")
-        if len(set(self.months)) != len(self.months):
-            raise ValueError(f"a month listed twice would be read twice: {self.months}")
+        listed = [month for _, month in self.periods]
+        if not listed or not all(1 <= m <= 12 for m in listed):
+            raise ValueError(f"months must be a non-empty list of 1..12: {listed}")
+        if len(set(self.periods)) != len(self.periods):
+            raise ValueError(f"a month listed twice would be read twice: {self.periods}")
         if self.on_bad_cast not in ("fail", "null"):
             raise ValueError(f"on_bad_cast must be 'fail' or 'null': {self.on_bad_cast!r}")
+        if self.swap not in ("rename", "view"):
+            raise ValueError(f"swap must be 'rename' or 'view': {self.swap!r}")
+        if self.by_service and not self.by_month:
+            raise ValueError("by_service needs monthly_layout or refreshable")
         names = [s.name for s in self.services]
         if len(set(names)) != len(names):
             raise ValueError(f"service names must be unique: {names}")
@@ -110,13 +130,29 @@ class PipelineSpec:
                 return candidate
         raise KeyError(f"unknown service {name!r}")
 
-    def file_name(self, service: str, month: int) -> str:
-        return f"{self.service(service).file_prefix}_{self.year}-{month:02d}.parquet"
+    @property
+    def periods(self) -> tuple[tuple[int, int], ...]:
+        """Every expected month as a (year, month) pair; those of a calendar in order."""
+        if self.calendar:
+            return tuple(sorted((int(y), int(m)) for y, m in self.calendar))
+        return tuple((self.year, m) for m in self.months)
+
+    def period(self, month: Month) -> tuple[int, int]:
+        return (self.year, month) if isinstance(month, int) else (month[0], month[1])
+
+    @property
+    def by_month(self) -> bool:
+        """Whether silver and gold are partitioned by pickup month."""
+        return self.monthly_layout or self.refreshable
+
+    def file_name(self, service: str, month: Month) -> str:
+        year, month = self.period(month)
+        return f"{self.service(service).file_prefix}_{year}-{month:02d}.parquet"
 
     def service_dir(self, service: str) -> str:
         return f"{self.landing_root.rstrip('/')}/{service}"
 
-    def file_path(self, service: str, month: int) -> str:
+    def file_path(self, service: str, month: Month) -> str:
         return f"{self.service_dir(service)}/{self.file_name(service, month)}"
 
     # -- scope --------------------------------------------------------------
@@ -124,14 +160,16 @@ class PipelineSpec:
     @property
     def scope(self) -> tuple[date, date]:
         """First day of the earliest month, first day after the latest month."""
-        return month_bounds(self.year, min(self.months), max(self.months))
+        numbers = [month_number(*period) for period in self.periods]
+        return month_day(min(numbers)), month_day(max(numbers) + 1)
 
     @property
     def scope_ranges(self) -> list[tuple[date, date]]:
         """The half-open date ranges a pickup may fall in."""
         if not self.exact_months:
             return [self.scope]
-        return [month_bounds(self.year, lo, hi) for lo, hi in month_runs(self.months)]
+        runs = month_runs(month_number(*period) for period in self.periods)
+        return [(month_day(lo), month_day(hi + 1)) for lo, hi in runs]
 
     # -- tables -------------------------------------------------------------
 
@@ -150,3 +188,14 @@ class PipelineSpec:
     @property
     def trips_table(self) -> TableName:
         return self.table(self.gold_schema, "taxi_trips")
+
+    @property
+    def tables(self) -> list[TableName]:
+        """Every table of every layer."""
+        names = [s.name for s in self.services]
+        return [
+            *[self.bronze_table(name) for name in names],
+            *[self.silver_table(name) for name in names],
+            *[self.consumption_table(name) for name in self.consumption_services],
+            self.trips_table,
+        ]
