@@ -33,9 +33,10 @@ def brute_words(rows, window):
     return sorted(((i, *out[i, t]) for i, t in rows), key=lambda r: (key(r[0]), r[1:]))
 
 
-@pytest.mark.parametrize("hot", [256, 1])
-def test_substring_dedup_is_brute_force(docs_of, monkeypatch, hot):
+@pytest.mark.parametrize(("hot", "rows_of_one"), [(256, 1000), (1, 1000), (256, 3)])
+def test_substring_dedup_is_brute_force(docs_of, monkeypatch, hot, rows_of_one):
     monkeypatch.setattr(repeats, "HOT", hot)
+    monkeypatch.setattr(repeats, "HOT_ROWS", rows_of_one)
     rows = awkward() + [(20 + i, prose(40 + i, 30) + " " + prose(9, 25) + " " + prose(80 + i, 30)) for i in range(12)]
     found = substring_dedup.dedup(docs_of(rows), shard_words=400)
     found = found.withColumn("n", F.aggregate("spans", F.lit(0), lambda n, s: n + s["end"] - s["start"]))
@@ -49,7 +50,8 @@ def test_substring_dedup_of_nothing(docs_of):
 
 def test_carried_columns_come_along(docs_of):
     rows = docs_of(awkward())
-    found = substring_dedup.dedup(rows, carry=rows.columns)
+    found = substring_dedup.dedup(rows, carry=rows.columns, with_text=True)
+    assert found.filter("NOT whole_text <=> carried.text").isEmpty()
     assert sorted(map(str, found.select("carried.*").collect())) == sorted(map(str, rows.collect()))
 
 

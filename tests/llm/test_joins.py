@@ -158,5 +158,5 @@ def test_one_row_of_each_near_duplicate_group_stays(spark, docs_of, shared):
 
 def test_every_operator_is_registered():
     names = __spark_entry__.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if re.match(r"op\d+_", n)) == list(range(1, 14))
     assert "pipeline" in names

@@ -20,3 +20,12 @@ def test_wanted_rows_always_pass(spark, monkeypatch, rows, most):
     if most > 1 << 20:
         assert held[rows:].mean() < 0.1
     assert len(some.holds(np.zeros(0, np.int64))) == 0
+
+
+def test_a_column_tells_who_passes(spark):
+    hashes = spark.range(5000).select("id", F.xxhash64("id").alias("mark"))
+    some = marks.marks(hashes.filter("id % 3 = 0").select("mark"))
+    passed = {r.id for r in hashes.filter(some.column(F.col("mark"))).collect()}
+    assert set(range(0, 5000, 3)) <= passed and len(passed) < 2300
+    nobody = marks.marks(hashes.limit(0).select("mark"))
+    assert hashes.filter(nobody.column(F.col("mark"))).isEmpty()

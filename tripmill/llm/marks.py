@@ -5,7 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Bits per wanted row, and bits in all: 16 MiB, whatever the number of rows.
@@ -23,6 +24,15 @@ class Marks:
         bit = hashes.view(np.uint64) & np.uint64(64 * len(self.words) - 1)
         return (self.words[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
 
+    def column(self, mark: Column) -> Column:
+        """``holds`` for a column; the hash alone goes through Python, the rest of a row does not."""
+        words = self.words
+
+        def held(hashes: pd.Series) -> pd.Series:
+            return pd.Series(Marks(words).holds(hashes.to_numpy()))
+
+        return F.pandas_udf(held, "boolean")(mark)
+
 
 def marks(wanted: DataFrame) -> Marks:
     """The filter of ``wanted`` (``mark``, a 64-bit hash).
@@ -41,3 +51,13 @@ def marks(wanted: DataFrame) -> Marks:
     words = np.zeros(bits // 64, np.uint64)
     words[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
     return Marks(words)
+
+
+def apart(rows: DataFrame, wanted: DataFrame, mark: Column) -> tuple[DataFrame, DataFrame]:
+    """``rows`` that may be among ``wanted`` (``mark``), and those that are not.
+
+    A join of the first with what is wanted leaves the others, often nearly all, where they
+    are. ``rows`` are read twice.
+    """
+    held = marks(wanted).column(mark)
+    return rows.filter(held), rows.filter(~held)

@@ -1,7 +1,7 @@
 """Windows of text that repeat anywhere in a table, found shard by shard.
 
 Documents are cut into fragments by anchors (see ``anchors``). Fragments whose anchor is
-alone repeat nothing. Equal fragments are settled by their hashes. What is left, different
+alone repeat nothing. Equal fragments are settled by their anchors and a 64-bit hash. What is left, different
 fragments around one anchor, is dealt into shards of bounded size, and a search inside
 each shard finds the windows they share.
 """
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tripmill.llm.anchors import fragments
 from tripmill.llm.groups import by_group
+from tripmill.llm.marks import apart, marks
 from tripmill.llm.scratch import written
 from tripmill.llm.text import Powers, byte_values, mix, slices, word_spans
 
@@ -25,6 +26,11 @@ from tripmill.llm.text import Powers, byte_values, mix, slices, word_spans
 #: a task can hold; the windows of a more frequent anchor are told apart by their own hashes.
 HOT = 1 << 14
 
+#: Equal fragments are hot from so many rows on, or from a share of 1 in ``HOT_KEYS`` of all rows, so
+#: there are at most ``HOT_KEYS`` hot ones: few enough to be sent to every task.
+HOT_ROWS = 1000
+HOT_KEYS = 100_000
+
 
 @dataclass(frozen=True)
 class Shard:
@@ -101,8 +107,9 @@ def _fetch(rows: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
     per_text = wanted.groupBy("_id", "_hash").agg(
         F.array_sort(F.collect_list(F.struct("start", "length", "at", "anchor", "hot"))).alias("_parts")
     )
-    side = per_text.select(F.col("_id").alias("_i"), F.col("_hash").alias("_h"), "_parts")
-    joined = rows.join(side, _same_text())
+    side = written(per_text.select(F.col("_id").alias("_i"), F.col("_hash").alias("_h"), "_parts"), "parts")
+    some = marks(side.select(F.xxhash64("_i", "_h").alias("mark")))
+    joined = rows.filter(some.column(F.xxhash64("_id", "_hash"))).join(side, _same_text())
 
     def rows_of(batch, where, start, length, at, anchor, content, text) -> pa.RecordBatch:  # noqa: ANN001
         which = pa.array(where)
@@ -191,9 +198,15 @@ def _settled(pieces: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame]:
     )
     different = written(different, "different")
     repeated = different.filter(F.col("_n") > 1).select(
-        "anchor", "content", F.struct("first._id", "first._hash", "first.start").alias("_first")
+        "anchor", "content", "_n", F.struct("first._id", "first._hash", "first.start").alias("_first")
     )
-    settled = pieces.join(repeated, ["anchor", "content"])
+    most = max(HOT_ROWS, pieces.count() // HOT_KEYS)
+    same = ["anchor", "content"]
+    few = repeated.filter(F.col("_n") <= most).drop("_n")
+    hot = repeated.filter(F.col("_n") > most).drop("_n")
+    # A hot fragment stays where it is; shuffled, all its rows would be one task's.
+    rest = pieces.join(F.broadcast(hot.select(*same)), same, "left_anti")
+    settled = pieces.join(F.broadcast(hot), same).unionByName(rest.join(few, same))
     if rule.first_stays:
         settled = settled.filter(place != F.col("_first"))
     return different, settled.select("_id", "_hash", "start", (F.col("start") + F.col("length")).alias("end"))
@@ -232,9 +245,14 @@ def _repeats(rows: DataFrame) -> bool:
 
 
 def with_spans(rows: DataFrame, spans: DataFrame) -> DataFrame:
-    """``rows`` with ``spans`` (null where nothing goes)."""
+    """``rows`` with ``spans`` (null where nothing goes).
+
+    Only texts that may have spans are shuffled; the rows are read a second time for the others.
+    """
     side = spans.select(F.col("_id").alias("_i"), F.col("_hash").alias("_h"), "spans")
-    return rows.join(side, _same_text(), "left").select(*rows.columns, "spans")
+    some, others = apart(rows, side.select(F.xxhash64("_i", "_h").alias("mark")), F.xxhash64("_id", "_hash"))
+    cut = some.join(side, _same_text(), "left").select(*rows.columns, "spans")
+    return cut.unionByName(others.withColumn("spans", F.lit(None).cast(side.schema["spans"].dataType)))
 
 
 def merged(spans: list[dict] | None) -> list[tuple[int, int]]:

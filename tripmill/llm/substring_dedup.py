@@ -157,6 +157,7 @@ def dedup(
     gram: int = GRAM,
     shard_words: int = SHARD_WORDS,
     carry: Sequence[str] = (),
+    with_text: bool = False,
 ) -> DataFrame:
     """One row per row of ``docs``: its id column, ``n_words``, ``spans``, ``kept_text``.
 
@@ -167,8 +168,8 @@ def dedup(
 
     A null text has no words. Null ids come first. Rows with one id and different texts are
     ordered by a hash of the text; rows equal in both are one document and all get its
-    result. Columns named in ``carry`` come along in a struct ``carried``, so no name can clash. Words and
-    fragments are told apart by 64-bit hashes (equal fragments by 128 bits).
+    result. Columns named in ``carry`` come along in a struct ``carried``, so no name can clash, and
+    ``with_text`` adds the text as it came in, ``whole_text``. Words and fragments are told apart by 64-bit hashes.
     """
     rule = Rule(True, window, min(gram, window), True, shard_words, lambda shard: earlier_windows(shard, window))
     rows = keyed(docs, id_col, text_col, carry)
@@ -186,7 +187,8 @@ def dedup(
                     del words[a:b]
                 kept.append(b" ".join(words).decode())
             pair = pa.struct([("start", pa.int32()), ("end", pa.int32())])
-            extra = [batch.column("carried")] if carry else []
+            extra = [batch.column("_text")] if with_text else []
+            extra += [batch.column("carried")] if carry else []
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("_id"),
@@ -201,9 +203,9 @@ def dedup(
 
     own = T.StructType.fromDDL("n_words long, spans array<struct<start:int,end:int>>, kept_text string")
     fields = {f.name: f for f in rows.schema}
-    schema = T.StructType(
-        [fields["_id"], fields["_hash"], *own.fields, *([fields["carried"]] if carry else [])]
-    )
+    whole = [T.StructField("whole_text", T.StringType())] if with_text else []
+    carried = [fields["carried"]] if carry else []
+    schema = T.StructType([fields["_id"], fields["_hash"], *own.fields, *whole, *carried])
     names = schema.fieldNames()
     out = joined.mapInArrow(run, schema)
     return out.withColumnsRenamed({"_id": id_col, "_hash": "text_hash"})

@@ -189,8 +189,7 @@ def dedup(
 
     A null text is empty. Rows that repeat an id and a text are one document and all get
     its result; rows with one id and different texts are different documents. Other columns are not carried.
-    ``window`` must be at least twice ``BLOCK``. Fragments are told apart by 64-bit hashes
-    (equal fragments by 128 bits).
+    ``window`` must be at least twice ``BLOCK``. Fragments are told apart by 64-bit hashes.
     """
     if window < 2 * BLOCK or gram > window:
         raise ValueError(f"a window has {2 * BLOCK} bytes at least, and as many as a gram")
