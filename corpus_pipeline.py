@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.llm import decontamination, near_duplicates, packing, substring_dedup, toxicity
+from tripmill.llm.marks import apart
 from tripmill.llm.queries import encoder, table
 from tripmill.llm.scratch import written
 
@@ -40,14 +41,22 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     again = written(again.select("_i", "_h"), "again")
     gone = written(found.filter(~F.col("first")).select("_i", "_h").unionByName(again), "gone")
 
-    def among(rows: DataFrame, how: str) -> DataFrame:
-        same = docs["doc_id"].eqNullSafe(rows["_i"]) & (F.xxhash64(docs["text"]) == rows["_h"])
-        return docs.join(rows, same, how)
-
-    kept = among(gone, "left_anti")
+    kept = without(docs, gone)
     if again.isEmpty():
         return kept
-    return kept.unionByName(among(again, "left_semi").dropDuplicates(["doc_id", "text"]))
+    copies = docs.join(again, same_text(docs, again), "left_semi")
+    return kept.unionByName(copies.dropDuplicates(["doc_id", "text"]))
+
+
+def same_text(docs: DataFrame, rows: DataFrame) -> Column:
+    return docs["doc_id"].eqNullSafe(rows["_i"]) & (F.xxhash64(docs["text"]) == rows["_h"])
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` but for the ids and text hashes in ``gone`` (``_i, _h``); most stay without a shuffle."""
+    own = F.xxhash64("doc_id", F.xxhash64("text"))
+    some, others = apart(docs, gone.select(F.xxhash64("_i", "_h").alias("mark")), own)
+    return others.unionByName(some.join(gone, same_text(some, gone), "left_anti"))
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,28 +64,23 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
     A text that loses nothing stays as it is; in one that does, words are joined by one space.
     """
-    found = substring_dedup.dedup(docs, window=PASSAGE, carry=docs.columns)
+    rest = [c for c in docs.columns if c != "text"]
+    found = substring_dedup.dedup(docs, window=PASSAGE, carry=rest, with_text=True)
     cut = F.size("spans") > 0
-    text = F.when(cut, F.col("kept_text")).otherwise(F.col("carried.text"))
-    kept = found.filter(~cut | (F.col("kept_text") != "")).withColumn("_text", text)
-    new = {"text": F.col("_text"), "n_chars": F.coalesce(F.length("_text"), F.lit(0)).cast("long")}
-    return kept.select(
-        *[
-            F.when(cut, new[c].cast(docs.schema[c].dataType)).otherwise(F.col("carried")[c]).alias(c)
-            if c in new
-            else F.col("carried")[c].alias(c)
-            for c in docs.columns
-        ]
-    )
+    kept = found.filter(~cut | (F.col("kept_text") != ""))
+    columns = {c: F.col("carried")[c] for c in rest}
+    columns["text"] = F.when(cut, F.col("kept_text")).otherwise(F.col("whole_text"))
+    if "n_chars" in rest:
+        counted = F.length("kept_text").cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.when(cut, counted).otherwise(columns["n_chars"])
+    return kept.select(*[columns[c].alias(c) for c in docs.columns])
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that share no window of words with a benchmark item."""
     found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
-    bad = found.filter(F.size("hits") > 0).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    bad = written(bad, "contaminated")
-    same = docs["doc_id"].eqNullSafe(bad["_id"]) & (F.xxhash64(docs["text"]) == bad["_hash"])
-    return docs.join(bad, same, "left_anti")
+    bad = found.filter(F.size("hits") > 0).select(F.col("doc_id").alias("_i"), F.col("text_hash").alias("_h"))
+    return without(docs, written(bad, "contaminated"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
