@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,15 +18,17 @@ import pyarrow.compute as pc
 from tripmill.llm.text import slices, utf8
 
 #: Bytes of text whose distinct parts are found at once.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 #: Parts whose ids a task remembers, and the longest of them in bytes; others are encoded again
 #: in each slice.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 REMEMBERED_BYTES = 64
 
-#: Parts that are encoded as one text.
+#: Parts that are encoded as one text, and texts encoded at once: the library's results hold
+#: many times the bytes of the ids.
 JOINED = 64
+TEXTS = 128
 
 #: Texts on which cutting is compared with the whole: blanks of all kinds, marks, contractions.
 PROBES = (
@@ -108,7 +109,7 @@ class Encoder:
         return self.whole.encode(text, add_special_tokens=False).ids
 
     def __call__(self, text: str) -> list[int]:
-        return [i for _, ids, _ in self.column(pa.array([text])) for i in ids.tolist()]
+        return [int(i) for _, ids, _ in self.column(pa.array([text])) for i in ids]
 
     def column(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """Slices of the column: first row, ids of its texts on end, and where each text's ids end.
@@ -192,16 +193,18 @@ class Encoder:
         between = b" " if self._drops_blanks else b""
         texts = [between.join(parts[i : min(i + JOINED, plain)]).decode() for i in range(0, plain, JOINED)]
         texts += [part.decode() for part in parts[plain:]]
-        ids = [e.ids for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = []
+        for i in range(0, len(texts), TEXTS):
+            found = self.whole.encode_batch_fast(texts[i : i + TEXTS], add_special_tokens=False)
+            ids += [np.array(e.ids, np.uint32) for e in found]
         joined = -(-plain // JOINED)
-        head = np.fromiter(chain.from_iterable(ids[:joined]), np.int64)
+        head = np.concatenate([np.zeros(0, np.uint32), *ids[:joined]])
         ends, last = np.cumsum(self._bytes[head]), np.cumsum(size[:plain])
         at = np.searchsorted(ends, last)
         if plain and (ends[-1] != last[-1] or (ends[at] != last).any()):
             raise ValueError("a token reaches over a cut")
         counts = np.r_[np.diff(at, prepend=-1), np.array([len(i) for i in ids[joined:]], np.int64)]
-        tail = np.fromiter(chain.from_iterable(ids[joined:]), np.uint32)
-        return np.r_[head.astype(np.uint32), tail], counts
+        return np.concatenate([head, *ids[joined:]]), counts
 
 
 def _room(array: np.ndarray, size: int) -> np.ndarray:
