@@ -22,10 +22,12 @@ def test_wanted_rows_always_pass(spark, monkeypatch, rows, most):
     assert len(some.holds(np.zeros(0, np.int64))) == 0
 
 
-def test_a_column_tells_who_passes(spark):
+def test_rows_are_told_apart(spark, shared):
     hashes = spark.range(5000).select("id", F.xxhash64("id").alias("mark"))
-    some = marks.marks(hashes.filter("id % 3 = 0").select("mark"))
-    passed = {r.id for r in hashes.filter(some.column(F.col("mark"))).collect()}
-    assert set(range(0, 5000, 3)) <= passed and len(passed) < 2300
-    nobody = marks.marks(hashes.limit(0).select("mark"))
-    assert hashes.filter(nobody.column(F.col("mark"))).isEmpty()
+    some, others = marks.apart(hashes, hashes.filter("id % 3 = 0").select("mark"), F.col("mark"))
+    assert some.columns == others.columns == hashes.columns
+    passed, rest = [r.id for r in some.collect()], [r.id for r in others.collect()]
+    assert sorted(passed + rest) == list(range(5000))
+    assert set(range(0, 5000, 3)) <= set(passed) and len(passed) < 2300
+    nobody, every = marks.apart(hashes, hashes.limit(0).select("mark"), F.col("mark"))
+    assert nobody.isEmpty() and every.count() == 5000

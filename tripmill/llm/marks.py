@@ -5,13 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Bits per wanted row, and bits in all: 16 MiB, whatever the number of rows.
+from tripmill.llm.scratch import written
+
+#: Bits per wanted row, and bits in all: 4 MiB in half a million words, whatever the number of rows.
 BITS_PER_ROW = 16
-MAX_BITS = 1 << 27
+MAX_BITS = 1 << 25
 
 
 @dataclass(frozen=True)
@@ -24,32 +25,30 @@ class Marks:
         bit = hashes.view(np.uint64) & np.uint64(64 * len(self.words) - 1)
         return (self.words[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
 
-    def column(self, mark: Column) -> Column:
-        """``holds`` for a column; the hash alone goes through Python, the rest of a row does not."""
-        words = self.words
 
-        def held(hashes: pd.Series) -> pd.Series:
-            return pd.Series(Marks(words).holds(hashes.to_numpy()))
+def _words(wanted: DataFrame) -> tuple[DataFrame, int]:
+    """``word, bits``: the filter's non-zero words, and how many bits it has.
 
-        return F.pandas_udf(held, "boolean")(mark)
+    With more rows than it has room for, more of the others pass; none of the wanted is lost.
+    """
+    rows = wanted.count()
+    size = 64
+    while size < min(MAX_BITS, BITS_PER_ROW * rows):
+        size *= 2
+    bit = f"(mark & {size - 1}L)"
+    mask = F.expr(f"shiftleft(1L, cast({bit} & 63L AS int))")
+    return wanted.groupBy(F.expr(f"shiftright({bit}, 6)").alias("word")).agg(F.bit_or(mask).alias("bits")), size
 
 
 def marks(wanted: DataFrame) -> Marks:
-    """The filter of ``wanted`` (``mark``, a 64-bit hash).
+    """The filter of ``wanted`` (``mark``, a 64-bit hash), for use inside a Python task.
 
-    Its words are put together on the executors; the driver gets each non-zero word once, 16 MiB
-    of words at most. With more rows than that has room for, more of the others pass.
+    Its words are put together on the executors; the driver gets each of them once.
     """
-    rows = wanted.count()
-    bits = 64
-    while bits < min(MAX_BITS, BITS_PER_ROW * rows):
-        bits *= 2
-    bit = f"(mark & {bits - 1}L)"
-    word = F.expr(f"cast(shiftright({bit}, 6) AS int)").alias("word")
-    mask = F.expr(f"shiftleft(1L, cast({bit} & 63L AS int))")
-    found = wanted.groupBy(word).agg(F.bit_or(mask).alias("bits")).toArrow()
-    words = np.zeros(bits // 64, np.uint64)
-    words[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    found, size = _words(wanted)
+    rows = found.toArrow()
+    words = np.zeros(size // 64, np.uint64)
+    words[rows["word"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
     return Marks(words)
 
 
@@ -57,7 +56,12 @@ def apart(rows: DataFrame, wanted: DataFrame, mark: Column) -> tuple[DataFrame,
     """``rows`` that may be among ``wanted`` (``mark``), and those that are not.
 
     A join of the first with what is wanted leaves the others, often nearly all, where they
-    are. ``rows`` are read twice.
+    are. ``rows`` are read twice; the filter's words are few enough to be broadcast.
     """
-    held = marks(wanted).column(mark)
-    return rows.filter(held), rows.filter(~held)
+    found, size = _words(wanted)
+    words = F.broadcast(written(found, "words").select(F.col("word").alias("_word"), F.col("bits").alias("_bits")))
+    bit = mark.bitwiseAND(F.lit(size - 1))
+    marked = rows.withColumn("_bit", bit).withColumn("_at", F.shiftright("_bit", 6))
+    looked = marked.join(words, F.col("_at") == F.col("_word"), "left")
+    held = F.coalesce(F.expr("shiftrightunsigned(_bits, cast(_bit & 63L AS int)) & 1L"), F.lit(0)) == 1
+    return looked.filter(held).select(*rows.columns), looked.filter(~held).select(*rows.columns)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tripmill.llm.anchors import fragments
 from tripmill.llm.groups import by_group
-from tripmill.llm.marks import apart, marks
+from tripmill.llm.marks import apart
 from tripmill.llm.scratch import written
 from tripmill.llm.text import Powers, byte_values, mix, slices, word_spans
 
@@ -108,8 +108,8 @@ def _fetch(rows: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
         F.array_sort(F.collect_list(F.struct("start", "length", "at", "anchor", "hot"))).alias("_parts")
     )
     side = written(per_text.select(F.col("_id").alias("_i"), F.col("_hash").alias("_h"), "_parts"), "parts")
-    some = marks(side.select(F.xxhash64("_i", "_h").alias("mark")))
-    joined = rows.filter(some.column(F.xxhash64("_id", "_hash"))).join(side, _same_text())
+    some, _ = apart(rows, side.select(F.xxhash64("_i", "_h").alias("mark")), F.xxhash64("_id", "_hash"))
+    joined = some.join(side, _same_text())
 
     def rows_of(batch, where, start, length, at, anchor, content, text) -> pa.RecordBatch:  # noqa: ANN001
         which = pa.array(where)
