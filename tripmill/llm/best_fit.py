@@ -25,6 +25,7 @@ from pyspark.sql.window import Window
 
 from tripmill.llm.scratch import written
 from tripmill.llm.tokens import by_column, with_end
+from tripmill.llm.text import freeing
 
 CAPACITY = 4096
 END_ID = 1
@@ -215,7 +216,7 @@ def pieces(
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"_id {kind}, piece long, start long, length long, ids binary, part int, nth long"
-    return docs.select(F.col(id_col).alias("_id"), text_col).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("_id"), text_col).mapInArrow(freeing(run), schema)
 
 
 def pack(
@@ -267,5 +268,5 @@ def pack(
     names = ["_id", "piece", "start", "length", "ids"]
     schema = T.StructType([cut.schema[name] for name in names])
     schema = schema.add("sequence_id", T.LongType()).add("offset", T.LongType())
-    placed = numbered.select(*names, "_number").mapInArrow(place, schema)
+    placed = numbered.select(*names, "_number").mapInArrow(freeing(place), schema)
     return placed.withColumnRenamed("_id", id_col)

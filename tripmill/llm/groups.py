@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tripmill.llm.text import freeing
+
 
 def by_group(
     frame: DataFrame,
@@ -49,4 +51,4 @@ def by_group(
             yield out
 
     parts = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return frame.repartition(parts, *keys).sortWithinPartitions(*keys, *order).mapInArrow(whole, schema)
+    return frame.repartition(parts, *keys).sortWithinPartitions(*keys, *order).mapInArrow(freeing(whole), schema)

@@ -19,7 +19,7 @@ from tripmill.llm.components import components
 from tripmill.llm.groups import by_group
 from tripmill.llm.marks import marks
 from tripmill.llm.scratch import written
-from tripmill.llm.text import Powers, lower_ascii, mix, slices, utf8, word_spans
+from tripmill.llm.text import Powers, freeing, lower_ascii, mix, slices, utf8, word_spans
 from tripmill.operators.conform import union_all
 
 SHINGLE = 5
@@ -94,7 +94,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> Dat
 
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, hash long, n long, cls binary, tokens binary"
-    return docs.select(F.col(id_col).alias("id"), text_col, F.xxhash64(text_col)).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).alias("id"), text_col, F.xxhash64(text_col)).mapInArrow(freeing(run), schema)
 
 
 def placed(classes: DataFrame, trees: Sequence[int]) -> DataFrame:
@@ -122,7 +122,7 @@ def placed(classes: DataFrame, trees: Sequence[int]) -> DataFrame:
                 )
 
     rows = classes.select("no", "n", "label", "tokens")
-    return rows.mapInArrow(run, "node long, no long, n long, label long, sketch binary")
+    return rows.mapInArrow(freeing(run), "node long, no long, n long, label long, sketch binary")
 
 
 def leaves(classes: DataFrame, trees: Sequence[int]) -> DataFrame:
@@ -277,7 +277,7 @@ def links(candidates: DataFrame, docs: DataFrame, classes: DataFrame, id_col: st
             )
 
     texts = docs.select(text_col, F.xxhash64(id_col, F.xxhash64(text_col)).alias("mark"))
-    grams = texts.mapInArrow(sets, "cls binary, grams binary").groupBy("cls").agg(F.first("grams").alias("grams"))
+    grams = texts.mapInArrow(freeing(sets), "cls binary, grams binary").groupBy("cls").agg(F.first("grams").alias("grams"))
 
     def run(table: pa.Table) -> pa.RecordBatch | None:
         node, side = table["node"].to_numpy(), table["side"].to_numpy()

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tripmill.llm.tokens import Encoder, by_column, with_end
+from tripmill.llm.text import freeing
 
 CAPACITY = 2048
 END_ID = 1
@@ -171,4 +172,4 @@ def pack(
                 close_one()
             yield flush()
 
-    return docs.select(id_col, text_col).mapInArrow(run, out)
+    return docs.select(id_col, text_col).mapInArrow(freeing(run), out)

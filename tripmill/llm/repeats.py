@@ -20,7 +20,7 @@ from tripmill.llm.anchors import fragments
 from tripmill.llm.groups import by_group
 from tripmill.llm.marks import apart
 from tripmill.llm.scratch import written
-from tripmill.llm.text import Powers, byte_values, mix, slices, word_spans
+from tripmill.llm.text import Powers, byte_values, freeing, mix, slices, word_spans
 
 #: Different fragments around one anchor up to which they are searched together, which is what
 #: a task can hold; the windows of a more frequent anchor are told apart by their own hashes.
@@ -98,7 +98,7 @@ def _cut(rows: DataFrame, rule: Rule) -> DataFrame:
 
     kind = rows.schema["_id"].dataType.simpleString()
     return rows.mapInArrow(
-        run, f"_id {kind}, _hash long, start int, length int, at int, anchor long, content long"
+        freeing(run), f"_id {kind}, _hash long, start int, length int, at int, anchor long, content long"
     )
 
 
@@ -151,7 +151,7 @@ def _fetch(rows: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
 
     kind = rows.schema["_id"].dataType.simpleString()
     return joined.select("_id", "_hash", "_text", "_parts").mapInArrow(
-        run,
+        freeing(run),
         f"_id {kind}, _hash long, start int, length int, at int, anchor long, content long, text binary",
     )
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tripmill.llm.repeats import Rule, Shard, keyed, merged, repeated_spans, with_spans
-from tripmill.llm.text import Powers, mix, word_spans
+from tripmill.llm.text import Powers, freeing, mix, word_spans
 
 WINDOW = 20
 GRAM = 4
@@ -207,5 +207,5 @@ def dedup(
     carried = [fields["carried"]] if carry else []
     schema = T.StructType([fields["_id"], fields["_hash"], *own.fields, *whole, *carried])
     names = schema.fieldNames()
-    out = joined.mapInArrow(run, schema)
+    out = joined.mapInArrow(freeing(run), schema)
     return out.withColumnsRenamed({"_id": id_col, "_hash": "text_hash"})

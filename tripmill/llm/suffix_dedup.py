@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 
 from tripmill.llm.repeats import Rule, Shard, keyed, merged, repeated_spans, with_spans
 from tripmill.llm.substring_dedup import suffix_array
-from tripmill.llm.text import slices
+from tripmill.llm.text import freeing, slices
 
 WINDOW = 400
 GRAM = 16
@@ -216,4 +216,4 @@ def dedup(
 
     kind = rows.schema["_id"].dataType.simpleString()
     schema = f"_id {kind}, n_bytes long, spans array<struct<start:int,end:int>>, kept binary"
-    return joined.mapInArrow(run, schema).withColumnRenamed("_id", id_col)
+    return joined.mapInArrow(freeing(run), schema).withColumnRenamed("_id", id_col)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmill.llm.text import Powers, mix
+from tripmill.llm.text import Powers, freeing, mix
 
 #: Labelled rows a model is fitted on at most; each is read whole.
 MAX_ROWS = 6_000
@@ -178,7 +178,7 @@ def train(
                 )
                 row += len(texts)
 
-    rows = chosen.select("_label", "_text").mapInArrow(bags, "label int, buckets binary, shares binary").toArrow()
+    rows = chosen.select("_label", "_text").mapInArrow(freeing(bags), "label int, buckets binary, shares binary").toArrow()
     # However the rows arrived, the model is the same.
     order = sorted(zip(*(rows[name].to_pylist() for name in ("label", "buckets", "shares"))))
     del rows
@@ -203,4 +203,4 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             scores = 1 / (1 + np.exp(-np.clip(np.concatenate(logits), -700, 700)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(freeing(run), schema)
