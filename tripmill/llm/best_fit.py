@@ -35,7 +35,7 @@ MAX_CAPACITY = 1 << 15
 NUMBER_BITS = 48
 
 #: Bytes of ids handed on at once.
-OUTPUT_BYTES = 16 << 20
+OUTPUT_BYTES = 4 << 20
 
 
 class Complements:

@@ -25,7 +25,7 @@ END_ID = 1
 BUFFER = 4096
 
 #: Bytes of ids handed on at once.
-OUTPUT_BYTES = 16 << 20
+OUTPUT_BYTES = 4 << 20
 
 
 def byte_bpe(path: str) -> Encoder:

@@ -22,7 +22,7 @@ SLICE_BYTES = 2 << 20
 
 #: Parts whose ids a task remembers, and the longest of them in bytes; others are encoded again
 #: in each slice.
-REMEMBERED = 150_000
+REMEMBERED = 60_000
 REMEMBERED_BYTES = 64
 
 #: Parts that are encoded as one text, and texts encoded at once: the library's results hold
