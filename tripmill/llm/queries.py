@@ -45,7 +45,7 @@ def encoder() -> Callable[[str], list[int]]:
 def word_encoder() -> Callable[[str], list[int]]:
     import public_tokenizers
 
-    return tokens.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    return tokens.Encoder(public_tokenizers.path("word_bpe_49k.json"), remembered=150_000)
 
 
 def _covered(spans: str) -> Column:

@@ -82,7 +82,7 @@ class Encoder:
     A file whose tokenizer joins what is cut here raises ``ValueError``.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, remembered: int | None = None) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one core's work
         from tokenizers import Tokenizer
 
@@ -96,6 +96,7 @@ class Encoder:
         self._bytes = np.zeros(1 + max(vocabulary.values()), np.int64)
         for token, i in vocabulary.items():
             self._bytes[i] = len(token.removesuffix("</w>"))
+        self._remembered = REMEMBERED if remembered is None else remembered
         self._known: dict[bytes, int] = {}
         self._flat = np.zeros(1 << 16, np.uint32)
         self._start = np.zeros(1 << 12, np.int64)
@@ -166,7 +167,7 @@ class Encoder:
             self._count[first : first + len(new)] = counts
             self._start[first : first + len(new)] = self._used + np.cumsum(counts) - counts
             place[new] = first + np.arange(len(new))
-            stay = min(int(np.count_nonzero(short[new])), REMEMBERED - first)
+            stay = max(0, min(int(np.count_nonzero(short[new])), self._remembered - first))
             known.update(zip(missing[:stay], range(first, first + stay)))
             self._used += int(counts[:stay].sum())
         return place
