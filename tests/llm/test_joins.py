@@ -70,6 +70,13 @@ def brute_top(rows, k):
     return sorted(out)
 
 
+def test_a_repeated_query_id_is_its_smallest_vector(spark):
+    rows = [(0, [2.0, 0.0]), (0, [0.0, 2.0]), (1, [1.0, 0.0]), (2, [0.0, 3.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = search.top_k(vectors, F.col("vec_id") == 0, k=1, scale=1).collect()
+    assert [tuple(r) for r in found] == [(0, 1, 2, 6)]
+
+
 @pytest.mark.parametrize("scale", [1.0, 1e6])
 def test_search_is_brute_force(spark, monkeypatch, scale):
     monkeypatch.setattr(search, "BLOCK", 40)

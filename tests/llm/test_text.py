@@ -155,6 +155,26 @@ def test_held_out_toxicity(spark, sf_dir, shared):
     assert not toxic or wins / (len(toxic) * len(clean)) > 0.5  # a few dozen rows to learn from here
 
 
+def test_a_label_stands_for_one_text(docs_of, spark):
+    docs = docs_of([(i % 5, f"text {i:03d}") for i in range(400)] + [(7, None), (None, "x"), (8, "alone")])
+    labels = [(i, i % 2) for i in range(10)] + [(0, 0), (3, 0), (None, 1), (9, 5)]
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    found = toxicity.sample(docs, labels, "doc_id", "text", "toxic", 100).collect()
+    expected = {(k, k % 2, f"text {395 + k}") for k in range(5)} | {(3, 0, "text 398"), (7, 1, None), (8, 0, "alone")}
+    assert sorted(map(tuple, found), key=repr) == sorted(expected, key=repr)
+    assert toxicity.sample(docs, labels, "doc_id", "text", "toxic", 3).count() <= 3
+
+
+def test_taken_names_are_refused(docs_of):
+    docs = docs_of([(1, "a text")])
+    with pytest.raises(ValueError, match="toxicity"):
+        toxicity.score(docs, toxicity.fit([]))
+    assert language.identify(docs, {}).columns == [*docs.columns, "lang_pred", "lang_score"]
+    for name in ("Lang_Pred", "lang_score"):
+        with pytest.raises(ValueError, match=name.lower()):
+            language.identify(docs.withColumnRenamed("hash", name), {})
+
+
 def test_profiles_tell_languages_apart(spark, docs_of):
     rows = [(i, "the cat and the dog were there with them") for i in range(5)]
     german = [(i + 10, "der hund und die katze waren auch dort mit ihnen") for i in range(5)]

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripmill.llm.text import refuse_taken
+
 UNKNOWN = "und"
 PROFILE = 400
 LONGEST = 3
@@ -121,8 +123,10 @@ def identify(
 
     A null text, a text without letters, and any text when there is no profile give
     ``und`` and 0. Ties between languages go to the name that sorts first. The score is 1
-    minus the winner's distance over the largest possible one.
+    minus the winner's distance over the largest possible one. A table that has a column of
+    these names is refused.
     """
+    refuse_taken(docs, "lang_pred", "lang_score")
     names = sorted(languages)
     fixed = np.array(sorted({g for n in names for g in languages[n]}), np.int64)
     places = np.full((len(names), len(fixed)), -1, np.int64)

@@ -121,7 +121,7 @@ def top_k(
     ties go to the smaller id. Vectors that are null or hold null or non-finite components,
     and rows without an id, take no part; vectors of different lengths are not
     compared; empty vectors score 0. A query is never compared with rows of its own id. A
-    query id that repeats is answered for one of its rows; repeated candidates count each.
+    query id that repeats is answered for its row with the smallest vector; repeated candidates count each.
     Fewer than ``k`` others give fewer rows; an empty table none.
 
     Each block of queries meets each block of vectors once. Tasks keep only the best ``k`` per
@@ -135,7 +135,7 @@ def top_k(
     parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     candidates = blocks(usable.select("_id", "_vector"), BLOCK)
     candidates = candidates.withColumn("_part", F.pmod(F.xxhash64("ids"), F.lit(parts)).cast("int"))
-    asked = usable.filter("_query").dropDuplicates(["_id"]).select("_id", "_vector")
+    asked = usable.filter("_query").groupBy("_id").agg(F.min("_vector").alias("_vector"))
     # Few rows per task: gathered so that the blocks are full, however many tasks read them.
     asked = blocks(asked, QUERY_BLOCK).select(F.col("dim").alias("_dim"), F.col("ids").alias("q_ids"), F.col("exact").alias("q_exact"))
     asked = asked.withColumn("_of", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))

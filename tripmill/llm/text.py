@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 #: Bytes of text worked on at once; a longer document is a slice of its own.
 SLICE_BYTES = 1 << 20
@@ -38,6 +39,13 @@ def freeing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterato
     return task
 
 
+def refuse_taken(docs: DataFrame, *names: str) -> None:
+    """Raise where ``docs`` has a column, in whatever case, that an operator adds."""
+    taken = sorted({name.lower() for name in docs.columns} & set(names))
+    if taken:
+        raise ValueError(f"rename the columns {taken}: the result has columns of these names")
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string or binary column; a null is an empty text."""
     column = column.cast(pa.large_binary()).fill_null(b"")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmill.llm.text import Powers, freeing, mix
+from tripmill.llm.text import Powers, freeing, mix, refuse_taken
 
 #: Labelled rows a model is fitted on at most; each is read whole.
 MAX_ROWS = 6_000
@@ -95,11 +95,16 @@ class Model:
 def sample(
     docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int
 ) -> DataFrame:
-    """At most ``rows`` labelled texts as (label, text), chosen by a hash of the id."""
+    """At most ``rows`` labelled texts as (label, text), chosen by a hash of the id.
+
+    A label stands for one text: of several rows with its id, the text that sorts last. Repeated
+    labels count once; an id with both labels counts for each.
+    """
     keys = labels.select(F.col(id_col).alias("_key"), F.col(label_col).cast("int").alias("_label"))
-    keys = keys.filter(F.col("_label").isin(0, 1)).orderBy(F.xxhash64("_key"), "_key", "_label").limit(rows)
+    keys = keys.filter(F.col("_label").isin(0, 1)).distinct().orderBy(F.xxhash64("_key"), "_key", "_label").limit(rows)
     texts = docs.select(F.col(id_col).alias("_key"), F.col(text_col).alias("_text"))
-    return texts.join(F.broadcast(keys), "_key")
+    labelled = texts.join(F.broadcast(keys), "_key").groupBy("_key", "_label")
+    return labelled.agg(F.max("_text").alias("_text"))
 
 
 def fit(bags: list[tuple[int, np.ndarray, np.ndarray]], seed: int = 1) -> Model:
@@ -188,8 +193,10 @@ def train(
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with ``toxicity``, from 0 to 1; a null text counts as empty.
 
+    A table that has such a column is refused.
     The average of a text is linear in its subwords, so each bucket is one number. The model has a fixed size (``BUCKETS`` numbers) and travels with the task.
     """
+    refuse_taken(docs, "toxicity")
     schema = T.StructType([*docs.schema.fields, T.StructField("toxicity", T.DoubleType())])
     at = docs.columns.index(text_col)
     names = schema.fieldNames()
