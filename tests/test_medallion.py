@@ -5,7 +5,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import multiset, own_schemas, plan, pushed, read_schemas
+from helpers import bronze_rows, multiset, own_schemas, plan, pushed, read_schemas, spec_for, trip
 from tripmill import (
     MissingFilesError,
     bronze,
@@ -17,10 +17,12 @@ from tripmill import (
     overall_amount,
     passengers_by_service,
     read_table,
+    refresh,
     row_count,
     rows_per_key,
     run,
     silver_audit,
+    taxi_services,
 )
 from tripmill.plans.fleet import fleet_spec, landed_fleet, raw_trips
 from tripmill.plans.answers import hourly_avg_sql
@@ -234,3 +236,29 @@ def test_one_service_with_its_own_months(spark, landed, tmp_path):
         F.month("lpep_pickup_datetime").alias("m")
     )
     assert {r.m for r in months.distinct().collect()} <= {2, 4}
+
+
+@pytest.mark.parametrize("refreshable", [False, True])
+def test_rows_that_do_not_fit_have_a_table(spark, tmp_path, refreshable):
+    spec = own_schemas(spec_for(
+        tmp_path / "landing", services=taxi_services()[:1], months=(1, 2), on_bad_cast="route", refreshable=refreshable
+    ))
+    january = [trip("2023-01-05 00:00:00", passengers=p) for p in (1.0, 1.0, 3e10, float("nan"))]
+    february = [trip("2023-02-05 00:00:00"), trip(None, passengers=-3e10), trip("2020-01-01 00:00:00")]
+    for month, rows in ((1, january), (2, february)):
+        bronze_rows(spark, rows).write.parquet(spec.file_path("yellow", month))
+    report = run(spark, spec, str(tmp_path / "tables"))
+    audit, routed = report.audits["yellow"], spec.rejected_table("yellow")
+    assert (audit.raw, audit.rejected, audit.null_pickup, audit.out_of_scope, audit.duplicates, audit.kept) == (
+        7, 3, 0, 1, 1, 2
+    )
+    assert report.rows[routed] == row_count(spark, routed) == 3
+    by_file = rows_per_key(read_table(spark, routed), "_source_file")
+    assert {r._source_file[-10:]: r["count"] for r in by_file.collect()} == {"01.parquet": 2, "02.parquet": 1}
+    if refreshable:  # February comes again, mended; then January, with one more row that does not fit
+        bronze_rows(spark, february[:1]).write.mode("overwrite").parquet(spec.file_path("yellow", 2))
+        refresh(spark, spec, [2], str(tmp_path / "tables"))
+        assert {r.landed_month for r in read_table(spark, routed).collect()} == {"2023-01"}
+        bronze_rows(spark, january[2:] + january[2:3]).write.mode("overwrite").parquet(spec.file_path("yellow", 1))
+        refresh(spark, spec, [1], str(tmp_path / "tables"))
+        assert row_count(spark, routed) == 3 and row_count(spark, spec.silver_table("yellow")) == 1

@@ -6,8 +6,8 @@ from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from helpers import bronze_rows, multiset, spec_for, trip
-from tripmill import silver, silver_audit
+from helpers import bronze_rows, multiset, plan, spec_for, trip
+from tripmill import file_audit, rejected_rows, silver, silver_audit
 from tripmill.operators.silver import SILVER_COLUMNS, distinct_rows, silver_counted
 
 SPEC = spec_for()
@@ -133,6 +133,64 @@ def test_text_that_is_no_number(spark, ansi):
     assert silver(rows, spec_for(on_bad_cast="null"), "yellow").first().vendorid is None
 
 
+def test_rows_that_do_not_fit_are_routed(spark, ansi):
+    spec = spec_for(on_bad_cast="route")
+    bad = trip(KEPT, passengers=3e10)
+    rows = bronze_rows(spark, [bad, bad, trip(KEPT, vendor=7), trip(None), trip("1990-01-01 00:00:00")])
+    rows = rows.withColumn("vendorid", F.when(F.col("vendorid") == 7, "x").otherwise(F.col("vendorid").cast("string")))
+    rows = rows.unionByName(bronze_rows(spark, [trip(KEPT), trip(KEPT)]).withColumn("vendorid", F.lit("1")))
+    assert [(r.vendorid, r.passenger_count) for r in silver(rows, spec, "yellow").collect()] == [(1, 1)]
+    found = rejected_rows(rows, spec, "yellow").collect()
+    assert sorted((r.vendorid, r.passenger_count, r.reason) for r in found) == [
+        ("1", "3.0E10", "passenger_count does not fit int"),
+        ("1", "3.0E10", "passenger_count does not fit int"),
+        ("x", "1.0", "vendorid does not fit int"),
+    ]
+    assert found[0].pickup_datetime == KEPT and found[0].service_type == "yellow"
+    audit = silver_audit(rows, spec, "yellow").first().asDict()
+    assert audit == {
+        "service_type": "yellow", "raw": 7, "null_pickup": 1, "in_scope": 2, "kept": 1, "rejected": 3,
+        "out_of_scope": 2, "duplicates": 1,
+    }
+
+
+def test_a_pickup_that_is_no_time_is_rejected_not_missing(spark, ansi):
+    spec = spec_for(on_bad_cast="route")
+    rows = bronze_rows(spark, [trip(KEPT), trip(None)]).withColumn(
+        "tpep_pickup_datetime", F.coalesce(F.col("tpep_pickup_datetime").cast("string"), F.lit("soon"))
+    )
+    audit = silver_audit(rows, spec, "yellow").first()
+    assert (audit.rejected, audit.null_pickup, audit.kept) == (1, 0, 1)
+    [routed] = rejected_rows(rows, spec, "yellow").collect()
+    assert (routed.pickup_datetime, routed.reason) == ("soon", "pickup_datetime does not fit timestamp_ntz")
+
+
+def test_nothing_is_read_to_route_rows_of_silver_types(spark):
+    typed = spark.createDataFrame([], (
+        "vendorid int, passenger_count int, tpep_pickup_datetime timestamp_ntz, "
+        "tpep_dropoff_datetime timestamp_ntz, total_amount double"
+    ))
+    routed = rejected_rows(typed.unionByName(typed), spec_for(on_bad_cast="route"), "yellow")
+    assert "Union" not in plan(routed) and routed.count() == 0
+
+
+def test_accounting_by_file(spark):
+    files = [("y_2023-02.parquet", KEPT), ("y_2023-01.parquet", KEPT), ("y_2023-01.parquet", KEPT),
+             ("y_2023-02.parquet", "1990-01-01 00:00:00"), ("y_2022-12.parquet", None), ("odd", KEPT), ("odd", None)]
+    names = spark.createDataFrame([(i, n) for i, (n, _) in enumerate(files)], "vendorid long, _source_file string")
+    rows = bronze_rows(spark, [trip(at, vendor=i) for i, (_, at) in enumerate(files)])
+    rows = rows.join(names, "vendorid").withColumn("vendorid", F.lit(1).cast("long"))
+    found = file_audit(rows, SPEC, "yellow").drop("service_type").collect()
+    assert {r._source_file: tuple(r)[1:] for r in found} == {
+        # raw, null_pickup, in_scope, kept, out_of_scope, duplicates
+        "yellow_tripdata_2022-12.parquet": (1, 1, 0, 0, 1, 0),
+        "yellow_tripdata_2023-01.parquet": (2, 0, 2, 1, 0, 1),
+        "yellow_tripdata_2023-02.parquet": (2, 0, 1, 0, 1, 1),
+        None: (2, 1, 1, 0, 1, 1),
+    }
+    assert file_audit(rows.limit(0), SPEC, "yellow").count() == 0
+
+
 def test_business_filters_are_not_applied(spark):
     rows = [trip(KEPT, passengers=None), trip(KEPT, passengers=0.0), trip(KEPT, amount=-3.0)]
     assert silver(bronze_rows(spark, rows), SPEC, "yellow").count() == 3

@@ -11,7 +11,7 @@ from tripmill.operators.profile import (
     rows_per_key,
     trip_profile,
 )
-from tripmill.operators.silver import SilverAudit, silver, silver_audit
+from tripmill.operators.silver import SilverAudit, file_audit, rejected_rows, silver, silver_audit
 from tripmill.plans.answers import (
     all_layer_sizes,
     checks,
@@ -43,6 +43,7 @@ __all__ = [
     "checks",
     "conform_union",
     "drift_report",
+    "file_audit",
     "gold_consumption",
     "gold_trips",
     "hourly_avg",
@@ -60,6 +61,7 @@ __all__ = [
     "preview",
     "read_table",
     "refresh",
+    "rejected_rows",
     "require_landing",
     "row_count",
     "rows_per_key",

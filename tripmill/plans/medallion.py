@@ -15,7 +15,14 @@ from tripmill.operators.gold import (
     trips_columns,
     with_pickup_month,
 )
-from tripmill.operators.silver import COPIES, SERVICE_TYPE, SilverAudit, silver_counted
+from tripmill.operators.silver import (
+    COPIES,
+    SERVICE_TYPE,
+    SilverAudit,
+    arrival_metrics,
+    rejected_rows,
+    silver_counted,
+)
 from tripmill.sources.drifted import SOURCE_FILE, SourceFile, scan_conformed
 from tripmill.sources.landing import require_landing
 from tripmill.sources.session import in_parallel, monthly_settings, sized_settings, sql_conf
@@ -74,12 +81,12 @@ def ingested(scanned: DataFrame, spec: PipelineSpec) -> DataFrame:
 def write_bronze(
     spark: SparkSession, spec: PipelineSpec, service: str, footers: str = "auto"
 ) -> dict[str, int]:
-    """Write the bronze table; returns ``rows`` and ``pickups`` (usable pickup times)."""
-    pickup = F.col(f"`{spec.service(service).pickup_col.lower()}`").try_cast("timestamp_ntz")
+    """Write the bronze table; returns the counts of ``arrival_metrics``."""
+    rows = bronze(spark, spec, service, footers)
     return overwrite_counted(
-        bronze(spark, spec, service, footers),
+        rows,
         spec.bronze_table(service),
-        {"rows": F.count(F.lit(1)), "pickups": F.count(pickup)},
+        arrival_metrics(rows, spec, service),
         table_format=spec.table_format,
         partition_by=(LANDED_MONTH,) if spec.refreshable else (),
         swap=spec.swap,
@@ -105,10 +112,27 @@ def write_silver(
     return SilverAudit(
         service=service,
         raw=came_in["rows"],
-        null_pickup=came_in["rows"] - came_in["pickups"],
+        null_pickup=came_in["rows"] - came_in["pickups"] - came_in["rejected"],
         in_scope=counts["in_scope"],
         kept=counts["kept"],
+        rejected=came_in["rejected"],
+    )
+
+
+def write_rejected(spark: SparkSession, spec: PipelineSpec, service: str) -> int:
+    """Write the rows silver did not take, with their file and the reason; returns their number."""
+    keep = [SOURCE_FILE, LANDED_MONTH] if spec.refreshable else [SOURCE_FILE]
+    rows = rejected_rows(read_table(spark, spec.bronze_table(service)), spec, service, keep)
+    if spec.refreshable:
+        rows = rows.select(*[c for c in rows.columns if c != LANDED_MONTH], LANDED_MONTH)
+    counts = overwrite_counted(
+        rows,
+        spec.rejected_table(service),
+        table_format=spec.table_format,
+        partition_by=(LANDED_MONTH,) if spec.refreshable else (),
+        swap=spec.swap,
     )
+    return counts["rows"]
 
 
 def silver_rows(spark: SparkSession, spec: PipelineSpec, service: str) -> DataFrame:
@@ -186,6 +210,8 @@ def run(
         came_in = write_bronze(spark, spec, service, footers)
         if landed.rows and landed.rows[service] != came_in["rows"]:
             raise RowsLostError(service, landed.rows[service], came_in["rows"])
+        if spec.on_bad_cast == "route":
+            write_rejected(spark, spec, service)
         audit = write_silver(spark, spec, service, came_in)
         if staged:  # this part of gold need not wait for other services
             add_trips(spark, spec, service, staged)
@@ -206,6 +232,8 @@ def run(
             rows[spec.bronze_table(name)] = came_in["rows"]
             rows[spec.silver_table(name)] = audit.kept
             audits[name] = audit
+            if spec.on_bad_cast == "route":
+                rows[spec.rejected_table(name)] = audit.rejected
         gold = {
             spec.consumption_table(n): (lambda n=n: write_consumption(spark, spec, n))
             for n in spec.consumption_services

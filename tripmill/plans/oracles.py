@@ -166,6 +166,76 @@ FROM green_raw
 WHERE pickup_datetime >= DATE '1997-01-01' AND pickup_datetime < DATE '1997-06-01'
 """
 
+_MISFITS = f"""
+WITH {_RAW},
+misfits AS (
+    SELECT *, COALESCE(passenger_count = 3, FALSE) AS bad_vendor,
+           COALESCE(total_amount < 0, FALSE) AS bad_passengers
+    FROM green_raw
+)
+"""
+
+_REJECTED = f"""
+{_MISFITS}
+SELECT 'green' AS service_type,
+       CASE WHEN bad_vendor THEN '3.0E10' ELSE CAST(CAST(vendorid AS DOUBLE) AS VARCHAR) END AS vendorid,
+       CASE WHEN bad_passengers THEN 'abc' ELSE CAST(passenger_count AS VARCHAR) END AS passenger_count,
+       CAST(pickup_datetime AS VARCHAR) AS pickup_datetime,
+       CAST(dropoff_datetime AS VARCHAR) AS dropoff_datetime,
+       CAST(CAST(total_amount AS DOUBLE) AS VARCHAR) AS total_amount,
+       concat_ws('; ', CASE WHEN bad_vendor THEN 'vendorid does not fit int' END,
+                 CASE WHEN bad_passengers THEN 'passenger_count does not fit int' END) AS reason
+FROM misfits WHERE bad_vendor OR bad_passengers
+"""
+
+_ROUTED_AUDIT = f"""
+{_MISFITS},
+fits AS (SELECT * FROM misfits WHERE NOT bad_vendor AND NOT bad_passengers),
+inside AS (
+    SELECT vendorid, passenger_count, pickup_datetime, dropoff_datetime, total_amount FROM fits
+    WHERE pickup_datetime >= DATE '1997-01-01' AND pickup_datetime < DATE '1997-06-01'
+),
+counts AS (
+    SELECT (SELECT count(*) FROM misfits) AS raw,
+           (SELECT count(*) FROM fits WHERE pickup_datetime IS NULL) AS null_pickup,
+           (SELECT count(*) FROM inside) AS in_scope,
+           (SELECT count(*) FROM (SELECT DISTINCT * FROM inside)) AS kept,
+           (SELECT count(*) FROM misfits WHERE bad_vendor OR bad_passengers) AS rejected
+)
+SELECT 'green' AS service_type, *, raw - rejected - in_scope AS out_of_scope,
+       in_scope - kept AS duplicates
+FROM counts
+"""
+
+_FILE_ACCOUNTS = f"""
+WITH {_RAW},
+arrived AS (
+    SELECT 'yellow' AS service_type, * FROM yellow_raw
+    UNION ALL
+    SELECT 'green', * FROM green_raw
+),
+inside AS (
+    SELECT * FROM arrived
+    WHERE pickup_datetime >= DATE '1997-01-01' AND pickup_datetime < DATE '1997-06-01'
+),
+firsts AS (SELECT * EXCLUDE (file_number), min(file_number) AS file_number FROM inside GROUP BY ALL),
+came AS (SELECT service_type, file_number, count(*) AS raw,
+                count(*) FILTER (WHERE pickup_datetime IS NULL) AS null_pickup
+         FROM arrived GROUP BY ALL),
+scoped AS (SELECT service_type, file_number, count(*) AS in_scope FROM inside GROUP BY ALL),
+stays AS (SELECT service_type, file_number, count(*) AS kept FROM firsts GROUP BY ALL),
+counts AS (
+    SELECT service_type, file_number, raw, null_pickup, COALESCE(in_scope, 0) AS in_scope,
+           COALESCE(kept, 0) AS kept
+    FROM came LEFT JOIN scoped USING (service_type, file_number)
+    LEFT JOIN stays USING (service_type, file_number)
+)
+SELECT service_type,
+       service_type || '_tripdata_1997-0' || CAST(file_number AS VARCHAR) || '.parquet' AS _source_file,
+       raw, null_pickup, in_scope, kept, raw - in_scope AS out_of_scope, in_scope - kept AS duplicates
+FROM counts
+"""
+
 _PIPELINE_RUN = f"""
 {_LAYERS},
 sizes AS (
@@ -304,6 +374,9 @@ _ORACLES = {
     "bronze_folder_drift": _FOLDER_DRIFT,
     "drift_report_types": _DRIFT_TYPES,
     "bad_casts": _BAD_CASTS,
+    "rejected_trips": _REJECTED,
+    "routed_audit": _ROUTED_AUDIT,
+    "file_accounts": _FILE_ACCOUNTS,
     "pipeline_run": _PIPELINE_RUN,
     "refreshed_month": _SILVER,
     "two_years": f"""

@@ -12,9 +12,9 @@ from pyspark.sql import types as T
 
 from tripmill.functions.dates import in_ranges, month_day, month_label, month_number
 from tripmill.operators.gold import PICKUP_MONTH, gold_consumption, gold_trips
-from tripmill.operators.silver import COPIES, SERVICE_TYPE, typed_trips
+from tripmill.operators.silver import COPIES, SERVICE_TYPE, rejected_rows, typed_trips
 from tripmill.plans.medallion import LANDED_MONTH, ingested, silver_rows, source_files
-from tripmill.sources.drifted import scan_conformed
+from tripmill.sources.drifted import SOURCE_FILE, scan_conformed
 from tripmill.sources.landing import require_landing
 from tripmill.sources.session import in_parallel, monthly_settings, sized_settings, sql_conf
 from tripmill.sources.tables import (
@@ -95,6 +95,8 @@ def refresh(
         before = partition_values(spark, spec.silver_table(service), PICKUP_MONTH)
         stale = _stale(spark, spec, service) | (in_scope - before) | _touched(spark, spec, service, labels)
         _note(spark, spec, service, stale)
+        if spec.on_bad_cast == "route":
+            _reject(read[service], spec, service, labels)
         counts = insert_partitions(
             read[service],
             spec.bronze_table(service),
@@ -154,6 +156,16 @@ def _landed_rows(
     return ingested(scan_conformed(spark, source_files(part, service), spec.lossless, footers, onto=raw), spec)
 
 
+def _reject(landed: DataFrame, spec: PipelineSpec, service: str, labels: Sequence[str]) -> None:
+    """Take the landed rows that do not fit; those of other landed months stay as they are."""
+    table = spec.rejected_table(service)
+    metrics = {f"n{i}": F.count_if(F.col(LANDED_MONTH) == label) for i, label in enumerate(labels)}
+    rows = rejected_rows(landed, spec, service, [SOURCE_FILE, LANDED_MONTH])
+    counts = insert_partitions(rows, table, metrics)
+    empty = [label for i, label in enumerate(labels) if not counts[f"n{i}"]]
+    drop_partitions(landed.sparkSession, table, LANDED_MONTH, empty)
+
+
 def _touched(spark: SparkSession, spec: PipelineSpec, service: str, labels: Sequence[str]) -> set[str]:
     """Pickup months, inside the scope, of the bronze rows of these landed months."""
     bronze = read_table(spark, spec.bronze_table(service)).filter(F.col(LANDED_MONTH).isin(list(labels)))

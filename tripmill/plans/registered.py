@@ -19,7 +19,14 @@ from tripmill.operators.profile import (
     rows_per_key,
     trip_profile,
 )
-from tripmill.operators.silver import SILVER_COLUMNS, distinct_rows, silver, silver_audit
+from tripmill.operators.silver import (
+    SILVER_COLUMNS,
+    distinct_rows,
+    file_audit,
+    rejected_rows,
+    silver,
+    silver_audit,
+)
 from tripmill.plans.answers import (
     all_layer_sizes,
     hourly_avg_sql,
@@ -189,13 +196,34 @@ def drift_report_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift_report(spark, type_drift(spark, sf_dir))
 
 
-def bad_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver from text and numbers of which some do not fit; those become NULL."""
+def _misfits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Green trips as text and wide numbers, of which some do not fit silver's types."""
     raw = raw_trips(spark, sf_dir, "green")
     text = F.when(F.col("total_amount") < 0, "abc").otherwise(F.col("passenger_count").cast("string"))
     wide = F.when(F.col("passenger_count") == 3, 3e10).otherwise(F.col("vendorid"))
-    odd = raw.withColumns({"passenger_count": text, "vendorid": wide.cast("double")})
-    return silver(odd, replace(fleet_spec(), on_bad_cast="null"), "green")
+    return raw.withColumns({"passenger_count": text, "vendorid": wide.cast("double")})
+
+
+def bad_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver from text and numbers of which some do not fit; those become NULL."""
+    return silver(_misfits(spark, sf_dir), replace(fleet_spec(), on_bad_cast="null"), "green")
+
+
+def rejected_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows with values that do not fit, as they came, and why silver does not take them."""
+    return rejected_rows(_misfits(spark, sf_dir), replace(fleet_spec(), on_bad_cast="route"), "green")
+
+
+def routed_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where all rows went when those that do not fit are kept out of silver."""
+    return silver_audit(_misfits(spark, sf_dir), replace(fleet_spec(), on_bad_cast="route"), "green")
+
+
+def file_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the rows of each landed file went, from the bronze tables of a whole build."""
+    spec = built_fleet(spark, sf_dir)
+    audits = [file_audit(read_table(spark, spec.bronze_table(s)), spec, s) for s in SERVICES]
+    return union_all(audits).orderBy("service_type", "_source_file")
 
 
 def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -314,6 +342,9 @@ def queries() -> dict[str, Query]:
         "bronze_folder_drift": bronze_folder_drift,
         "drift_report_types": drift_report_types,
         "bad_casts": bad_casts,
+        "rejected_trips": rejected_trips,
+        "routed_audit": routed_audit,
+        "file_accounts": file_accounts,
         "pipeline_run": pipeline_run,
         "refreshed_month": refreshed_month,
         "two_years": two_years,

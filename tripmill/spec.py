@@ -67,7 +67,8 @@ class PipelineSpec:
     ``exact_months``   keep only the listed months instead of the span they cover.
     ``lossless``       int/bigint mixed with float becomes double instead of float.
     ``on_bad_cast``    ``"fail"`` stops on a value that does not fit, ``"null"`` keeps
-                       the row with NULL.
+                       the row with NULL, ``"route"`` keeps the row out of silver and puts
+                       it, as it was stored, with the reason into ``rejected_table``.
     ``monthly_layout`` partition silver and gold by a trailing ``pickup_month`` column.
                        Off by default because the published schemas are a contract.
     ``calendar``       (year, month) pairs, over as many years as there are; where given, they
@@ -109,8 +110,8 @@ class PipelineSpec:
             raise ValueError(f"months must be a non-empty list of 1..12: {listed}")
         if len(set(self.periods)) != len(self.periods):
             raise ValueError(f"a month listed twice would be read twice: {self.periods}")
-        if self.on_bad_cast not in ("fail", "null"):
-            raise ValueError(f"on_bad_cast must be 'fail' or 'null': {self.on_bad_cast!r}")
+        if self.on_bad_cast not in ("fail", "null", "route"):
+            raise ValueError(f"on_bad_cast must be 'fail', 'null' or 'route': {self.on_bad_cast!r}")
         if self.swap not in ("rename", "view"):
             raise ValueError(f"swap must be 'rename' or 'view': {self.swap!r}")
         if self.by_service and not self.by_month:
@@ -182,6 +183,9 @@ class PipelineSpec:
     def silver_table(self, service: str) -> TableName:
         return self.table(self.silver_schema, f"{service}_trips")
 
+    def rejected_table(self, service: str) -> TableName:
+        return self.table(self.silver_schema, f"{service}_rejected")
+
     def consumption_table(self, service: str) -> TableName:
         return self.table(self.gold_schema, f"{service}_trips_consumption")
 
@@ -196,6 +200,7 @@ class PipelineSpec:
         return [
             *[self.bronze_table(name) for name in names],
             *[self.silver_table(name) for name in names],
+            *[self.rejected_table(name) for name in names if self.on_bad_cast == "route"],
             *[self.consumption_table(name) for name in self.consumption_services],
             self.trips_table,
         ]
