@@ -297,3 +297,13 @@ def test_every_participant_is_the_assistant_once(spark):
 def test_fold_is_crc32(spark):
     rows = spark.range(50).withColumnRenamed("id", "doc_id")
     assert all(r.f == zlib.crc32(str(r.doc_id).encode()) % 5 for r in rows.withColumn("f", queries.fold()).collect())
+
+
+def test_training_gives_the_drivers_memory_back(docs_of, spark, monkeypatch):
+    """What the bags of 6,000 texts took stayed with the driver, which later stages need."""
+    order, fit, back = [], toxicity.fit, toxicity.give_back
+    monkeypatch.setattr(toxicity, "fit", lambda bags: order.append("fit") or fit(bags))
+    monkeypatch.setattr(toxicity, "give_back", lambda: order.append("back") or back())
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, toxic int")
+    toxicity.train(docs_of([(1, "good words"), (2, "bad words")]), labels)
+    assert order == ["fit", "back"]

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripmill.llm.text import Powers, freeing, mix, refuse_taken
+from tripmill.llm.text import Powers, freeing, give_back, mix, refuse_taken
 
 #: Labelled rows a model is fitted on at most; each is read whole.
 MAX_ROWS = 6_000
@@ -187,7 +187,10 @@ def train(
     # However the rows arrived, the model is the same.
     order = sorted(zip(*(rows[name].to_pylist() for name in ("label", "buckets", "shares"))))
     del rows
-    return fit([(y, np.frombuffer(b, "<u2"), np.frombuffer(w, "<f4")) for y, b, w in order])
+    model = fit([(y, np.frombuffer(b, "<u2"), np.frombuffer(w, "<f4")) for y, b, w in order])
+    del order
+    give_back()
+    return model
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
