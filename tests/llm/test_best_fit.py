@@ -210,3 +210,37 @@ def test_query_fills_its_sequences(spark, sf_dir, shared):
     per = found.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end"))
     row = per.agg(F.count("n").alias("k"), F.sum("n").alias("n"), F.max("end").alias("most")).first()
     assert row.most <= 4096 and row.k <= 1.01 * -(-row.n // 4096) + 1
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_accented_words_are_encoded_many_in_one_text(name):
+    """They were encoded one by one, which took most of the time on such texts."""
+    library = whole(name)
+    encoder = Encoder(public_tokenizers.path(name))
+    sent = []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **options):
+            sent.extend(texts)
+            return library.encode_batch_fast(texts, **options)
+
+    encoder.whole = Counting()
+    marks = ("", ".", ", ", "?!", "'s", "́", "×", "\n")
+    words = [f"{a}{b}{c}x{marks[(i + j) % 8]}" for i, a in enumerate("éÑßüÉç") for j, b in enumerate("aàœñnÿÀ") for c in "eèöz"]
+    texts = [" ".join(words), "".join(words), " ".join(f"é{i:b}è" for i in range(9)), "ÉÀ. é"]
+    texts.append(" ".join(f"{a}{b}{c}{d}" for a in "éñüç" for b in "aeio" for c in "éñüçàè" for d in "stnràé"))
+    got = []
+    for _, ids, ends in encoder.column(pa.array(texts)):
+        got += [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])]
+    assert got == [library.encode(text, add_special_tokens=False).ids for text in texts]
+    distinct = len({word for text in texts for word in text.split()})
+    assert distinct > 600 and len(sent) < distinct / 3
+
+
+def test_a_lasting_encoder_is_one_object_and_gives_the_same_ids_again():
+    texts = ["one two né.", "two three né!", "x" * 100, "one"]
+    first = queries.lasting_encoder()
+    seen = [[i for _, ids, _ in first.column(pa.array(texts)) for i in ids.tolist()] for _ in range(2)]
+    assert queries.lasting_encoder() is first and seen[0] == seen[1]
+    assert seen[0] == [i for t in texts for i in whole(FILES[0]).encode(t, add_special_tokens=False).ids]
+    assert isinstance(queries.word_encoder(), Encoder) and queries.word_encoder() is queries.word_encoder()
