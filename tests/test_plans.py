@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from helpers import exchanges, plan, pushed, read_schemas, spec_for
 from tripmill import gold_consumption, gold_trips, hourly_avg, monthly_avg, preview, silver
 from tripmill.operators.silver import silver_counted
+from tripmill.plans import fleet
 
 
 def shuffled_rows(df):
@@ -133,3 +135,36 @@ def test_a_hot_row_is_collapsed_before_the_shuffle(spark):
     assert counted.agg(F.sum("copies")).first()[0] == 90_000
     # 16 map tasks: the hot row crosses the shuffle at most 16 times, not 30,000 times.
     assert shuffled_rows(silver_counted(rows, spec_for(), "yellow")) <= 60_000 + 16
+
+
+def test_splitting_trips_sorts_no_task(spark, tmp_path, monkeypatch):
+    """A task that sorts its trips by file holds all of them at once."""
+    ids = F.col("id")
+    frames = {
+        "lineitem": spark.range(50).selectExpr(
+            "id AS l_orderkey", "id % 7 AS l_suppkey", "id AS l_partkey", "id * 1.5D AS l_quantity", "1 AS l_linenumber",
+            "DATE'1997-01-05' AS l_shipdate", "id * 2.0D AS l_extendedprice", "IF(id % 3 = 0, 'R', 'N') AS l_returnflag",
+        ),
+        "orders": spark.range(30).select(
+            ids.alias("o_orderkey"), ids.alias("o_custkey"), F.lit("1997-02-01").cast("date").alias("o_orderdate"),
+            (ids * 3.0).alias("o_totalprice"),
+        ),
+    }
+    monkeypatch.setattr(fleet, "table", lambda spark, sf_dir, name: frames[name])
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    key, limit = "spark.sql.maxConcurrentOutputFileWriters", spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    landed = fleet.write_landing(spark, "", str(tmp_path / "a"), redelivered=True)
+    winter = replace(fleet.fleet_spec(str(tmp_path / "b")), calendar=((1996, 12), (1997, 1)))
+    held = fleet.land_months(spark, "", winter)
+    plans = [p for p in map(str, (e.physicalPlanDescription() for e in _since(store, before))) if "file_number" in p]
+    splits = [p for p in plans if "Insert" in p and "[file_number" in p]
+    assert len(splits) == 4 and not any("Sort" in p for p in splits)
+    rows = [spark.read.parquet(landed.file_path("yellow", month)).count() for month in landed.months]
+    assert sum(rows) == 67 and sum(frame.count() for frame in held.values()) == 67 + 30
+    assert spark.conf.get(key) == limit
+
+
+def _since(store, before):
+    found = store.executionsList()
+    return [found.apply(i) for i in range(before, found.size())]

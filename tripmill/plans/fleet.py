@@ -10,6 +10,7 @@ import atexit
 import threading
 import uuid
 from collections.abc import Callable
+from contextlib import AbstractContextManager
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from tripmill.plans.medallion import run
 from tripmill.sources.drifted import SourceFile
 from tripmill.sources.landing import listing
-from tripmill.sources.session import in_parallel, scratch_dir
+from tripmill.sources.session import in_parallel, scratch_dir, sql_conf
 from tripmill.spec import PipelineSpec
 
 YEAR = 1997
@@ -133,6 +134,18 @@ def drifted(trips: DataFrame, number: int) -> DataFrame:
     return trips.filter(F.col("file_number") == number).select(*columns)
 
 
+def _side_by_side(spark: SparkSession, files: int) -> AbstractContextManager[None]:
+    """Tasks that split trips keep a writer open per file instead of sorting all their rows first."""
+    return sql_conf(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(files)})
+
+
+def _split(spark: SparkSession, trips: DataFrame) -> DataFrame:
+    """``trips`` written in parts by their file number; call it within ``_side_by_side``."""
+    parts = scratch_dir(spark, "parts")
+    trips.write.partitionBy("file_number").parquet(parts)
+    return spark.read.parquet(parts)
+
+
 def write_landing(
     spark: SparkSession, sf_dir: str, root: str, redelivered: bool = False
 ) -> PipelineSpec:
@@ -143,18 +156,14 @@ def write_landing(
     """
     spec = fleet_spec(root)
 
-    def split(trips: DataFrame) -> DataFrame:
-        parts = scratch_dir(spark, "parts")
-        trips.write.partitionBy("file_number").parquet(parts)
-        return spark.read.parquet(parts)
-
-    yellow, green = in_parallel(
-        spark,
-        [
-            lambda: split(yellow_trips(spark, sf_dir, redelivered)),
-            lambda: split(green_trips(spark, sf_dir)),
-        ],
-    )
+    with _side_by_side(spark, FILES_PER_SERVICE):
+        yellow, green = in_parallel(
+            spark,
+            [
+                lambda: _split(spark, yellow_trips(spark, sf_dir, redelivered)),
+                lambda: _split(spark, green_trips(spark, sf_dir)),
+            ],
+        )
     jobs = []
     for number in range(1, FILES_PER_SERVICE + 1):
         month = MONTHS[number - 1]
@@ -186,9 +195,8 @@ def land_months(spark: SparkSession, sf_dir: str, spec: PipelineSpec) -> dict[tu
     """Land every trip in the file of its pickup month; returns what each file holds, by service and month."""
     held = {}
     for service in (s.name for s in spec.services):
-        parts = scratch_dir(spark, "parts")
-        by_pickup_month(spark, sf_dir, spec, service).write.partitionBy("file_number").parquet(parts)
-        rows = spark.read.parquet(parts)
+        with _side_by_side(spark, len(spec.periods)):
+            rows = _split(spark, by_pickup_month(spark, sf_dir, spec, service))
         for i, period in enumerate(spec.periods):
             held[service, period] = rows.filter(F.col("file_number") == i).drop("file_number")
     in_parallel(spark, [lambda k=k: deliver(held[k], spec, *k) for k in held])
