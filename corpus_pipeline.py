@@ -23,10 +23,14 @@ PASSAGE = 50
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below ``TOXIC`` by a model of the labelled ones among them."""
+    """Documents scored below ``TOXIC`` by a model of the labelled ones among them.
+
+    Numbered names clash with none, so a row goes through the scoring with its text once.
+    """
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    return toxicity.score(rows, model).filter(F.col("toxicity") < TOXIC).select("row.*")
+    names = [f"_{i}" for i in range(len(docs.columns))]
+    scored = toxicity.score(docs.toDF(*names), model, text_col=names[docs.columns.index("text")])
+    return scored.filter(F.col("toxicity") < TOXIC).drop("toxicity").toDF(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import tracemalloc
 import zlib
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -307,3 +309,49 @@ def test_training_gives_the_drivers_memory_back(docs_of, spark, monkeypatch):
     labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, toxic int")
     toxicity.train(docs_of([(1, "good words"), (2, "bad words")]), labels)
     assert order == ["fit", "back"]
+
+
+def peak_bytes(run):
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_scoring_takes_little_memory():
+    """The subwords of half a million characters took 100 MB and more of a worker."""
+    column = pa.array([prose(i % 7, 400) for i in range(400)])
+
+    def run():
+        for texts in toxicity.some_texts(column):
+            toxicity.subwords(texts)
+
+    assert peak_bytes(run) < 60 << 20
+
+
+def test_toxicity_stage_sends_a_text_once(spark, docs_of, monkeypatch):
+    """Rows went to Python as a struct with their text, and with the text beside it."""
+    score, sent = toxicity.score, []
+    monkeypatch.setattr(toxicity, "score", lambda docs, *a, **b: sent.append(docs) or score(docs, *a, **b))
+    rows = [*awkward(), *[(100 + i, "good " * 30 if i % 2 else "vile " * 30) for i in range(40)]]
+    labels = spark.createDataFrame([(100 + i, 1 - i % 2) for i in range(40)], "doc_id long, toxic int")
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *_: labels)
+    docs = docs_of(rows)
+    got = corpus_pipeline.drop_toxic(spark, docs, "")
+    assert [kind for _, kind in sent[0].dtypes] == [kind for _, kind in docs.dtypes]
+    assert got.schema.simpleString() == docs.schema.simpleString()
+    model = toxicity.train(docs, labels)
+    want = score(docs.select("doc_id", "text"), model).filter("toxicity < 0.5").select("doc_id", "text")
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1] or "")
+    assert sorted(map(tuple, got.select("doc_id", "text").collect()), key=key) == sorted(map(tuple, want.collect()), key=key)
+    assert 20 <= want.filter("doc_id >= 100").count() < 40
+
+
+def test_rows_are_handed_on_in_small_batches():
+    rows = pa.RecordBatch.from_pydict({"n": list(range(900)), "text": [None, "", *["x" * 5000] * 898]})
+    parts = list(text.parted(rows, "text"))
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([rows]))
+    assert len(parts) > 3 and max(p.num_rows for p in parts) < 250
+    assert not list(text.parted(rows.slice(0, 0), "text"))

@@ -29,8 +29,8 @@ OUTPUT_BYTES = 4 << 20
 
 
 def byte_bpe(path: str) -> Encoder:
-    """An encoder with the ids of the byte-level tokenizer file at ``path``."""
-    return Encoder(path)
+    """An encoder with the ids of the byte-level tokenizer file at ``path``, for a worker with little memory."""
+    return Encoder(path, slice_bytes=1 << 20)
 
 
 def fill(lengths: dict[int, int], capacity: int) -> list[int]:

@@ -95,7 +95,7 @@ class Encoder:
     A file whose tokenizer joins what is cut here raises ``ValueError``.
     """
 
-    def __init__(self, path: str, remembered: int | None = None) -> None:
+    def __init__(self, path: str, remembered: int | None = None, slice_bytes: int | None = None) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one core's work
         from tokenizers import Tokenizer
 
@@ -112,6 +112,7 @@ class Encoder:
         # Where tokens stand for bytes, letters beyond ASCII are told apart by them as well.
         self._latin = all(self._bytes[self._ids(f"a{c}b")].sum() == 4 for c in LATIN)
         self._remembered = REMEMBERED if remembered is None else remembered
+        self._slice_bytes = slice_bytes
         self._known: dict[bytes, int] = {}
         self._flat = np.zeros(1 << 16, np.uint32)
         self._start = np.zeros(1 << 12, np.int64)
@@ -136,7 +137,7 @@ class Encoder:
         special = np.zeros(len(texts), bool)
         for content in self._special:
             special |= pc.fill_null(pc.match_substring(texts, content), False).to_numpy(zero_copy_only=False)
-        for row, data, offsets in slices(texts, SLICE_BYTES):
+        for row, data, offsets in slices(texts, self._slice_bytes or SLICE_BYTES):
             if special[row : row + len(offsets) - 1].any():
                 for i in range(len(offsets) - 1):
                     ids = self._ids(texts[row + i].as_py() or "")

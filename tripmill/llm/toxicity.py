@@ -29,7 +29,7 @@ BATCH = 64
 RATE = 1.0
 LONGEST = 5
 #: Characters looked at together; a longer text is looked at on its own.
-CHARACTERS = 1 << 19
+CHARACTERS = 1 << 17
 
 #: Stands for both ends of a word.
 _EDGE = "\x01"
@@ -206,11 +206,14 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            logits = [np.zeros(0)]
+            row = 0
             for texts in some_texts(batch.column(at)):
                 bucket, share, owner = subwords(texts)
-                logits.append(np.bincount(owner, model.weights[bucket] * share, len(texts)) + model.bias)
-            scores = 1 / (1 + np.exp(-np.clip(np.concatenate(logits), -700, 700)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=names)
+                logits = np.bincount(owner, model.weights[bucket] * share, len(texts)) + model.bias
+                scores = 1 / (1 + np.exp(-np.clip(logits, -700, 700)))
+                # Handed on in small batches: those that come in hold 10,000 whole texts.
+                some = batch.slice(row, len(texts))
+                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(scores)], names=names)
+                row += len(texts)
 
     return docs.mapInArrow(freeing(run), schema)
