@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import tracemalloc
 import zlib
 
@@ -320,6 +321,32 @@ def peak_bytes(run):
         tracemalloc.stop()
 
 
+def test_hashing_tokens_takes_little_memory():
+    """Arrays of 64 bits for each byte of a slice took 60 MB of a worker that holds a filter, too."""
+    column = pa.array([prose(i % 7, 400) for i in range(2000)])
+    assert column.nbytes > 3 << 20
+
+    def run():
+        for _ in lm.token_hashes(column):
+            pass
+
+    assert peak_bytes(run) < 25 << 20
+    found = [(h, np.diff(first)) for h, first in lm.token_hashes(column)]
+    assert sum(len(sizes) for _, sizes in found) == 2000 and all((sizes == 401).all() for _, sizes in found)
+
+
+def test_workers_get_the_filter_ready_for_use(spark):
+    """Workers joined the blocks of a filter they were sent, so they held its bytes twice."""
+    hashes = text.mix(np.arange(1, 3001, dtype=np.uint64))
+    parts = {n: lm.filled(hashes[n::3], np.ones(1000, int)) for n in (0, 2)}
+    blocks = spark.createDataFrame([(n, bytearray(b)) for n, b in parts.items()], "block long, bits binary")
+    sent = pickle.loads(pickle.dumps(lm._gathered(blocks, 3), 5))
+    assert sent.bytes.tobytes() == parts[0] + parts[2]
+    got = sent.count(hashes, np.arange(3000) % 3)
+    assert (got > 0).tolist() == [n != 1 for n in np.arange(3000) % 3]
+    assert len(lm._gathered(blocks.limit(0), 3).bytes) == 0
+
+
 def test_scoring_takes_little_memory():
     """The subwords of half a million characters took 100 MB and more of a worker."""
     column = pa.array([prose(i % 7, 400) for i in range(400)])

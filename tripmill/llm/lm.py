@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.llm.scratch import written
-from tripmill.llm.text import Powers, lower_ascii, mix, slices, word_spans
+from tripmill.llm.text import Powers, freeing, give_back, lower_ascii, mix, slices, word_spans
 
 #: Tokens whose exact counts travel with every task; the others' are joined.
 FREQUENT = 1 << 18
@@ -33,7 +33,9 @@ PRIOR = 100.0
 #: Bytes of filter a worker holds at once; a larger filter is used in several passes.
 SHARD_BYTES = 96 << 20
 #: Tokens a task sums up before it hands the sums on.
-HELD = 2_000_000
+HELD = 1_000_000
+#: Bytes of text hashed at once; arrays of 64 bits for each byte stay small beside the filter.
+SLICE_BYTES = 1 << 18
 
 _U = np.uint64
 # The hash of a text's end, of what stands before its first word, and a salt.
@@ -46,7 +48,7 @@ def token_hashes(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; every text has one end.
     """
     powers = Powers()
-    for _, data, offsets in slices(column):
+    for _, data, offsets in slices(column, SLICE_BYTES):
         data = lower_ascii(data)
         starts, ends, first = word_spans(data, offsets)
         after = first[1:] + np.arange(len(offsets) - 1)
@@ -106,7 +108,7 @@ def vocabulary(docs: DataFrame, text_col: str) -> DataFrame:
                 [pa.array(hashes.view(np.int64)), pa.array(counts, pa.int64())], names=["hash", "n"]
             )
 
-    partial = docs.select(text_col).mapInArrow(run, "hash long, n long")
+    partial = docs.select(text_col).mapInArrow(freeing(run), "hash long, n long")
     return partial.groupBy("hash").agg(F.sum("n").alias("n"))
 
 
@@ -164,9 +166,9 @@ def filled(hashes: np.ndarray, counts: np.ndarray) -> bytes:
 
 
 class LogBloom:
-    """Those blocks of a filter that a worker holds."""
+    """Those blocks of a filter that a worker holds, on end; ``blocks`` is not kept."""
 
-    def __init__(self, blocks: dict[int, bytes], total: int) -> None:
+    def __init__(self, blocks: dict[int, bytes | pa.Buffer], total: int) -> None:
         self.sizes = np.zeros(total, np.int64)
         for number, block in blocks.items():
             self.sizes[number] = len(block)
@@ -265,10 +267,10 @@ def ngram_filter(docs: DataFrame, vocabulary: DataFrame, text_col: str, sent: Br
             )
 
     schema = "block long, hashes binary, counts binary, large binary"
-    parts = docs.select(text_col).mapInArrow(bigrams, schema)
-    parts = parts.unionByName(vocabulary.select("hash", "n").mapInArrow(rare, schema))
+    parts = docs.select(text_col).mapInArrow(freeing(bigrams), schema)
+    parts = parts.unionByName(vocabulary.select("hash", "n").mapInArrow(freeing(rare), schema))
     wide = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return parts.repartition(max(wide, -(-total // 4)), "block").mapInArrow(build, "block long, bits binary")
+    return parts.repartition(max(wide, -(-total // 4)), "block").mapInArrow(freeing(build), "block long, bits binary")
 
 
 def score(
@@ -308,9 +310,8 @@ def score(
     kind = rows.schema["_id"].dataType.simpleString()
     parts = [_rare_part(rows, kind, words, corpus, frequent, prior)]
     for shard in range(shards):
-        mine = blocks.filter(F.pmod("block", F.lit(shards)) == shard).toArrow()
-        sent = spark.sparkContext.broadcast(dict(zip(mine["block"].to_pylist(), mine["bits"].to_pylist())))
-        del mine
+        sent = spark.sparkContext.broadcast(_gathered(blocks.filter(F.pmod("block", F.lit(shards)) == shard), total))
+        give_back()
         parts.append(_known_part(rows, kind, frequent, sent, total, shard, shards, prior))
         if shards > 1:
             parts[-1] = written(parts[-1], "scores")
@@ -331,6 +332,12 @@ def score(
     )
 
 
+def _gathered(blocks: DataFrame, total: int) -> LogBloom:
+    """A shard of the filter as workers use it: they hold its bytes once."""
+    mine = blocks.toArrow()
+    return LogBloom(dict(zip(mine["block"].to_pylist(), (bits.as_buffer() for bits in mine["bits"]))), total)
+
+
 def _rare_part(
     rows: DataFrame, kind: str, words: DataFrame, corpus: Corpus, frequent: Broadcast, prior: float
 ) -> DataFrame:
@@ -359,7 +366,7 @@ def _rare_part(
                 )
                 row += len(first) - 1
 
-    rare = rows.mapInArrow(run, f"_id {kind}, _hash long, hash long, times long").join(words, "hash", "left")
+    rare = rows.mapInArrow(freeing(run), f"_id {kind}, _hash long, hash long, times long").join(words, "hash", "left")
     n, times, zero = F.coalesce("n", F.lit(0)), F.col("times"), F.lit(0).cast("long")
     base = times * F.log10((n + 0.5) / F.lit(corpus.scale()))
     context = F.when(F.col("hash") == int(_END.view(np.int64)), 0.0).otherwise(times * F.log10(n + prior))
@@ -385,7 +392,7 @@ def _known_part(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, bloom = frequent.value, LogBloom(sent.value, total)
+        own, bloom = frequent.value, sent.value
         for batch in batches:
             row = 0
             for hashes, first in token_hashes(batch.column(2)):
@@ -423,4 +430,4 @@ def _known_part(
                 row += n
 
     schema = f"_id {kind}, _hash long, _copies long, n_tokens long, n_known long, base double, score double"
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(freeing(run), schema)
