@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from helpers import plan
 from llm_cases import LOWER, awkward, prose
 from pyspark.sql import functions as F
 
@@ -77,6 +78,15 @@ def test_a_repeated_query_id_is_its_smallest_vector(spark):
     assert [tuple(r) for r in found] == [(0, 1, 2, 6)]
 
 
+def test_search_sends_no_table_through_the_driver(spark, tmp_path):
+    """The queries are copied for every part of the vectors; Spark takes all copies to be as large as one."""
+    rows = [(i, [float(i % 7), float(i % 11)]) for i in range(200)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "vectors"))
+    found = search.top_k(spark.read.parquet(str(tmp_path / "vectors")), F.col("vec_id") % 50 == 0)
+    assert sorted(map(tuple, found.collect())) == brute_top(rows, 5)
+    assert "SortMergeJoin" in plan(found) and "Broadcast" not in plan(found)
+
+
 @pytest.mark.parametrize("scale", [1.0, 1e6])
 def test_search_is_brute_force(spark, monkeypatch, scale):
     monkeypatch.setattr(search, "BLOCK", 40)

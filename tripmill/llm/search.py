@@ -139,7 +139,9 @@ def top_k(
     # Few rows per task: gathered so that the blocks are full, however many tasks read them.
     asked = blocks(asked, QUERY_BLOCK).select(F.col("dim").alias("_dim"), F.col("ids").alias("q_ids"), F.col("exact").alias("q_exact"))
     asked = asked.withColumn("_of", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    pairs = candidates.join(asked, (F.col("dim") == F.col("_dim")) & (F.col("_part") == F.col("_of"))).select(
+    # Spark takes the copies to be as large as one of them, and would send them all through the driver.
+    copies = asked.hint("merge")
+    pairs = candidates.join(copies, (F.col("dim") == F.col("_dim")) & (F.col("_part") == F.col("_of"))).select(
         "dim", "ids", "exact", "low", "step", "cells", "q_ids", "q_exact"
     )
 
