@@ -24,6 +24,8 @@ def spark(tmp_path_factory):
         .config("spark.sql.warehouse.dir", str(base / "warehouse"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # The whole suite runs more than the 1,000 that Spark keeps, and a test looks plans up by their number.
+        .config("spark.sql.ui.retainedExecutions", "100000")
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
